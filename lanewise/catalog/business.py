@@ -231,8 +231,9 @@ def spend_comparison(spark, sf_dir):
     WITH m AS (SELECT o_orderpriority, (date_trunc('month', o_orderdate) + INTERVAL 1 MONTH) AS day,
                       avg(o_totalprice) / 250000 AS rate
                FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
-         r AS (SELECT o_orderpriority, day, round(rate, 4) AS rate FROM m)
-    SELECT o_orderkey, r.rate, round(o_totalprice * r.rate, 2) AS converted
+         r AS (SELECT o_orderpriority, day, CAST(round(rate, 4) AS DECIMAL(10,4)) AS rate FROM m)
+    SELECT o_orderkey, CAST(r.rate AS DOUBLE) AS rate,
+           CAST(round(o_totalprice::DECIMAL(18,2) * r.rate, 2) AS DOUBLE) AS converted
     FROM orders o ASOF LEFT JOIN r
       ON o.o_orderpriority = r.o_orderpriority AND o.o_orderdate >= r.day
     """,
@@ -247,14 +248,12 @@ def fx_convert(spark, sf_dir):
     rates = (
         orders.where(F.col("o_orderstatus") == "F")
         .groupBy("o_orderpriority", effective.alias("o_orderdate"))
-        .agg(F.round(F.avg("o_totalprice") / 250_000, 4).alias("rate"))
+        .agg(F.round(F.avg("o_totalprice") / 250_000, 4).cast("decimal(10,4)").alias("rate"))
     )
-    out = N.asof_rate(
-        orders, rates, ["o_orderpriority"], "o_orderdate", "rate", "o_orderkey",
-        day_cell("o_orderdate"),
-    )
-    converted = F.round(F.col("o_totalprice") * F.col("rate"), 2).alias("converted")
-    return out.select("o_orderkey", "rate", converted)
+    by, cell = ["o_orderpriority"], day_cell("o_orderdate")
+    out = N.asof_rate(orders, rates, by, "o_orderdate", "rate", "o_orderkey", cell)
+    converted = F.round(money("o_totalprice") * F.col("rate"), 2).cast("double")
+    return out.select("o_orderkey", number_of("rate"), converted.alias("converted"))
 
 
 @query(
