@@ -49,11 +49,7 @@ def rotation_key(c: Column) -> Column:
     """The smallest rotation: equal exactly for strings that rotate into each other."""
     turns = F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1)))
     return F.aggregate(
-        turns,
-        c,
-        lambda best, i: F.least(
-            best, F.concat(F.substring(c, i, F.length(c)), F.substring(c, F.lit(1), i - 1))
-        ),
+        turns, c, lambda best, i: F.least(best, F.substring(F.concat(c, c), i, F.length(c)))
     )
 
 
@@ -62,7 +58,7 @@ def is_palindrome(c: Column) -> Column:
 
 
 def brackets_only(c: Column) -> Column:
-    return F.regexp_replace(c, r"[^()\[\]{}]", "")
+    return F.regexp_replace(c, r"[^()\[\]{}]+", "")
 
 
 def brackets_balanced(c: Column) -> Column:

@@ -58,7 +58,8 @@ def _classes(words: DataFrame, w: str, key: Column, min_size: int) -> DataFrame:
     gathered into one row or sorted in one task.
     """
     distinct = words.select(w).where(F.col(w).isNotNull()).distinct()
-    distinct = distinct.withColumn("class_key", key)
+    # never null, so that no null test repeats the computation of the key
+    distinct = distinct.withColumn("class_key", F.coalesce(key, F.lit("")))
     sizes = distinct.groupBy("class_key").agg(
         F.count(F.lit(1)).alias("class_size"), F.min(w).alias("first_word")
     )

@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewise.plans.lanes import CHUNK, Lane, lay_out, with_running
+from lanewise.session import shared_dir
 from lanewise.sources.tables import require
 
+# Many customers share a count, so cells also follow the customer key.
+CUSTOMERS_PER_CELL = 1_000_000
+
 
 def equal_groups(
-    df: DataFrame, order: tuple[str, ...], cell: str, k: int, alias: str
+    df: DataFrame, order: tuple[str, ...], cell: str | tuple[str, ...], k: int, alias: str
 ) -> DataFrame:
     """Groups 1 to ``k`` of equal size over the whole table, as ``ntile`` forms them.
 
@@ -50,14 +54,19 @@ def rfm(orders: DataFrame, lines: DataFrame, as_of: str) -> DataFrame:
         .groupBy("o_custkey")
         .agg(F.countDistinct("l_partkey").alias("variety"))
     )
-    scored = base.join(variety, "o_custkey", "left").withColumn(
-        "variety", F.coalesce("variety", F.lit(0))
+    scored = base.join(variety, "o_custkey", "left").withColumns(
+        {"variety": F.coalesce("variety", F.lit(0)), "_older": -F.col("recency")}
     )
-    scored = scored.withColumn("_older", -F.col("recency"))
-    scored = equal_groups(scored, ("_older", "o_custkey"), "_older", 5, "r_group")
-    scored = equal_groups(scored, ("frequency", "o_custkey"), "frequency", 5, "f_group")
-    scored = equal_groups(scored, ("variety", "o_custkey"), "variety", 5, "v_group")
-    return scored.drop("_older")
+    # one row per customer, written once: the three orderings below read it again
+    shared_dir(orders.sparkSession)
+    scored = scored.checkpoint()
+    out = scored.drop("_older")
+    for metric, alias in (("_older", "r_group"), ("frequency", "f_group"), ("variety", "v_group")):
+        cell = (metric, f"o_custkey div {CUSTOMERS_PER_CELL}")
+        ranked = scored.select("o_custkey", metric)
+        ranked = equal_groups(ranked, (metric, "o_custkey"), cell, 5, alias)
+        out = out.join(ranked.select("o_custkey", alias), "o_custkey")
+    return out
 
 
 def turnover(orders: DataFrame, as_of: str, months: int = 6) -> DataFrame:

@@ -20,10 +20,10 @@ def longest_distinct_run(df: DataFrame, lane: Lane, val: str) -> DataFrame:
     placed = with_running(lay_out(rows, lane), lane, {"_pos": ("count", "_one")})
     placed = placed.select(*lane.key, val, "_pos")
     by_value = Lane(
-        (*lane.key, val), ("_pos",), number_cell("_pos", 100_000), lane.share, lane.min_rows
+        (*lane.key, val), ("_pos",), number_cell("_pos", 100_000), lane.min_rows, lane.max_heavy
     )
     seen = with_previous(lay_out(placed, by_value, rows), by_value, {"_seen": "_pos"}).drop(CHUNK)
-    by_pos = Lane(lane.key, ("_pos",), number_cell("_pos", 100_000), lane.share, lane.min_rows)
+    by_pos = Lane(lane.key, ("_pos",), number_cell("_pos", 100_000), lane.min_rows, lane.max_heavy)
     ends = with_running(lay_out(seen, by_pos, rows), by_pos, {"_stop": ("max", "_seen")})
     length = F.col("_pos") - F.coalesce("_stop", F.lit(0))
     return ends.groupBy(*lane.key).agg(F.max(length).alias("longest"))

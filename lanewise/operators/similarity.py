@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lanewise.session import shared_dir
 from lanewise.sources.tables import require
 
-QUERY_BATCH = 4_096
+QUERY_BATCH = 512
+DECIMALS = 12  # copies of a vector must tie, wherever they lie in a batch
 
 
 def centroids(vectors: DataFrame, label: str, vec: str) -> DataFrame:
@@ -40,56 +44,74 @@ def cosine_topk(
     query; the final ranking sees tasks x queries x k rows, never all scores.
     """
     require(vectors, vec_id, vec)
-    spark = vectors.sparkSession
-    kind = queries.schema["query_id"].dataType.simpleString()
-    id_kind = vectors.schema[vec_id].dataType.simpleString()
-    schema = f"query_id {kind}, {vec_id} {id_kind}, score double"
-    found = spark.createDataFrame([], schema)
-    pending = []
-    for row in queries.select("query_id", vec).toLocalIterator():
-        pending.append(row)
-        if len(pending) == batch:
-            found = found.unionByName(_scan(vectors, pending, k, vec_id, vec, schema))
-            pending = []
-    if pending:
-        found = found.unionByName(_scan(vectors, pending, k, vec_id, vec, schema))
+    kinds = dict(vectors.dtypes) | dict(queries.dtypes)
+    schema = f"query_id {kinds['query_id']}, {vec_id} {kinds[vec_id]}, score double"
+    usable = vectors.select(vec_id, vec).where(F.col(vec).isNotNull())
+    asked = queries.select("query_id", vec)
+    first = asked.limit(batch + 1).collect()
+    if len(first) <= batch:
+        batches = iter([first])
+    else:
+        shared_dir(vectors.sparkSession)
+        batches = _batches(asked.checkpoint().toLocalIterator(), batch)
+    scans = [usable.mapInPandas(_best_of_task(usable, b, k), schema) for b in batches]
+    found = reduce(DataFrame.unionByName, scans)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), vec_id)
     ranked = found.withColumn("place", F.row_number().over(best).cast("bigint"))
     return ranked.where(F.col("place") <= k)
 
 
-def _scan(vectors: DataFrame, rows: list, k: int, vec_id: str, vec: str, schema: str) -> DataFrame:
-    ids = [r["query_id"] for r in rows]
-    matrix = np.array([r[vec] for r in rows], dtype="float64")
-    lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
-    matrix = np.divide(matrix, lengths, out=np.zeros_like(matrix), where=lengths > 0)
-    sent = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+def _batches(rows: Iterator, size: int) -> Iterator[list]:
+    rows = iter(rows)
+    while batch := list(islice(rows, size)):
+        yield batch
+
+
+def _unit(matrix: np.ndarray) -> np.ndarray:
+    length = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
+
 
-    def best_of_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def best_k(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per row of ``scores`` the ``k`` highest, ties by the smaller id."""
+    if scores.shape[1] > k:
+        edge = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
+        # copies of a vector tie; every query keeps all of its ties up to here
+        ahead = (scores >= edge[:, None]).any(axis=0)
+        ids, scores = ids[:, ahead] if ids.ndim == 2 else ids[ahead], scores[:, ahead]
+    ids = np.broadcast_to(ids, scores.shape)
+    order = np.lexsort((ids, -scores), axis=-1)[:, :k]
+    return np.take_along_axis(ids, order, 1), np.take_along_axis(scores, order, 1)
+
+
+def _best_of_task(vectors: DataFrame, queries: list, k: int):
+    vec_id, vec = vectors.columns
+    names = np.array([q["query_id"] for q in queries])
+    matrix = _unit(np.array([q[vec] for q in queries], dtype="float64"))
+    sent = vectors.sparkSession.sparkContext.broadcast((names, matrix))
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, unit = sent.value
-        kept_ids: list[np.ndarray] = []
-        kept_scores: list[np.ndarray] = []
+        kept = None
         for pdf in batches:
-            if pdf.empty:
+            block = np.stack(pdf[vec].to_numpy()).astype("float64") if len(pdf) else None
+            if block is None:
                 continue
-            block = np.stack(pdf[vec].to_numpy()).astype("float64")
-            size = np.linalg.norm(block, axis=1)
-            ok = size > 0
-            block, here = block[ok] / size[ok, None], pdf[vec_id].to_numpy()[ok]
-            scores = unit @ block.T
-            if not kept_ids:
-                kept_ids = [here[:0]] * len(names)
-                kept_scores = [scores[0, :0]] * len(names)
-            for q in range(len(names)):
-                all_ids = np.concatenate([kept_ids[q], here])
-                all_scores = np.concatenate([kept_scores[q], scores[q]])
-                top = np.lexsort((all_ids, -all_scores))[:k]
-                kept_ids[q], kept_scores[q] = all_ids[top], all_scores[top]
-        for q, name in enumerate(names):
-            if kept_ids and len(kept_ids[q]):
-                yield pd.DataFrame(
-                    {"query_id": name, vec_id: kept_ids[q], "score": kept_scores[q]}
-                )
+            ok = np.linalg.norm(block, axis=1) > 0
+            scores = np.round(unit @ _unit(block[ok]).T, DECIMALS)
+            found = best_k(pdf[vec_id].to_numpy()[ok], scores, k)
+            if kept is not None:
+                both = [np.concatenate(pair, axis=1) for pair in zip(kept, found)]
+                found = best_k(*both, k)
+            kept = found
+        if kept is not None and kept[0].size:
+            width = kept[0].shape[1]
+            yield pd.DataFrame(
+                {
+                    "query_id": np.repeat(names, width),
+                    vec_id: kept[0].ravel(),
+                    "score": kept[1].ravel(),
+                }
+            )
 
-    usable = vectors.select(vec_id, vec).where(F.col(vec).isNotNull())
-    return usable.mapInPandas(best_of_task, schema)
+    return scan

@@ -7,15 +7,20 @@ heavy key are windowed per (key, cell); what the cells before contribute comes
 from one summary row per cell and is joined back as a carry. Light keys keep a
 null chunk, so they form one window partition each, exactly as without lanes.
 
-Heavy keys are found by counting. A key is heavy when it holds more than
-``share`` of all rows, so there are at most ``1 / share`` of them however large
-the input grows, which is what makes broadcasting them safe. When there are
-none, adaptive execution sees the empty broadcast and drops every carry join:
-the plan that runs is the plain one-shuffle window.
+Heavy keys are found by counting: the ``max_heavy`` largest of those with more
+than ``min_rows`` rows. Their number is bounded however large the input grows,
+which is what makes broadcasting them safe, and a key left out holds less than
+``1 / max_heavy`` of all rows. When there are none, adaptive execution sees the
+empty broadcast and drops every carry join: the plan that runs is the plain
+one-shuffle window.
 
 A lane without a key orders the whole table. Then every row has a chunk and only
 the summaries, one row per cell, meet in one task.
 
+Where many rows may share one cell, ``cell`` can be a tuple: a second expression
+cuts the rows that agree on the first. The first must then be the leading order
+column itself, or the cells would not follow the order.
+
 Key columns should not be null: null keys form a group of their own, which is
 computed correctly but never cut.
 """
@@ -36,9 +41,9 @@ CHUNK = "_chunk"
 class Lane:
     key: tuple[str, ...]
     order: tuple[str, ...]  # ascending; must be unique within the key
-    cell: str  # SQL expression, bigint, non-decreasing along ``order``
-    share: float = 1e-4
+    cell: str | tuple[str, ...]  # SQL, never decreasing along ``order``
     min_rows: int = 1_000_000
+    max_heavy: int = 10_000
 
     @property
     def chunk(self) -> list[str]:
@@ -68,12 +73,19 @@ def number_cell(col: str, width: float) -> str:
     return f"cast(floor({col} / {width}) as bigint)"
 
 
-def heavy_keys(df: DataFrame, key: tuple[str, ...], share: float, min_rows: int) -> DataFrame:
-    """Keys holding more than ``share`` of the rows and more than ``min_rows``."""
-    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.select(F.sum("_n")).scalar()
-    heavy = (F.col("_n") > min_rows) & (F.col("_n") > total * F.lit(share))
-    return counts.where(heavy).select(*key)
+def heavy_keys(df: DataFrame, key: tuple[str, ...], min_rows: int, max_heavy: int) -> DataFrame:
+    """The ``max_heavy`` largest keys of more than ``min_rows`` rows.
+
+    The key breaks ties, so that every branch of a plan finds the same ones.
+    """
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_rows)
+    return counts.orderBy(F.desc("_n"), *key).limit(max_heavy).select(*key)
+
+
+def _cell(lane: Lane) -> Column:
+    if isinstance(lane.cell, str):
+        return F.coalesce(F.expr(lane.cell).cast("bigint"), F.lit(-(2**63)))
+    return F.struct(*[F.expr(c).alias(f"c{i}") for i, c in enumerate(lane.cell)])
 
 
 def lay_out(df: DataFrame, lane: Lane, basis: DataFrame | None = None) -> DataFrame:
@@ -82,15 +94,14 @@ def lay_out(df: DataFrame, lane: Lane, basis: DataFrame | None = None) -> DataFr
     Keys are counted on ``basis`` where a cheaper table has the same rows per key.
     """
     require(df, *lane.key, *lane.order)
-    cell = F.coalesce(F.expr(lane.cell), F.lit(-(2**63)))
     if not lane.key:
-        return df.withColumn(CHUNK, cell)
+        return df.withColumn(CHUNK, _cell(lane))
     counted = df if basis is None else basis
-    heavy = heavy_keys(counted, lane.key, lane.share, lane.min_rows)
+    heavy = heavy_keys(counted, lane.key, lane.min_rows, lane.max_heavy)
     heavy = heavy.withColumn("_heavy", F.lit(True))
     return (
         df.join(F.broadcast(heavy), list(lane.key), "left")
-        .withColumn(CHUNK, F.when(F.col("_heavy"), cell))
+        .withColumn(CHUNK, F.when(F.col("_heavy"), _cell(lane)))
         .drop("_heavy")
     )
 
