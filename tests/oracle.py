@@ -13,6 +13,14 @@ TABLES = (
     " benchmark labels conversations"
 ).split()
 
+SPARK_TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+}
+
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -22,14 +30,10 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def canonical(v):
-    if isinstance(v, bool) or v is None:
-        return v
-    if isinstance(v, (int, float)):
-        if isinstance(v, float) and math.isnan(v):
-            return "nan"
-        return ("n", float(v)) if abs(v) < 2**53 else ("n", repr(v))
+    if isinstance(v, float) and math.isnan(v):
+        return "nan"
     if isinstance(v, decimal.Decimal):
-        return ("d", str(v.normalize()))
+        return str(v.normalize())
     if isinstance(v, (datetime.date, datetime.datetime)):
         return v.isoformat()
     return v
@@ -50,17 +54,11 @@ def duck_rows(con, sql: str) -> tuple[list[str], list[tuple]]:
     return sorted(names), sorted_rows(names, cur.fetchall())
 
 
-SPARK_KINDS = {
-    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
-    "BOOLEAN": "boolean",
-}
-
-
-def same_types(df, con, sql: str) -> list[str]:
-    duck = {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall() and con.execute(sql).description}
-    out = []
-    for name, kind in df.dtypes:
-        want = SPARK_KINDS.get(duck.get(name, "").upper(), duck.get(name))
-        if want != kind and duck.get(name) not in ("NUMBER", "STRING"):
-            out.append(f"{name}: {kind} against {duck.get(name)}")
-    return out
+def type_differences(df, con, sql: str) -> list[str]:
+    rel = con.sql(sql)
+    duck = dict(zip(rel.columns, map(str, rel.types)))
+    return [
+        f"{name}: {kind} against {duck.get(name)}"
+        for name, kind in df.dtypes
+        if SPARK_TYPES.get(duck.get(name)) != kind
+    ]
