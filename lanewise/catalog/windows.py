@@ -150,8 +150,7 @@ def increase_vs_previous(spark, sf_dir):
     daily = events.groupBy("user_id", F.to_date("ts").alias("day")).agg(
         F.sum(money("value")).alias("amount")
     )
-    # at most one row per calendar day is left of a user, so none is heavy for long
-    lane = Lane(("user_id",), ("day",), f"{day_cell('day')} div 64")
+    lane = Lane(("user_id",), ("day",), day_cell("day"), bounded=True)
     up = W.increases(daily, lane, "amount")
     return up.select("user_id", text_of("day"), number_of("amount"), number_of("prev"))
 

@@ -57,7 +57,7 @@ def missing_numbers(
         df.select(*key, F.col(n).cast("bigint").alias("_n")).where("_n is not null").distinct()
     )
     lane = Lane(key, ("_n",), number_cell("_n", 100_000), **heavy)
-    seen = with_previous(lay_out(present, lane), lane, {"_before": "_n"})
+    seen = with_previous(lay_out(present, lane, df), lane, {"_before": "_n"})
     first = F.greatest(F.coalesce("_before", F.lit(0)), F.lit(0)) + 1
     last = F.col("_n") - 1 if upper is None else F.least(F.col("_n") - 1, F.lit(upper))
     gaps = seen.select(*key, first.alias("_from"), last.cast("bigint").alias("_to"))

@@ -55,7 +55,7 @@ def asof_rate(
         allowMissingColumns=True,
     )
     lane = Lane(tuple(by), (ts, "_is_row", row_id), cell, **heavy)
-    seen = with_running(lay_out(both, lane), lane, {rate: ("last", "_rate")})
+    seen = with_running(lay_out(both, lane, df), lane, {rate: ("last", "_rate")})
     return seen.where(F.col("_is_row") == 1).select(*df.columns, rate)
 
 

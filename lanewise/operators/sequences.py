@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanewise.plans.lanes import CHUNK, Lane, lay_out, number_cell, with_previous, with_running
+from lanewise.plans.lanes import (
+    CHUNK,
+    Lane,
+    lay_out,
+    number_cell,
+    with_previous,
+    with_run_number,
+    with_running,
+)
 from lanewise.sources.tables import require
 
 
@@ -35,11 +43,15 @@ def run_length(df: DataFrame, lane: Lane, val: str) -> DataFrame:
     ``first`` and ``last`` are those of the leading order column.
     """
     require(df, val)
-    rows = df.select(*{*lane.key, *lane.order, val}).withColumn("_one", F.lit(1))
-    seen = with_previous(lay_out(rows, lane), lane, {"_prev": val, "_any": "_one"})
-    starts = F.col("_any").isNull() | ~F.equal_null(F.col("_prev"), F.col(val))
-    seen = seen.withColumn("_start", starts.cast("bigint"))
-    runs = with_running(seen, lane, {"run": ("sum", "_start")})
+    rows = df.select(*{*lane.key, *lane.order, val})
+    runs = with_run_number(
+        lay_out(rows, lane),
+        lane,
+        [val],
+        lambda before, here: ~F.equal_null(before[val], here[val]),
+        1,
+        "run",
+    )
     return runs.groupBy(*lane.key, "run", val).agg(
         F.count(F.lit(1)).alias("length"),
         F.min(lane.order[0]).alias("first"),

@@ -12,6 +12,7 @@ from lanewise.plans.lanes import (
     with_back,
     with_moving,
     with_previous,
+    with_run_number,
     with_running,
 )
 from lanewise.sources.tables import require
@@ -46,7 +47,7 @@ def dense_rank_by(
         .withColumn("_down", -F.col(val))
     )
     lane = Lane(key, ("_down",), cell, **heavy)
-    ranks = with_running(lay_out(values, lane), lane, {alias: ("count", "_down")})
+    ranks = with_running(lay_out(values, lane, df), lane, {alias: ("count", "_down")})
     return df.join(ranks.select(*key, val, alias), [*key, val], "left")
 
 
@@ -102,11 +103,11 @@ def sessionize(
     Gaps are compared in full precision, not in whole seconds.
     """
     require(df, ts)
-    seen = with_previous(lay_out(df, lane), lane, {"_prev_ts": ts})
     gap = F.expr(f"make_dt_interval(0, 0, 0, {gap_s})")
-    breaks = F.when(F.col(ts) - F.col("_prev_ts") > gap, 1).otherwise(0)
-    seen = seen.withColumn("_break", breaks.cast("bigint"))
-    return with_running(seen, lane, {alias: ("sum", "_break")}).drop("_prev_ts", "_break", CHUNK)
+    numbered = with_run_number(
+        lay_out(df, lane), lane, [ts], lambda before, here: here[ts] - before[ts] > gap, 0, alias
+    )
+    return numbered.drop(CHUNK)
 
 
 def date_islands(df: DataFrame, key: list[str], date: str) -> DataFrame:

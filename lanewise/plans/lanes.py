@@ -27,6 +27,7 @@ computed correctly but never cut.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -44,6 +45,7 @@ class Lane:
     cell: str | tuple[str, ...]  # SQL, never decreasing along ``order``
     min_rows: int = 1_000_000
     max_heavy: int = 10_000
+    bounded: bool = False  # no key can be large: rows are, say, one per calendar day
 
     @property
     def chunk(self) -> list[str]:
@@ -91,9 +93,11 @@ def _cell(lane: Lane) -> Column:
 def lay_out(df: DataFrame, lane: Lane, basis: DataFrame | None = None) -> DataFrame:
     """Add the chunk column: the cell for heavy keys, null for light ones.
 
-    Keys are counted on ``basis`` where a cheaper table has the same rows per key.
+    Keys are counted on ``basis`` where a cheaper table has as many rows per key.
     """
     require(df, *lane.key, *lane.order)
+    if lane.bounded:
+        return df.withColumn(CHUNK, F.lit(None).cast("bigint"))
     if not lane.key:
         return df.withColumn(CHUNK, _cell(lane))
     counted = df if basis is None else basis
@@ -197,6 +201,46 @@ def with_running(laid: DataFrame, lane: Lane, aggs: dict[str, tuple[str, str]])
     ).drop(*[f"_in_{a}" for a in aggs], *[f"_carry_{a}" for a in aggs])
 
 
+def with_run_number(
+    laid: DataFrame,
+    lane: Lane,
+    cols: list[str],
+    starts: Callable[[Column, Column], Column],
+    first: int,
+    alias: str,
+) -> DataFrame:
+    """Number the runs of each key; its first row has the number ``first``.
+
+    ``starts(before, here)`` says whether a row opens a run, from the structs of
+    ``cols`` of the row before and of the row itself. A chunk is summed up by its
+    first and last row and the runs opened inside, so one carry serves both the
+    comparison across its border and the count.
+    """
+    here = F.struct(*cols)
+    opened = F.coalesce(starts(F.col("_before"), F.col("_here")), F.lit(False))
+    opened = F.when(F.col("_before").isNotNull() & opened, 1).otherwise(0).cast("bigint")
+    marked = laid.withColumns({"_here": here, "_before": F.lag(here).over(lane.window())})
+    marked = marked.withColumn("_opened", opened)
+    at = F.struct(F.struct(*lane.order).alias("at"), F.col("_here").alias("row"))
+    summary = (
+        _chunked(marked)
+        .groupBy(*lane.chunk)
+        .agg(F.min(at).alias("_first"), F.max(at).alias("_last"), F.sum("_opened").alias("_inside"))
+        .withColumn("_ahead", F.lag("_last.row").over(lane.across()))
+    )
+    border = F.coalesce(starts(F.col("_ahead"), F.col("_first.row")), F.lit(False))
+    border = F.when(F.col("_ahead").isNull(), F.lit(first)).otherwise(border.cast("int"))
+    upto = lane.across().rowsBetween(Window.unboundedPreceding, 0)
+    before = F.sum(border.cast("bigint") + F.col("_inside")).over(upto) - F.col("_inside")
+    carry = summary.select(*lane.chunk, before.alias("_carry"))
+    within = F.sum("_opened").over(lane.window().rowsBetween(Window.unboundedPreceding, 0))
+    out = _give(marked.withColumn("_within", within), carry, lane)
+    number = F.col("_within") + F.coalesce("_carry", F.lit(first))
+    return out.withColumn(alias, number).drop(
+        "_here", "_before", "_opened", "_within", "_carry"
+    )
+
+
 def with_moving(laid: DataFrame, lane: Lane, col: str, n: int, alias: str) -> DataFrame:
     """Add the mean of the current and the ``n - 1`` rows before.
 
