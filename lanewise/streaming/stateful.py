@@ -18,8 +18,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 class Increases(StatefulProcessor):
     """State per key: rows not yet passed by the watermark, and the last value.
 
-    What waits is bounded by the watermark delay. A key silent for ``ttl_ms`` of
-    event time is forgotten. ``late`` rows never arrive here: Spark drops them.
+    What waits is bounded by the watermark delay. A row more than ``ttl_ms`` after
+    the one before counts as the first of its key, and a key silent for that long
+    leaves the state. Late rows never arrive here: Spark drops them.
     """
 
     def __init__(self, ttl_ms: int):
@@ -52,14 +53,15 @@ class Increases(StatefulProcessor):
             if before[0] // 1000 + self.ttl_ms <= timerValues.getCurrentWatermarkInMs():
                 self.last.clear()
             return iter([])
-        previous = before[1] if before is not None else None
         out = []
         for us, row_id, val in due:
+            known = before is not None and us - before[0] <= self.ttl_ms * 1000
+            previous = before[1] if known else None
             if previous is not None and val is not None and val > previous:
                 out.append((key[0], row_id, val, previous))
-            previous = val
+            before = (us, val)
         if due:
-            self.last.update((due[-1][0], due[-1][2]))
+            self.last.update(before)
             self.handle.registerTimer(due[-1][0] // 1000 + self.ttl_ms)
         if later:
             self.waiting.put(later)
