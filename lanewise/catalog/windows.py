@@ -3,15 +3,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lanewise.catalog import money, number_of, query, text_of
-from lanewise.catalog.relational import BY_USER
+from lanewise.catalog.relational import BY_USER, ORDER_CELLS
 from lanewise.operators import aggregates as A
 from lanewise.operators import sequences as Q
 from lanewise.operators import windows as W
-from lanewise.plans.lanes import Lane, day_cell, minute_cell, number_cell
+from lanewise.plans.lanes import Lane, day_cell, minute_cell, number_cell, sliced
 from lanewise.sources.tables import load
 
-BY_CUSTOMER = Lane(("o_custkey",), ("o_orderdate", "o_orderkey"), day_cell("o_orderdate"))
-ALL_ORDERS = Lane((), ("o_orderdate", "o_orderkey"), day_cell("o_orderdate"))
+BY_CUSTOMER = Lane(("o_custkey",), ("o_orderdate", "o_orderkey"), ORDER_CELLS)
+ALL_ORDERS = Lane((), ("o_orderdate", "o_orderkey"), ("o_orderdate", "_slice"))
 
 
 def _orders(spark, sf_dir):
@@ -43,7 +43,8 @@ def running_total_by_key(spark, sf_dir):
     """,
 )
 def running_total_overall(spark, sf_dir):
-    out = W.running_sum(_orders(spark, sf_dir), ALL_ORDERS, "amount")
+    orders = sliced(_orders(spark, sf_dir), "o_orderkey", 64)
+    out = W.running_sum(orders, ALL_ORDERS, "amount")
     return out.select("o_orderkey", number_of("running"))
 
 
@@ -130,7 +131,7 @@ def three_in_a_row(spark, sf_dir):
 )
 def three_in_a_row_overall(spark, sf_dir):
     events = load(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    lane = Lane((), ("ts", "event_id"), minute_cell("ts", 60))
+    lane = Lane((), ("ts", "event_id"), minute_cell("ts", 1))
     return W.repeated_run(events, lane, "event_type", 3).select("event_id", "event_type")
 
 

@@ -55,37 +55,27 @@ def theta_join(
 
 
 def theta_counts(
-    left: DataFrame,
-    right: DataFrame,
-    left_id: str,
-    left_val: str,
-    right_id: str,
-    right_val: str,
-    cell: str,
+    left: DataFrame, right: DataFrame, left_val: str, right_val: str, cell: str
 ) -> DataFrame:
-    """Per left row, how many right rows are smaller: one ordered pass, no pairs.
+    """Per left row, how many right rows are smaller, without building pairs.
 
-    ``cell`` is the lane cell over the column ``_val``.
+    The answer depends on the value only, so values are counted first and
+    ordered once each, however often they repeat. ``cell`` is the lane cell over
+    the column ``_val``. Null values compare with nothing and count none.
     """
-    both = left.select(
-        F.col(left_id).alias("_id"),
-        F.col(left_val).alias("_val"),
-        F.lit(0).alias("_side"),
-    ).unionByName(
-        right.select(
-            F.col(right_id).alias("_id"),
-            F.col(right_val).alias("_val"),
-            F.lit(1).alias("_side"),
-        )
-    )
-    lane = Lane((), ("_val", "_side", "_id"), cell)
-    marked = both.where(F.col("_val").isNotNull()).withColumn(
-        "_right", F.when(F.col("_side") == 1, 1)
-    )
-    counted = with_running(lay_out(marked, lane), lane, {"n_smaller": ("count", "_right")})
-    return counted.where(F.col("_side") == 0).select(
-        F.col("_id").alias(left_id), F.col("_val").alias(left_val), "n_smaller"
+    require(left, left_val)
+    require(right, right_val)
+    asked = left.select(F.col(left_val).alias("_val"), F.lit(0).cast("bigint").alias("_n"))
+    known = right.select(F.col(right_val).alias("_val"), F.lit(1).cast("bigint").alias("_n"))
+    values = asked.unionByName(known).where(F.col("_val").isNotNull())
+    values = values.groupBy("_val").agg(F.sum("_n").alias("_n"))
+    lane = Lane((), ("_val",), cell)
+    upto = with_running(lay_out(values, lane), lane, {"_upto": ("sum", "_n")})
+    smaller = upto.select(
+        F.col("_val").alias(left_val), (F.col("_upto") - F.col("_n")).alias("n_smaller")
     )
+    found = left.join(smaller, left_val, "left")
+    return found.withColumn("n_smaller", F.coalesce("n_smaller", F.lit(0).cast("bigint")))
 
 
 def join_counts(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:

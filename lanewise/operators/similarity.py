@@ -11,9 +11,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanewise.session import shared_dir
+from lanewise.session import shared_dir, ship_with_tasks
 from lanewise.sources.tables import require
 
+ship_with_tasks(__name__)
+
 QUERY_BATCH = 512
 DECIMALS = 12  # copies of a vector must tie, wherever they lie in a batch
 

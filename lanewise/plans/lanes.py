@@ -64,7 +64,8 @@ def day_cell(col: str) -> str:
 
 
 def minute_cell(col: str, minutes: int = 10) -> str:
-    """Cells of a few minutes; works on timestamps with and without zone."""
+    """Cells of a few minutes, by the clock of the session zone, which must be UTC
+    (elsewhere the clock is set back once a year)."""
     return (
         f"(unix_date(cast({col} as date)) * 1440L + hour({col}) * 60 + minute({col}))"
         f" div {minutes}"
@@ -75,6 +76,14 @@ def number_cell(col: str, width: float) -> str:
     return f"cast(floor({col} / {width}) as bigint)"
 
 
+def sliced(df: DataFrame, col: str, n: int, alias: str = "_slice") -> DataFrame:
+    """Add a second cell level: ``n`` equal slices of an integer tie-breaker's range."""
+    low = df.select(F.min(col).cast("bigint")).scalar()
+    high = df.select(F.max(col).cast("bigint")).scalar()
+    part = (F.col(col) - low).cast("double") / (high - low + 1).cast("double")
+    return df.withColumn(alias, F.floor(part * n))
+
+
 def heavy_keys(df: DataFrame, key: tuple[str, ...], min_rows: int, max_heavy: int) -> DataFrame:
     """The ``max_heavy`` largest keys of more than ``min_rows`` rows.
 

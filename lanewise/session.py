@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 
@@ -46,3 +48,11 @@ def shared_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
+
+
+def ship_with_tasks(module: str) -> None:
+    """Send this module's code along with the tasks that use it.
+
+    Executors then need no copy of the package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from lanewise.session import ship_with_tasks
+
+ship_with_tasks(__name__)
+
 
 class Increases(StatefulProcessor):
     """State per key: rows not yet passed by the watermark, and the last value.
