@@ -127,6 +127,16 @@ def _give(laid: DataFrame, carry: DataFrame, lane: Lane) -> DataFrame:
     return laid.join(carry, lane.chunk, "left")
 
 
+def _lagged(laid: DataFrame, lane: Lane, cols: dict[str, str], i: int = 1) -> Column:
+    """A struct of the values ``i`` rows before, inside the chunk; null before its first row.
+
+    Built from plain columns, so that the shuffle carries no structs.
+    """
+    w = lane.window()
+    values = F.struct(*[F.lag(c, i).over(w).alias(a) for a, c in cols.items()])
+    return F.when(F.lag(F.lit(True), i).over(w), values)
+
+
 def with_previous(laid: DataFrame, lane: Lane, cols: dict[str, str]) -> DataFrame:
     """Add ``alias -> column`` taken from the row before; null on the first."""
     here = F.struct(*[F.col(c).alias(a) for a, c in cols.items()])
@@ -137,7 +147,7 @@ def with_previous(laid: DataFrame, lane: Lane, cols: dict[str, str]) -> DataFram
         .agg(last.alias("_last"))
         .select(*lane.chunk, F.lag("_last.row").over(lane.across()).alias("_carry"))
     )
-    out = _give(laid.withColumn("_before", F.lag(here).over(lane.window())), carry, lane)
+    out = _give(laid.withColumn("_before", _lagged(laid, lane, cols)), carry, lane)
     out = out.withColumn("_before", F.coalesce("_before", "_carry"))
     kept = [c for c in laid.columns if c not in cols]
     return out.select(*kept, *[F.col(f"_before.{a}").alias(a) for a in cols])
@@ -162,7 +172,8 @@ def with_back(laid: DataFrame, lane: Lane, col: str, n: int, alias: str) -> Data
     # n chunks hold n rows or more, since no chunk is empty
     behind = [F.coalesce(F.lag("_tail", i).over(lane.across()), empty) for i in range(1, n + 1)]
     carry = tails.select(*lane.chunk, F.slice(F.concat(*behind), 1, n).alias("_carry"))
-    near = F.array_compact(F.array(*[F.lag(here, i).over(lane.window()) for i in range(1, n + 1)]))
+    lags = [_lagged(laid, lane, {"v": col}, i) for i in range(1, n + 1)]
+    near = F.array_compact(F.array(*lags))
     out = _give(laid.withColumn("_near", near), carry, lane)
     whole = F.slice(F.concat("_near", F.coalesce("_carry", empty)), 1, n)
     return out.withColumn(
@@ -226,11 +237,12 @@ def with_run_number(
     comparison across its border and the count.
     """
     here = F.struct(*cols)
-    opened = F.coalesce(starts(F.col("_before"), F.col("_here")), F.lit(False))
-    opened = F.when(F.col("_before").isNotNull() & opened, 1).otherwise(0).cast("bigint")
-    marked = laid.withColumns({"_here": here, "_before": F.lag(here).over(lane.window())})
-    marked = marked.withColumn("_opened", opened)
-    at = F.struct(F.struct(*lane.order).alias("at"), F.col("_here").alias("row"))
+    before = F.struct(*[F.col(f"_before_{c}").alias(c) for c in cols])
+    lags = {f"_before_{c}": F.lag(c).over(lane.window()) for c in cols}
+    marked = laid.withColumns({**lags, "_follows": F.lag(F.lit(True)).over(lane.window())})
+    opened = F.col("_follows") & F.coalesce(starts(before, here), F.lit(False))
+    marked = marked.withColumn("_opened", F.when(opened, 1).otherwise(0).cast("bigint"))
+    at = F.struct(F.struct(*lane.order).alias("at"), here.alias("row"))
     summary = (
         _chunked(marked)
         .groupBy(*lane.chunk)
@@ -240,13 +252,13 @@ def with_run_number(
     border = F.coalesce(starts(F.col("_ahead"), F.col("_first.row")), F.lit(False))
     border = F.when(F.col("_ahead").isNull(), F.lit(first)).otherwise(border.cast("int"))
     upto = lane.across().rowsBetween(Window.unboundedPreceding, 0)
-    before = F.sum(border.cast("bigint") + F.col("_inside")).over(upto) - F.col("_inside")
-    carry = summary.select(*lane.chunk, before.alias("_carry"))
+    so_far = F.sum(border.cast("bigint") + F.col("_inside")).over(upto) - F.col("_inside")
+    carry = summary.select(*lane.chunk, so_far.alias("_carry"))
     within = F.sum("_opened").over(lane.window().rowsBetween(Window.unboundedPreceding, 0))
     out = _give(marked.withColumn("_within", within), carry, lane)
     number = F.col("_within") + F.coalesce("_carry", F.lit(first))
     return out.withColumn(alias, number).drop(
-        "_here", "_before", "_opened", "_within", "_carry"
+        *lags, "_follows", "_opened", "_within", "_carry"
     )
 
 

@@ -363,3 +363,10 @@ def test_longest_distinct_run(spark, cut):
 def test_run_length(spark, cut):
     got = rows(Q.run_length(sequence_of(spark, "aaaabbbbccccaaa"), BY_POSITION, "c"))
     assert [(r[2], r[3]) for r in got] == [("a", 4), ("b", 4), ("c", 4), ("a", 3)]
+
+
+def test_theta_counts(spark):
+    left = literal(spark, [(1, 10), (2, 20), (3, 30), (4, 30), (5, None)], "id int, v int")
+    right = literal(spark, [(15,), (25,), (30,), (25,), (None,)], "w int")
+    got = J.theta_counts(left, right, "v", "w", "_val div 7").select("id", "n_smaller")
+    assert rows(got) == [(1, 0), (2, 1), (3, 3), (4, 3), (5, 0)]
