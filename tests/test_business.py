@@ -19,7 +19,7 @@ from lanewise.operators import governance as G
 from lanewise.operators import similarity as V
 from lanewise.plans.lanes import Lane, day_cell, minute_cell
 from lanewise.sources.tables import literal
-from lanewise.streaming.runs import new_folder
+from lanewise.streaming.runs import EVENT_SCHEMA, new_folder
 
 DAY = dt.date.fromisoformat
 AT = dt.datetime.fromisoformat
@@ -129,13 +129,12 @@ def test_archive_write_prunes_by_tier(spark):
 
 
 def test_silver_keeps_the_last_version(spark):
-    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     raw = [
         (1, AT("2024-01-01"), 7, " View ", 1.0, '{"k": 1}'),
         (1, AT("2024-01-02"), 7, "view", 2.0, '{"k": "x"}'),
         (None, AT("2024-01-02"), 7, "view", 2.0, "{"),
     ]
-    clean = G.silver(literal(spark, raw, schema))
+    clean = G.silver(literal(spark, raw, EVENT_SCHEMA))
     got = clean.first()
     assert clean.count() == 1
     assert (got["event_type"], got["value"], got["k"]) == ("view", Decimal("2.00"), None)
@@ -167,7 +166,8 @@ def test_best_k_breaks_ties_by_id():
 
 
 def test_vector_functions(spark):
-    df = literal(spark, [([3.0, 4.0], [4.0, 3.0], [0.0, 0.0])], "a array<float>, b array<float>, z array<float>")
+    data = [([3.0, 4.0], [4.0, 3.0], [0.0, 0.0])]
+    df = literal(spark, data, "a array<float>, b array<float>, z array<float>")
     a, b, z = F.col("a"), F.col("b"), F.col("z")
     got = df.select(VF.norm(a), VF.cosine(a, b), VF.cosine(a, z)).first()
     assert tuple(got) == (5.0, pytest.approx(0.96), None)
