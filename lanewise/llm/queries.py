@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import chat, quality
+from lanewise.llm import chat, neardup, quality
 from lanewise.llm.common import documents
 from lanewise.llm.sql import CHAT_SQL, QUALITY_SQL
 
@@ -76,6 +76,12 @@ def chat_digest(formatted: DataFrame) -> DataFrame:
     )
 
 
+@query("op6_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return neardup.near_duplicates(docs, neardup.Forest(words=2, similarity=80))
+
+
 @query("op8_quality_rules", QUALITY_SQL)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(documents(spark, sf_dir).select("doc_id", "text"))
