@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import chat, neardup, quality
-from lanewise.llm.common import documents
+from lanewise.llm import chat, neardup, quality, secrets, toxicity
+from lanewise.llm.common import documents, held_out
 from lanewise.llm.sql import CHAT_SQL, QUALITY_SQL
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,32 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     return register
 
 
+@query("op3_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.train(docs, labels), "score")
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query("op4_secret_scans")
+def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = secrets.scan(docs).drop("text")
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in secrets.BASE_KINDS],
+        F.sha2(secrets.listed(F.col("secrets"), secrets.BASE_KINDS), 256).alias("base_sha256"),
+        secrets.listed(F.col("secrets")).alias("spans"),
+    )
+
+
 @query("op5_chat_formatting", CHAT_SQL)
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
