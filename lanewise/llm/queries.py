@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import chat, neardup, quality, secrets, toxicity
+from lanewise.llm import chat, neardup, quality, secrets, toxicity, vectors
 from lanewise.llm.common import documents, held_out
 from lanewise.llm.sql import CHAT_SQL, QUALITY_SQL
 
@@ -120,3 +120,9 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         base_failed.alias("base_failed"),
         (~base_failed & q["kept"]).alias("kept"),
     )
+
+
+@query("op10_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return vectors.near_duplicates(table, vectors.Cells(similarity=0.93))
