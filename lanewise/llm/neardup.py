@@ -23,7 +23,6 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.functions import pandas_udf
 
 from lanewise.llm.common import text_batches, written
 from lanewise.llm.components import components
@@ -62,7 +61,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class Shingles:
     """Texts to sorted arrays of 64-bit shingle hashes; words are remembered up to a bound."""
 
-    def __init__(self, words: int, remembered: int = 400_000):
+    def __init__(self, words: int, remembered: int = 150_000):
         import xxhash
 
         self.words, self.remembered, self.hash = words, remembered, xxhash.xxh3_64_intdigest
@@ -421,39 +420,24 @@ def confirmed(pairs: DataFrame, docs: DataFrame, forest: Forest) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array([shingles.of(t.as_py()).tobytes() for t in batch.column("text")], pa.binary()),
+                    pa.array([shingles.of(t.as_py()).view(np.int64) for t in batch.column("text")], pa.list_(pa.int64())),
                 ],
                 names=["id", "shingles"],
             )
 
     sets = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi").mapInArrow(
-        run, "id long, shingles binary"
+        run, "id long, shingles array<bigint>"
     )
     sets = written(sets, "sets")
 
-    @pandas_udf("boolean")
-    def similar(left, right):
-        import pandas as pd
-
-        out = []
-        for x, y in zip(left, right):
-            n, m = len(x) // 8, len(y) // 8
-            small, large = min(n, m), max(n, m)
-            if 100 * small < percent * large:
-                out.append(False)
-                continue
-            both = np.sort(np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)]))
-            shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            out.append(100 * shared >= percent * (n + m - shared))
-        return pd.Series(out, dtype=bool)
-
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     return (
         pairs.where("a <> b")
         .join(left, "a")
         .join(right, "b")
-        .where(similar("left", "right"))
+        .withColumn("shared", F.size(F.array_intersect("left", "right")))
+        .where(100 * F.col("shared") >= percent * (F.size("left") + F.size("right") - F.col("shared")))
         .select("a", "b")
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import chat, neardup, quality, secrets, toxicity, vectors
+from lanewise.llm import chat, langid, neardup, quality, secrets, toxicity, vectors
 from lanewise.llm.common import documents, held_out
 from lanewise.llm.sql import CHAT_SQL, QUALITY_SQL
 
@@ -122,6 +122,13 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    named = langid.predict(docs.select("doc_id", "text"), langid.train(docs), "lang_pred", "score")
+    return named.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query("op10_embedding_near_dedup")
 def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
