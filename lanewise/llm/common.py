@@ -36,6 +36,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def vocabulary_file(name: str, folder: str | None = None) -> str:
+    """The content of a public tokenizer's file; the installed ones unless ``folder`` names others."""
+    if folder is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(name)
+    else:
+        path = f"{folder}/{name}"
+    with open(path, encoding="utf-8") as f:
+        return f.read()
+
+
+def crc32_of(ids: str) -> Column:
+    """Unsigned crc32 of a binary column."""
+    return F.crc32(ids)
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """True for the rows no model may learn labels from."""
     return F.crc32(doc_id.cast("string")) % folds == 0

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import chat, langid, neardup, quality, secrets, toxicity, vectors
-from lanewise.llm.common import documents, held_out
+from lanewise.llm import chat, langid, neardup, packing, quality, secrets, toxicity, vectors
+from lanewise.llm.common import crc32_of, documents, held_out, vocabulary_file
 from lanewise.llm.sql import CHAT_SQL, QUALITY_SQL
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,15 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(docs, neardup.Forest(words=2, similarity=80))
 
 
+@query("op7_packing")
+def sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    pieces = packing.packed(docs, vocabulary_file("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", crc32_of("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @query("op8_quality_rules", QUALITY_SQL)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(documents(spark, sf_dir).select("doc_id", "text"))
