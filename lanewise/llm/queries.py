@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import chat, langid, neardup, packing, quality, secrets, toxicity, vectors
+from lanewise.llm import bpe, chat, langid, neardup, packing, quality, secrets, toxicity, vectors
 from lanewise.llm.common import crc32_of, documents, held_out, vocabulary_file
 from lanewise.llm.sql import CHAT_SQL, QUALITY_SQL
 
@@ -27,6 +27,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     return register
 
 
+@query("op2_byte_bpe")
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    table = bpe.Table.of(bpe.read_ranks(vocabulary_file("byte_bpe_multi_50k.tiktoken")))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return bpe.digested(bpe.encoded(docs, table, public_tokenizers.PATTERN).drop("text"), table)
+
+
 @query("op3_toxicity")
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
