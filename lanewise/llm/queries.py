@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import bpe, chat, langid, neardup, packing, quality, secrets, toxicity, vectors
+from lanewise.llm import bpe, chat, idcoder, langid, neardup, packing, quality, secrets, toxicity, vectors
 from lanewise.llm.common import crc32_of, documents, held_out, vocabulary_file
 from lanewise.llm.sql import CHAT_SQL, QUALITY_SQL
+from lanewise.session import shared_dir
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +29,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     return register
 
 
+@query("op1_token_id_coder")
+def token_id_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    idcoder.write(docs, vocabulary_file("byte_bpe_50k.json"), path)
+    return idcoder.read(spark, path)
+
+
 @query("op2_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
