@@ -68,6 +68,10 @@ class Table:
         single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         return Table(tokens, single, keys, values)
 
+    def parts(self) -> tuple:
+        """Plain values that any executor can read; ``Table(*parts)`` is the table again."""
+        return self.tokens, self.bytes_, self.keys, self.values
+
     def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The id of each joined pair, or ``NONE``."""
         key = ((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)) + np.uint64(1)
@@ -216,11 +220,11 @@ def encoded(docs: DataFrame, table: Table, pattern: str, ids: str = "ids") -> Da
     others and all rows stay.
     """
     docs = docs.drop(ids)
-    sent = docs.sparkSession.sparkContext.broadcast(table)
+    sent = docs.sparkSession.sparkContext.broadcast(table.parts())
     from pyspark.sql import types as T
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value, pattern)
+        encoder = Encoder(Table(*sent.value), pattern)
         for batch in text_batches(batches):
             found = encoder.encode(batch.column("text").to_pylist())
             column = pa.array([x.astype("<u4").tobytes() for x in found], pa.binary())
@@ -231,12 +235,13 @@ def encoded(docs: DataFrame, table: Table, pattern: str, ids: str = "ids") -> Da
 
 def digested(encoded_docs: DataFrame, table: Table, ids: str = "ids") -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of documents with their ids."""
-    sent = encoded_docs.sparkSession.sparkContext.broadcast(table)
+    sent = encoded_docs.sparkSession.sparkContext.broadcast(table.parts())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
 
-        names = [str(i) for i in range(len(sent.value.tokens))].__getitem__
+        back = Table(*sent.value)
+        names = [str(i) for i in range(len(back.tokens))].__getitem__
         for batch in batches:
             found = [np.frombuffer(x.as_buffer(), "<u4") for x in batch.column(ids)]
             yield pa.RecordBatch.from_arrays(
@@ -244,7 +249,7 @@ def digested(encoded_docs: DataFrame, table: Table, ids: str = "ids") -> DataFra
                     batch.column("doc_id"),
                     pa.array([len(x) for x in found], pa.int64()),
                     pa.array([sha256(",".join(map(names, x.tolist())).encode()).hexdigest() for x in found]),
-                    pa.array([sha256(decode(x, sent.value)).hexdigest() for x in found]),
+                    pa.array([sha256(decode(x, back)).hexdigest() for x in found]),
                 ],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )

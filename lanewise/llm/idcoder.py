@@ -37,7 +37,7 @@ from lanewise.session import ship_with_tasks
 ship_with_tasks(__name__)
 
 MAGIC = b"IDB1"
-HEAD = struct.Struct("<4sBIIII")
+HEAD = "<4sBIIII"
 LEAST = np.uint32(1 << 16)  # of a coder's range between symbols
 SLOTS = 2048  # of each prediction table
 NODES = 256  # of each digit's counts, by a hash of the digits before
@@ -271,29 +271,29 @@ class Piece:
     ends: bool
 
 
-PIECE = struct.Struct("<?qI??")
+PIECE = "<?qI??"
 
 
 def seal(code: bytes, pieces: list[Piece], digits: int) -> bytes:
     table = b"".join(
-        PIECE.pack(p.doc_id is None, p.doc_id or 0, p.length, p.begins, p.ends) for p in pieces
+        struct.pack(PIECE, p.doc_id is None, p.doc_id or 0, p.length, p.begins, p.ends) for p in pieces
     )
-    head = HEAD.pack(MAGIC, digits, sum(p.length for p in pieces), len(pieces), len(table), len(code))
+    head = struct.pack(HEAD, MAGIC, digits, sum(p.length for p in pieces), len(pieces), len(table), len(code))
     body = head + table + code
     return body + struct.pack("<I", zlib.crc32(body))
 
 
 def unseal(data: bytes) -> tuple[bytes, list[Piece], int]:
     """Code, pieces and digits of a block; raises ``CorruptBlock`` if a byte is wrong or missing."""
-    if len(data) < HEAD.size + 4 or data[:4] != MAGIC:
+    if len(data) < struct.calcsize(HEAD) + 4 or data[:4] != MAGIC:
         raise CorruptBlock("not a block of token ids")
     if struct.unpack("<I", data[-4:])[0] != zlib.crc32(data[:-4]):
         raise CorruptBlock("checksum of a block of token ids is wrong")
-    _, digits, _, n, table, code = HEAD.unpack_from(data)
-    at = HEAD.size
+    _, digits, _, n, table, code = struct.unpack_from(HEAD, data)
+    at, size = struct.calcsize(HEAD), struct.calcsize(PIECE)
     pieces = []
     for k in range(n):
-        null, doc, length, begins, ends = PIECE.unpack_from(data, at + k * PIECE.size)
+        null, doc, length, begins, ends = struct.unpack_from(PIECE, data, at + k * size)
         pieces.append(Piece(None if null else doc, length, begins, ends))
     return data[at + table : at + table + code], pieces, digits
 
