@@ -9,8 +9,9 @@
    starts at ``depth`` common values and is cut deeper while it holds more than
    ``region`` classes. Pairs whose signatures agree too little are left out.
 4. Links are confirmed on the full sets. In crowded regions the first pass tests
-   a spanning forest of the candidates only; a second pass tests all that still
-   lies between different components of a region. So groups of thousands cost a few tests each.
+   a spanning forest and the best of the candidates only. Further passes test the
+   best candidates between different components of a region while these link
+   something, and the last one tests all that are left. So groups of thousands cost a few tests each.
 """
 
 from __future__ import annotations
@@ -142,8 +143,8 @@ def sketch(docs: DataFrame, forest: Forest) -> DataFrame:
     )
 
 
-def _pairs_of_region(orders, first, last, least):
-    """Candidate pairs in rows [first, last): all, or a spanning forest of the best if they are many."""
+def _pairs_of_region(orders, first, last, least, best=3):
+    """Candidate pairs in rows [first, last): all, or if they are many a spanning forest and the best of each row."""
     n = last - first
     a, b, score = [], [], []
     block = orders[first:last]
@@ -166,12 +167,15 @@ def _pairs_of_region(orders, first, last, least):
             parent[x] = x = parent[parent[x]]
         return x
 
-    chosen = []
+    chosen, taken = [], np.zeros(last, np.int64)
     for k in np.argsort(-score, kind="stable").tolist():
-        x, y = root(int(a[k])), root(int(b[k]))
-        if x != y:
+        i, j = int(a[k]), int(b[k])
+        x, y = root(i), root(j)
+        if x != y or taken[i] < best or taken[j] < best:
             parent[x] = y
-            chosen.append((int(a[k]), int(b[k])))
+            taken[i] += 1
+            taken[j] += 1
+            chosen.append((i, j))
     return chosen, True
 
 
@@ -339,15 +343,23 @@ def _last_region(table, forest: Forest) -> int:
     return at or (len(orders) // 2 if len(orders) > 60_000 else 0)
 
 
-def across_labels(classes: DataFrame, forest: Forest, chunk: int = 2048, visitors: int = 2048) -> DataFrame:
+def across_labels(
+    classes: DataFrame, forest: Forest, best: int | None = None, chunk: int = 2048, visitors: int = 2048, many: int = 32
+) -> DataFrame:
     """Pairs a, b of ids of different labels that may be linked, from whole regions.
 
+    With ``best``, only so many of a row in a chunk, those of the nearest signatures.
+    Without, all; but a row near a label of many rows gives one row with ``whole``
+    set, a the id and b the label, in place of a pair for each row of the label.
+
     ``classes``: id, signature, label. In a region, rows outside its largest label
     visit all rows. Rows are dealt over chunks, and visitors go to every chunk, so a
     crowded region is spread over tasks. Regions with too many visitors are cut
     deeper.
     """
-    left = grow(classes, forest)
+    large = classes.groupBy("label").count().where(F.col("count") > many)
+    large = large.select("label", F.lit(best is None).alias("large"))
+    left = grow(classes, forest).join(large, "label", "left").fillna(False, ["large"])
     found = None
     depth = forest.depth
     while True:
@@ -372,12 +384,12 @@ def across_labels(classes: DataFrame, forest: Forest, chunk: int = 2048, visitor
             .withColumn("visits", F.lit(True))
             .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         )
-        columns = ["tree", "prefix", "chunk", "visits", "id", "label", "ordering"]
+        columns = ["tree", "prefix", "chunk", "visits", "id", "label", "large", "ordering"]
         pairs = (
             at_home.select(columns)
             .unionByName(visiting.select(columns))
             .groupBy("tree", "prefix", "chunk")
-            .applyInArrow(_visits(forest), "a long, b long")
+            .applyInArrow(_visits(forest, depth, best), "a long, b long, whole boolean")
         )
         found = pairs if found is None else found.union(pairs)
         if deepest or not regions.where(F.col("n") - F.col("largest") > visitors).limit(1).count():
@@ -387,49 +399,144 @@ def across_labels(classes: DataFrame, forest: Forest, chunk: int = 2048, visitor
         depth = min(forest.values, 2 * depth)
 
 
-def _visits(forest: Forest):
+def _visits(forest: Forest, depth: int, best: int | None):
     values, least = forest.values, forest.least
 
+    def met_before(equal: np.ndarray, tree: int) -> np.ndarray:
+        """Pairs that share a region of an earlier tree too; ``equal``: which values agree, in this tree's order."""
+        before = np.zeros(len(equal), bool)
+        for t in range(tree):
+            at = (forest.tree_start(t) - forest.tree_start(tree)) % values + np.arange(depth)
+            before |= equal[:, at % values].all(axis=1)
+        return before
+
     def run(group: pa.Table) -> pa.Table:
-        ids, _, orders = _columns(group, values)
+        ids, trees, orders = _columns(group, values)
         labels = group.column("label").to_numpy()
-        visits = group.column("visits").to_numpy()
+        visits, large = group.column("visits").to_numpy(), group.column("large").to_numpy()
         home = np.flatnonzero(~visits)
-        a, b = [], []
+        a, b, near_labels = [], [], set()
         for i in np.flatnonzero(visits).tolist():
-            same = np.count_nonzero(orders[home] == orders[i], axis=1)
-            hit = home[(same >= least) & (labels[home] != labels[i])]
+            equal = orders[home] == orders[i]
+            same = np.count_nonzero(equal, axis=1)
+            near = np.flatnonzero((same >= least) & (labels[home] != labels[i]))
+            if best is not None and len(near) > best:
+                near = near[np.argsort(-same[near], kind="stable")[:best]]
+            if large.any():
+                whole = large[home[near]]
+                if large[i]:  # the row of a large label visits rows of small ones: these meet the label
+                    near_labels.update((int(x), int(labels[i])) for x in ids[home[near]])
+                    continue
+                near_labels.update((int(ids[i]), int(x)) for x in np.unique(labels[home[near[whole]]]))
+                near = near[~whole]
+            hit = home[near[~met_before(equal[near], int(trees[i]))]]
             a.append(np.minimum(ids[hit], ids[i]))
             b.append(np.maximum(ids[hit], ids[i]))
         none = np.empty(0, np.int64)
+        pairs = np.concatenate([none, *a])
+        met = sorted(near_labels)
         return pa.table(
-            {"a": pa.array(np.concatenate([none, *a])), "b": pa.array(np.concatenate([none, *b]))}
+            {
+                "a": pa.array([*pairs, *(x for x, _ in met)], pa.int64()),
+                "b": pa.array([*np.concatenate([none, *b]), *(y for _, y in met)], pa.int64()),
+                "whole": pa.array([False] * len(pairs) + [True] * len(met), pa.bool_()),
+            }
         )
 
     return run
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, forest: Forest) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
-    words, percent = forest.words, forest.similarity
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def against_labels(near: DataFrame, labelled: DataFrame, docs: DataFrame, forest: Forest, block: int = 300_000) -> DataFrame:
+    """Links between the ids ``a`` of ``near`` and any row of the label ``b``, by full sets.
+
+    ``labelled``: id, label. Both sides are dealt over blocks of about ``block``
+    shingles, and a task counts the shared shingles of two blocks by an inverted index.
+    """
+    members = labelled.join(near.select(F.col("b").alias("label")).distinct(), "label", "left_semi")
+    visitors = near.select(F.col("b").alias("label"), F.col("a").alias("id")).distinct()
+    sets = _sets(members.select("id").union(visitors.select("id")).distinct(), docs, forest)
+    sizes = F.ceil(F.sum(F.size("shingles").cast("long")) / block).cast("int")
+    members, visitors = members.join(sets, "id"), visitors.join(sets, "id")
+    dealt = (
+        members.groupBy("label").agg(sizes.alias("m")).join(visitors.groupBy("label").agg(sizes.alias("v")), "label")
+    )
+    own = lambda n: F.pmod(F.xxhash64("id"), F.greatest(n, F.lit(1))).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1))
+    columns = ["label", "i", "j", "visits", "id", "shingles"]
+    met = (
+        members.join(dealt, "label")
+        .select("label", own(F.col("m")).alias("i"), every(F.col("v")).alias("j"), F.lit(False).alias("visits"), "id", "shingles")
+        .unionByName(
+            visitors.join(dealt, "label")
+            .select("label", every(F.col("m")).alias("i"), own(F.col("v")).alias("j"), F.lit(True).alias("visits"), "id", "shingles")
+        )
+    )
+    return met.select(columns).groupBy("label", "i", "j").applyInArrow(_shared(forest), "a long, b long").distinct()
+
+
+def _shared(forest: Forest):
+    percent = forest.similarity
+
+    def run(group: pa.Table) -> pa.Table:
+        ids, visits = group.column("id").to_numpy(), group.column("visits").to_numpy()
+        sets = group.column("shingles").combine_chunks()
+        ends, flat = sets.offsets.to_numpy(), sets.values.to_numpy()
+        sizes = np.diff(ends)
+        owner = np.repeat(np.arange(len(ids)), sizes)
+        inside = ~visits[owner]
+        order = np.argsort(flat[inside], kind="stable")
+        index, owners = flat[inside][order], owner[inside][order]
+        a, b = [], []
+        for i in np.flatnonzero(visits).tolist():
+            own = flat[ends[i] : ends[i + 1]]
+            first, last = np.searchsorted(index, own, "left"), np.searchsorted(index, own, "right")
+            n = last - first
+            at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+            shared = np.bincount(owners[at], minlength=len(ids))
+            linked = (100 * shared >= percent * (sizes[i] + sizes - shared)) & ~visits & (ids != ids[i])
+            for x in ids[linked].tolist():
+                a.append(min(x, int(ids[i])))
+                b.append(max(x, int(ids[i])))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def thinned(docs: DataFrame, wanted: DataFrame, bits: int = 1 << 24) -> DataFrame:
+    """Most of the rows of ``docs`` whose doc_id is not in ``wanted`` left out, before any text is shuffled.
+
+    The ids wanted set bits of a map of fixed size (``bits``, in words of 32), which
+    is broadcast. A full map leaves nothing out, so a join must follow.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    word = F.shiftright(place, 5).cast("int")
+    bit = F.expr(f"1L << cast(pmod(xxhash64(doc_id), {bits}) % 32 AS int)")
+    words = wanted.select(word.alias("__word"), bit.alias("bit")).groupBy("__word").agg(F.bit_or("bit").alias("mask"))
+    found = docs.withColumn("__word", word).join(F.broadcast(words), "__word")
+    return found.where(F.col("mask").bitwiseAND(bit) != 0).select(docs.columns)
+
+
+def _sets(ids: DataFrame, docs: DataFrame, forest: Forest) -> DataFrame:
+    """id and sorted shingles of the documents of ``ids``."""
+    words = forest.words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words)
         for batch in text_batches(batches):
+            found = [shingles.of(t.as_py()).view(np.int64) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([shingles.of(t.as_py()).view(np.int64) for t in batch.column("text")], pa.list_(pa.int64())),
-                ],
-                names=["id", "shingles"],
+                [batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["id", "shingles"]
             )
 
-    sets = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi").mapInArrow(
-        run, "id long, shingles array<bigint>"
-    )
-    sets = written(sets, "sets")
+    wanted = ids.withColumnRenamed("id", "doc_id")
+    needed = thinned(docs.select("doc_id", "text"), wanted).join(wanted, "doc_id", "left_semi")
+    return written(needed.mapInArrow(run, "id long, shingles array<bigint>"), "sets")
 
+
+def confirmed(pairs: DataFrame, docs: DataFrame, forest: Forest) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough."""
+    percent = forest.similarity
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, forest)
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     return (
@@ -462,26 +569,50 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     first = written(confirmed(pairs.where("a <> b"), texts, forest), "links")
     known = components(first)
     crowded = pairs.where("a = b").select(F.col("a").alias("id"))
-    rest = (
-        one.join(crowded, "id", "left_semi")
-        .join(known.withColumnRenamed("node", "id"), "id", "left")
-        .select("id", "signature", F.coalesce("component", "id").alias("label"))
-    )
     if crowded.limit(1).count():
-        more = across_labels(written(rest, "crowded"), forest)
-        more = more.join(pairs, ["a", "b"], "left_anti")
-        second = written(confirmed(written(more, "pairs"), texts, forest), "links")
-        known = components(first.union(second))
+        tested, linked = pairs, first
+        rest = written(one.join(crowded, "id", "left_semi"), "crowded")
+        best: int | None = 3
+        while True:
+            labelled = rest.join(known.withColumnRenamed("node", "id"), "id", "left").select(
+                "id", "signature", F.coalesce("component", "id").alias("label")
+            )
+            labelled = written(labelled, "labelled")
+            more = written(across_labels(labelled, forest, best), "pairs")
+            more, whole = more.where("not whole").select("a", "b"), more.where("whole").select("a", "b")
+            new = confirmed(more.join(tested, ["a", "b"], "left_anti"), texts, forest)
+            if best is None:
+                new = new.union(against_labels(whole, labelled.select("id", "label"), texts, forest))
+            new = written(new, "links")
+            found = new.limit(1).count()
+            if found:
+                tested, linked = tested.union(more), linked.union(new)
+                known = components(linked)
+            if best is None:
+                break
+            if not found:
+                best = None
 
     root = (
         one.select("digest", "id")
         .join(known.withColumnRenamed("node", "id"), "id", "left")
         .select("digest", F.coalesce("component", "id").alias("component_id"))
     )
-    linked = full.join(root, "digest").select("doc_id", "n_shingles", "component_id")
+    classed = full.join(root, "digest").select("doc_id", "n_shingles", "component_id")
     alone = seen.where("digest is null or doc_id is null").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
     )
-    return linked.union(alone).withColumn(
+    return classed.union(alone).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def keep_one(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
+    """One document of each group, that of the smallest doc_id, with its own columns.
+
+    Of rows of one doc_id one stays, any of them; rows without doc_id all stay.
+    """
+    found = near_duplicates(docs, forest)
+    kept = found.where("kept and doc_id is not null").select("doc_id").distinct()
+    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return one.select(docs.columns).unionByName(docs.where("doc_id is null"))
