@@ -75,7 +75,7 @@ def hot_windows(run: str, window: int, bits: float) -> Iterator[tuple[int, int]]
     H = log2(w) - sum(c log2 c) / w; a step changes two counts, so it costs the
     same for any window.
     """
-    term = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
+    term = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
     most = window * (math.log2(window) - bits) + 1e-9
     counts: dict[str, int] = {}
     total, begin, end = 0.0, -1, -1
