@@ -28,7 +28,7 @@ class Encoder:
     ``file`` is the content of the tokenizer file.
     """
 
-    def __init__(self, file: str, remembered: int = 300_000):
+    def __init__(self, file: str, remembered: int = 600_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -38,6 +38,9 @@ class Encoder:
         self.library.encode_special_tokens = True
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
+        #: Latin letters of either case then have the same ids; without it, case matters.
+        self.lowers = '"Lowercase"' in file
+        self.ends = {c: np.array(i, np.uint32).tobytes() for c, i in zip(",.", self._ids([",", "."]))}
         self.mark = np.array(self._ids([f" {MARK}"])[0], np.uint32)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -56,10 +59,26 @@ class Encoder:
             pieces[0] = MARK + pieces[0]
         return pieces
 
+    def _stem(self, p: str) -> tuple[str, str]:
+        """A word and the comma or full stop behind it: letters and signs are never in one token."""
+        if p[-1] in self.ends and p[:-1].isalpha() and max(p) < "\u0250":
+            p, end = p[:-1], p[-1]
+        else:
+            end = ""
+        return p.lower() if self.lowers and p.isalpha() and max(p) < "\u0100" else p, end
+
     def _learn(self, fresh: list[str]) -> None:
-        joined, alone = [], []
+        stems, alone, derived = {}, [], []
         for p in fresh:
-            (alone if p[:1] in (MARK, "\n") else joined).append(p)
+            if p[:1] in (MARK, "\n"):
+                alone.append(p)
+                continue
+            stem, end = self._stem(p)
+            if stem not in self.known:
+                stems[stem] = None
+            if stem != p:
+                derived.append((p, stem, end))
+        joined = list(stems)
         for at in range(0, len(alone), 1024):
             part = alone[at : at + 1024]
             whole = [p.removeprefix(MARK) for p in part]
@@ -79,6 +98,8 @@ class Encoder:
             for p, end in zip(group, ends.tolist()):
                 self.known[p] = data[4 * begin : 4 * (end + 1 - width)]
                 begin = end + 1
+        known, ends = self.known, self.ends | {"": b""}
+        known.update([(p, known[stem] + ends[end]) for p, stem, end in derived])
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text as 32-bit numbers; null texts count as empty."""
