@@ -205,12 +205,14 @@ def duplicate_keys(spark, sf_dir):
         f"CAST(coalesce(sum(value::DECIMAL(18,2)) FILTER (event_type = '{t}'), 0) AS DOUBLE) AS {t}"
         for t in EVENT_TYPES
     )
-    + " FROM events GROUP BY user_id",
+    + ", CAST(coalesce(sum(value::DECIMAL(18,2)) FILTER (coalesce(event_type NOT IN ("
+    + ", ".join(f"'{t}'" for t in EVENT_TYPES)
+    + "), true)), 0) AS DOUBLE) AS other FROM events GROUP BY user_id",
 )
 def pivot_sum(spark, sf_dir):
     events = load(spark, sf_dir, "events").withColumn("value", money("value"))
     wide = A.pivot_sum(events, ["user_id"], "event_type", "value", EVENT_TYPES)
-    return wide.select("user_id", *[number_of(t) for t in EVENT_TYPES])
+    return wide.select("user_id", *[number_of(t) for t in [*EVENT_TYPES, "other"]])
 
 
 @query(

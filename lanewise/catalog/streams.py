@@ -109,7 +109,7 @@ def stream_late_data(spark, sf_dir):
         part = events.where((F.col("event_type") == "purchase") == F.lit(late))
         part.write.mode("append").parquet(src)
         unique = W.stream_dedup(event_stream(spark, src), ["event_id"])
-        dropped += W.late_rows(run_available(unique, checkpoint, table).recentProgress)
+        dropped += W.late_rows(run_available(unique, checkpoint, table).progress)
     kept = spark.read.parquet(table).select(F.lit("kept").alias("kind"))
     counts = kept.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
     return counts.union(spark.createDataFrame([("dropped", dropped)], "kind string, n bigint"))

@@ -34,6 +34,21 @@ def running_total_by_key(spark, sf_dir):
     return out.select("o_orderkey", "o_custkey", number_of("running"))
 
 
+@query(
+    "running_total_tied",
+    """
+    SELECT o_orderkey, o_custkey, CAST(sum(o_totalprice::DECIMAL(18,2)) OVER (
+             PARTITION BY o_custkey ORDER BY year(o_orderdate)) AS DOUBLE) AS running
+    FROM orders
+    """,
+)
+def running_total_tied(spark, sf_dir):
+    orders = _orders(spark, sf_dir).withColumn("o_year", F.year("o_orderdate"))
+    lane = Lane(("o_custkey",), ("o_year",), "o_year", bounded=True)
+    out = W.running_sum_tied(orders, lane, "amount")
+    return out.select("o_orderkey", "o_custkey", number_of("running"))
+
+
 @query(
     "running_total_overall",
     """

@@ -60,14 +60,37 @@ def duplicates(df: DataFrame, keys: list[str], alias: str = "cnt") -> DataFrame:
 
 
 def pivot_sum(
-    df: DataFrame, key: list[str], cat: str, val: str, values: list[str], fill: float | None = 0
+    df: DataFrame,
+    key: list[str],
+    cat: str,
+    val: str,
+    values: list[str] | None = None,
+    fill: float | None = 0,
+    other: str | None = "other",
+    most: int = 2000,
 ) -> DataFrame:
-    """One summed column per category: a single grouped pass, one shuffle."""
+    """One summed column per category: a single grouped pass, one shuffle.
+
+    Without ``values`` the categories are found first; a null category is the
+    column "null", and more than ``most`` are an error, never left out. With
+    ``values``, the rest is summed in the column ``other`` (None: left out on purpose).
+    """
     require(df, *key, cat, val)
-    sums = [F.sum(F.when(F.col(cat) == v, F.col(val))) for v in values]
+    found = values
+    if found is None:
+        found = [r[0] for r in df.select(cat).distinct().orderBy(cat).limit(most + 1).collect()]
+        if len(found) > most:
+            raise ValueError(f"more than {most} categories in {cat}")
+    sums = [F.sum(F.when(F.col(cat).eqNullSafe(F.lit(v)), F.col(val))) for v in found]
+    if values is not None and other is not None:
+        known = F.coalesce(F.col(cat).isin(*values), F.lit(False))
+        sums.append(F.sum(F.when(~known, F.col(val))))
+    names = ["null" if v is None else str(v) for v in found]
+    if len(names) < len(sums):
+        names.append(other)
     if fill is not None:
         sums = [F.coalesce(s, F.lit(fill)) for s in sums]
-    return df.groupBy(*key).agg(*[s.alias(v) for s, v in zip(sums, values)])
+    return df.groupBy(*key).agg(*[s.alias(v) for s, v in zip(sums, names)])
 
 
 def always_increasing(df: DataFrame, lane: Lane, val: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewise.plans.lanes import CHUNK, Lane, lay_out, with_running
+from lanewise.plans.lookups import join_null_safe
 from lanewise.session import shared_dir
 from lanewise.sources.tables import require
 
@@ -54,7 +55,7 @@ def rfm(orders: DataFrame, lines: DataFrame, as_of: str) -> DataFrame:
         .groupBy("o_custkey")
         .agg(F.countDistinct("l_partkey").alias("variety"))
     )
-    scored = base.join(variety, "o_custkey", "left").withColumns(
+    scored = join_null_safe(base, variety, ["o_custkey"], "left").withColumns(
         {"variety": F.coalesce("variety", F.lit(0)), "_older": -F.col("recency")}
     )
     # one row per customer, written once: the three orderings below read it again
@@ -65,7 +66,7 @@ def rfm(orders: DataFrame, lines: DataFrame, as_of: str) -> DataFrame:
         cell = (metric, f"o_custkey div {CUSTOMERS_PER_CELL}")
         ranked = scored.select("o_custkey", metric)
         ranked = equal_groups(ranked, (metric, "o_custkey"), cell, 5, alias)
-        out = out.join(ranked.select("o_custkey", alias), "o_custkey")
+        out = join_null_safe(out, ranked.select("o_custkey", alias), ["o_custkey"])
     return out
 
 

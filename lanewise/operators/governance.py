@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewise.functions import strings as S
@@ -64,10 +64,10 @@ def write_by_age(df: DataFrame, ts: str, as_of: str, days: int, path: str) -> No
     split.write.mode("overwrite").partitionBy("tier", "year").parquet(path)
 
 
-def silver(raw: DataFrame) -> DataFrame:
-    """Typed events, one row per event id: the last version by time wins."""
+def typed(raw: DataFrame) -> DataFrame:
+    """Every version of every event with its types; rows without an id or a time are left out."""
     require(raw, "event_id", "ts", "user_id", "event_type", "value", "props")
-    typed = raw.select(
+    return raw.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         "user_id",
@@ -75,9 +75,18 @@ def silver(raw: DataFrame) -> DataFrame:
         F.col("value").try_cast("decimal(18,2)").alias("value"),
         F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
     ).where(F.col("event_id").isNotNull() & F.col("ts").isNotNull())
-    fields = [c for c in typed.columns if c != "event_id"]
-    latest = typed.groupBy("event_id").agg(F.max(F.struct(*fields)).alias("_row"))
-    return latest.select("event_id", "_row.*")
+
+
+def latest(versions: DataFrame) -> DataFrame:
+    """One row per event id: the last version by time wins."""
+    fields = [c for c in versions.columns if c != "event_id"]
+    order = Window.partitionBy("event_id").orderBy(*[F.desc(c) for c in fields])
+    return versions.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
+
+
+def silver(raw: DataFrame) -> DataFrame:
+    """Typed events, one row per event id."""
+    return latest(typed(raw))
 
 
 def gold(clean: DataFrame) -> DataFrame:

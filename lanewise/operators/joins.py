@@ -28,15 +28,21 @@ def theta_join(
     """
     require(left, left_val)
     require(right, right_val)
-    low = right.select(F.min(right_val).cast("double")).scalar()
-    high = right.select(F.max(right_val).cast("double")).scalar()
+    number = F.col(right_val).cast("double")
+    finite = F.when(F.abs(number) < float("inf"), number)
+    least, low, high = right.agg(F.min(right_val), F.min(finite), F.max(finite)).first()
 
     def bucket(col: str):
-        share = (F.col(col).cast("double") - low) / F.nullif(high - low, F.lit(0.0))
-        return F.least(F.floor(F.coalesce(share, F.lit(0.0)) * buckets), F.lit(buckets - 1))
+        """Grows with the value in double precision: never above the bucket of a larger value."""
+        value = F.col(col).cast("double")
+        share = (value - F.lit(low)) / F.nullif(F.lit(high) - F.lit(low), F.lit(0.0))
+        at = F.floor(F.coalesce(share, F.lit(0.0)) * buckets)
+        return F.when(F.isnan(value), F.lit(buckets - 1)).otherwise(
+            F.greatest(F.least(at, F.lit(buckets - 1)), F.lit(0))
+        ).cast("bigint")
 
     others = left.columns
-    sent = left.where(F.col(left_val) > low).withColumns(
+    sent = left.where(F.col(left_val) > F.lit(least)).withColumns(
         {
             "_bucket": F.explode(F.sequence(F.lit(0).cast("bigint"), bucket(left_val))),
             "_salt": F.pmod(F.xxhash64(*others), F.lit(salts)),

@@ -15,6 +15,7 @@ from lanewise.plans.lanes import (
     with_run_number,
     with_running,
 )
+from lanewise.plans.lookups import join_null_safe
 from lanewise.sources.tables import require
 
 
@@ -24,6 +25,22 @@ def running_sum(df: DataFrame, lane: Lane, val: str, alias: str = "running") ->
     return with_running(lay_out(df, lane), lane, {alias: ("sum", val)}).drop(CHUNK)
 
 
+def running_sum_tied(
+    df: DataFrame, lane: Lane, val: str, alias: str = "running"
+) -> DataFrame:
+    """Cumulative sum where rows of one order value share a total, as a RANGE frame gives it.
+
+    Sums per (key, order value) are ordered once each and joined back, so the order
+    need not be unique. ``lane.order`` holds no tie-breaker. Null order values come
+    first and share a total too.
+    """
+    require(df, *lane.key, *lane.order, val)
+    on = [*lane.key, *lane.order]
+    sums = df.groupBy(*on).agg(F.sum(val).alias("_sum"))
+    totals = with_running(lay_out(sums, lane), lane, {alias: ("sum", "_sum")})
+    return join_null_safe(df, totals.select(*on, alias), on, "left")
+
+
 def moving_avg(df: DataFrame, lane: Lane, val: str, n: int, alias: str = "moving") -> DataFrame:
     """Mean of the current and the ``n - 1`` rows before."""
     require(df, val)
@@ -37,18 +54,23 @@ def dense_rank_by(
 
     Ranks are computed on distinct values and joined back, so ties cost nothing
     in the ordered step. ``cell`` is the lane cell over ``_down``, the negated
-    value; ``heavy`` overrides the lane's thresholds.
+    value; ``heavy`` overrides the lane's thresholds. NaN is the largest number, and
+    null keys are a group, as in a window.
     """
     require(df, *key, val)
+    nan, down = F.lit(False), -F.col(val)
+    if dict(df.dtypes)[val] in ("double", "float"):
+        nan = F.isnan(val)
+        down = F.when(nan, F.lit(float("-inf"))).otherwise(down)
     values = (
         df.select(*key, val)
         .where(F.col(val).isNotNull())
         .distinct()
-        .withColumn("_down", -F.col(val))
+        .withColumns({"_number": ~nan, "_down": down})
     )
-    lane = Lane(key, ("_down",), cell, **heavy)
+    lane = Lane(key, ("_number", "_down"), cell, **heavy)
     ranks = with_running(lay_out(values, lane, df), lane, {alias: ("count", "_down")})
-    return df.join(ranks.select(*key, val, alias), [*key, val], "left")
+    return join_null_safe(df, ranks.select(*key, val, alias), list(key), "left", plain=[val])
 
 
 def nth_highest(df: DataFrame, key: list[str], val: str, n: int = 3) -> DataFrame:

@@ -21,8 +21,7 @@ Where many rows may share one cell, ``cell`` can be a tuple: a second expression
 cuts the rows that agree on the first. The first must then be the leading order
 column itself, or the cells would not follow the order.
 
-Key columns should not be null: null keys form a group of their own, which is
-computed correctly but never cut.
+Null keys form a group of their own, as in a window, and are cut like any other.
 """
 
 from __future__ import annotations
@@ -33,6 +32,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from lanewise.plans.lookups import join_null_safe
 from lanewise.sources.tables import require
 
 CHUNK = "_chunk"
@@ -73,7 +73,11 @@ def minute_cell(col: str, minutes: int = 10) -> str:
 
 
 def number_cell(col: str, width: float) -> str:
-    return f"cast(floor({col} / {width}) as bigint)"
+    """Cells of equal width; infinities and NaN, the largest number, have cells of their own."""
+    return (
+        f"CASE WHEN isnan(cast({col} as double)) THEN {2**63 - 1}"
+        f" ELSE cast(floor({col} / {width}) as bigint) END"
+    )
 
 
 def sliced(df: DataFrame, col: str, n: int, alias: str = "_slice") -> DataFrame:
@@ -113,7 +117,7 @@ def lay_out(df: DataFrame, lane: Lane, basis: DataFrame | None = None) -> DataFr
     heavy = heavy_keys(counted, lane.key, lane.min_rows, lane.max_heavy)
     heavy = heavy.withColumn("_heavy", F.lit(True))
     return (
-        df.join(F.broadcast(heavy), list(lane.key), "left")
+        join_null_safe(df, F.broadcast(heavy), list(lane.key), "left")
         .withColumn(CHUNK, F.when(F.col("_heavy"), _cell(lane)))
         .drop("_heavy")
     )
@@ -124,7 +128,7 @@ def _chunked(laid: DataFrame) -> DataFrame:
 
 
 def _give(laid: DataFrame, carry: DataFrame, lane: Lane) -> DataFrame:
-    return laid.join(carry, lane.chunk, "left")
+    return join_null_safe(laid, carry, list(lane.key), "left", plain=[CHUNK])
 
 
 def _lagged(laid: DataFrame, lane: Lane, cols: dict[str, str], i: int = 1) -> Column:

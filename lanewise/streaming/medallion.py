@@ -1,12 +1,12 @@
-"""Three layers kept by streams: bronze as it came, silver typed and unique, gold aggregated."""
+"""Three layers kept by streams: bronze as it came, silver typed, gold aggregated."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lanewise.operators import governance as G
 from lanewise.streaming.runs import EVENT_SCHEMA, event_stream, run_available
-from lanewise.streaming.windows import stream_dedup
 
 SILVER_SCHEMA = (
     "event_id bigint, ts timestamp, user_id bigint, event_type string, value decimal(18,2),"
@@ -14,56 +14,33 @@ SILVER_SCHEMA = (
 )
 
 
-def typed(bronze: DataFrame) -> DataFrame:
-    return bronze.select(
-        "event_id",
-        "ts",
-        "user_id",
-        F.lower(F.trim("event_type")).alias("event_type"),
-        F.col("value").try_cast("decimal(18,2)").alias("value"),
-        F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
-    ).where(F.col("event_id").isNotNull() & F.col("ts").isNotNull())
-
-
 def run_medallion(
     spark: SparkSession,
     src: str,
     out: str,
     checkpoint: str,
     name: str = "*.parquet",
-    watermark: str = "1 day",
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Bring all three layers up to date with ``src`` and return gold.
+    """Bring the streamed layers up to date with ``src`` and return gold.
 
-    Each hop has its own checkpoint, so a lost executor or a restart repeats at
-    most a micro-batch. Gold keeps one partial result per silver batch, written
-    over itself when a batch is repeated; distinct users need the user in it.
+    Bronze and silver are appended, exactly once, with a checkpoint for each hop, so
+    a lost executor or a restart repeats at most a micro-batch of
+    ``files_per_trigger`` files. Silver keeps every version of an event: there is no
+    watermark, so nothing is too late, and a correction in a later file counts.
     """
-    raw = event_stream(spark, src, name)
+    raw = event_stream(spark, src, name, files_per_trigger=files_per_trigger)
     bronze = raw.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     run_available(bronze, f"{checkpoint}/bronze", f"{out}/bronze")
 
-    rows = event_stream(spark, f"{out}/bronze", schema=EVENT_SCHEMA)
-    clean = stream_dedup(typed(rows), ["event_id"], watermark)
-    run_available(clean, f"{checkpoint}/silver", f"{out}/silver")
-
-    def partial(batch: DataFrame, number: int) -> None:
-        grouped = batch.groupBy(F.to_date("ts").alias("day"), "event_type", "user_id").agg(
-            F.count(F.lit(1)).alias("events"), F.sum("value").alias("value"), F.max("k").alias("k")
-        )
-        grouped.write.mode("overwrite").parquet(f"{out}/gold/batch={number}")
-
-    served = event_stream(spark, f"{out}/silver", schema=SILVER_SCHEMA)
-    run_available(served, f"{checkpoint}/gold", each_batch=partial)
+    rows = event_stream(
+        spark, f"{out}/bronze", schema=EVENT_SCHEMA, files_per_trigger=files_per_trigger
+    )
+    run_available(G.typed(rows), f"{checkpoint}/silver", f"{out}/silver")
     return read_gold(spark, out)
 
 
 def read_gold(spark: SparkSession, out: str) -> DataFrame:
-    """Events, users and value per day and type, over all batches."""
-    parts = spark.read.parquet(f"{out}/gold")
-    return parts.groupBy("day", "event_type").agg(
-        F.sum("events").alias("events"),
-        F.countDistinct("user_id").alias("users"),
-        F.sum("value").alias("value"),
-        F.max("k").alias("max_k"),
-    )
+    """Events, users and value per day and type, of the last version of each event."""
+    silver = spark.read.schema(SILVER_SCHEMA).parquet(f"{out}/silver")
+    return G.gold(G.latest(silver))

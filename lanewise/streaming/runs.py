@@ -5,10 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from lanewise.session import prepare, shared_dir
 
@@ -64,15 +66,26 @@ def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(k, v)
 
 
+@dataclass(frozen=True)
+class Run:
+    """An ended query and the progress of all its micro-batches."""
+
+    query: StreamingQuery
+    progress: list[StreamingQueryProgress]
+
+
 def run_available(
     stream: DataFrame,
     checkpoint: str,
     path: str | None = None,
     mode: str = "append",
     each_batch: Callable[[DataFrame, int], None] | None = None,
-) -> StreamingQuery:
+) -> Run:
     """Process what has arrived, then stop. A restart goes on from the checkpoint.
 
+    The progress of every micro-batch is gathered while the query runs: Spark itself
+    keeps the last reports only.
+
     With ``path``, rows are appended to a parquet table exactly once; with
     ``each_batch``, the function must be repeatable for the same batch number.
     """
@@ -84,8 +97,14 @@ def run_available(
         writer = writer.format("parquet").option("path", path)
     with _settings(stream.sparkSession, STREAM_SETTINGS):
         running = writer.start()
-    running.awaitTermination()
-    return running
+    seen: dict[int, StreamingQueryProgress] = {}
+    done = False
+    while not done:
+        done = running.awaitTermination(0.2)
+        seen.update((p.batchId, p) for p in running.recentProgress)
+    if seen and len(seen) <= max(seen) - min(seen):
+        raise RuntimeError("progress of some micro-batches was missed")
+    return Run(running, [seen[k] for k in sorted(seen)])
 
 
 def run_to_table(stream: DataFrame, kind: str) -> DataFrame:

@@ -22,14 +22,10 @@ ship_with_tasks(__name__)
 class Increases(StatefulProcessor):
     """State per key: rows not yet passed by the watermark, and the last value.
 
-    What waits is bounded by the watermark delay. A row more than ``ttl_ms`` after
-    the one before counts as the first of its key, and a key silent for that long
-    leaves the state. Late rows never arrive here: Spark drops them.
+    What waits is bounded by the watermark delay; of a silent key one value stays,
+    however long. Late rows never arrive here: Spark drops them.
     """
 
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
-
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", "us bigint, row_id bigint, val double")
@@ -53,20 +49,14 @@ class Increases(StatefulProcessor):
         due = [r for r in rows if r[0] <= limit]
         later = rows[len(due) :]
         before = self.last.get() if self.last.exists() else None
-        if not rows and before is not None:
-            if before[0] // 1000 + self.ttl_ms <= timerValues.getCurrentWatermarkInMs():
-                self.last.clear()
-            return iter([])
         out = []
         for us, row_id, val in due:
-            known = before is not None and us - before[0] <= self.ttl_ms * 1000
-            previous = before[1] if known else None
+            previous = before[1] if before is not None else None
             if previous is not None and val is not None and val > previous:
                 out.append((key[0], row_id, val, previous))
             before = (us, val)
         if due:
             self.last.update(before)
-            self.handle.registerTimer(due[-1][0] // 1000 + self.ttl_ms)
         if later:
             self.waiting.put(later)
             self.handle.registerTimer(_ms_up(later[0][0]))
@@ -87,14 +77,13 @@ def stream_increases(
     key: str,
     row_id: str,
     val: str,
-    ttl: int = 30 * 86_400,
     watermark: str = "1 hour",
     ts: str = "ts",
 ) -> DataFrame:
     """Rows above the row before of their key, with that earlier value.
 
-    ``ttl`` is in seconds of event time. One key is one state and hence one
-    task; bound the micro-batch at the source for keys of high rate.
+    One key is one state and hence one task; bound the micro-batch at the source
+    for keys of high rate.
     """
     kind = dict(stream.dtypes)[key]
     rows = stream.withWatermark(ts, watermark).select(
@@ -105,7 +94,7 @@ def stream_increases(
         F.col(val).cast("double").alias("val"),
     )
     out = rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=Increases(ttl * 1000),
+        statefulProcessor=Increases(),
         outputStructType=f"key {kind}, row_id bigint, val double, prev double",
         outputMode="append",
         timeMode="EventTime",

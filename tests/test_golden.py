@@ -173,9 +173,9 @@ def test_calendar_and_gaps(spark):
 def test_pivot(spark):
     acts = [(1, "view", 10), (1, "click", 4), (2, "view", 3)]
     df = literal(spark, acts, "user bigint, action string, cnt bigint")
-    got = A.pivot_sum(df, ["user"], "action", "cnt", ["view", "click"])
+    got = A.pivot_sum(df, ["user"], "action", "cnt", ["view", "click"], other=None)
     assert rows(got) == [(1, 10, 4), (2, 3, 0)]
-    got = A.pivot_sum(df, ["user"], "action", "cnt", ["view", "click"], fill=None)
+    got = A.pivot_sum(df, ["user"], "action", "cnt", ["view", "click"], fill=None, other=None)
     assert rows(got) == [(1, 10, 4), (2, 3, None)]
 
 

@@ -9,13 +9,16 @@ from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lanewise.operators import aggregates as A
 from lanewise.operators import customers as U
+from lanewise.operators import joins as J
 from lanewise.operators import windows as W
 from lanewise.plans.lanes import (
     CHUNK,
     Lane,
     heavy_keys,
     lay_out,
+    number_cell,
     with_back,
     with_moving,
     with_previous,
@@ -128,6 +131,65 @@ def test_keys_beyond_the_bound_are_still_right(spark):
     assert cut == 2
 
 
+@pytest.mark.parametrize("min_rows", [0, 20, 10**6])
+def test_a_null_key_is_a_key_and_is_cut(spark, min_rows):
+    df = skewed(spark, 9).withColumn("k", F.nullif("k", F.lit(0)))
+    lane = Lane(("k",), ("t", "i"), "t div 3", min_rows=min_rows)
+    w = Window.partitionBy("k").orderBy("t", "i")
+    plain = df.select("i", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    assert rows(W.running_sum(df, lane, "v").select("i", "running")) == rows(plain)
+    before = df.withColumn("prev", F.lag("v").over(w)).where("v > prev").select("i", "prev")
+    assert rows(W.increases(df, lane, "v").select("i", "prev")) == rows(before)
+    ranked = W.dense_rank_by(df, ("k",), "v", "_down div 2", min_rows=min_rows).where("v is not null")
+    w = Window.partitionBy("k").orderBy(F.desc("v"))
+    assert rows(ranked.select("i", "rank")) == rows(df.where("v is not null").select("i", F.dense_rank().over(w)))
+    cut = lay_out(df, lane).where(f"k is null and {CHUNK} is not null").count()
+    assert (cut > 0) == (min_rows < 50)
+
+
+def test_numbers_beyond_all_bounds(spark):
+    odd = [float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1.5, -2.5, 7.0, None]
+    df = literal(spark, [(i, i % 2, x) for i, x in enumerate(odd * 2)], "i int, k int, v double")
+    known = df.where("v is not null")
+    for key, min_rows in (((), 0), (("k",), 0), (("k",), 10**6)):
+        got = W.dense_rank_by(known, key, "v", number_cell("_down", 2), min_rows=min_rows)
+        w = Window.partitionBy(*key).orderBy(F.desc("v"))
+        assert rows(got.select("i", "rank")) == rows(known.select("i", F.dense_rank().over(w)))
+    smaller = J.theta_counts(df, df, "v", "v", number_cell("_val", 2)).select("i", "n_smaller")
+    right = known.select(F.col("v").alias("w"))
+    want = known.join(right, F.col("v") > F.col("w"), "left").groupBy("i").agg(F.count("w"))
+    assert {r[0]: r[1] for r in smaller.collect()} == {**{8: 0, 17: 0}, **dict(map(tuple, want.collect()))}
+    pairs = J.theta_join(df.select("i", "v"), right, "v", "w")
+    assert pairs.count() == known.join(right, F.col("v") > F.col("w")).count()
+
+
+def test_large_integers_keep_their_order(spark):
+    big = 2**53
+    left = literal(spark, [(big + 1,), (big,), (None,)], "v bigint")
+    right = literal(spark, [(big,), (big - 1,)], "w bigint")
+    assert rows(J.theta_join(left, right, "v", "w")) == [(big, big - 1), (big + 1, big - 1), (big + 1, big)]
+
+
+@pytest.mark.parametrize("min_rows", [0, 20, 10**6])
+def test_tied_order_values_share_a_total(spark, min_rows):
+    df = skewed(spark, 10).withColumn("k", F.nullif("k", F.lit(1)))
+    lane = Lane(("k",), ("t",), "t div 3", min_rows=min_rows)
+    w = Window.partitionBy("k").orderBy("t")  # the default frame is a RANGE
+    got = W.running_sum_tied(df, lane, "v").select("i", "running")
+    assert rows(got) == rows(df.select("i", F.sum("v").over(w)))
+
+
+def test_pivot_loses_no_category(spark):
+    acts = [(1, "view", 10), (1, "brandnew", 5), (2, None, 3)]
+    df = literal(spark, acts, "user bigint, action string, cnt bigint")
+    assert rows(A.pivot_sum(df, ["user"], "action", "cnt", ["view"])) == [(1, 10, 5), (2, 0, 3)]
+    found = A.pivot_sum(df, ["user"], "action", "cnt")
+    assert found.columns == ["user", "null", "brandnew", "view"]
+    assert rows(found) == [(1, 0, 5, 10), (2, 3, 0, 0)]
+    with pytest.raises(ValueError, match="more than 2"):
+        A.pivot_sum(df, ["user"], "action", "cnt", most=2)
+
+
 def test_empty_input(spark):
     df = literal(spark, [], "k int, t int, i int, v int")
     for lane in LANES:
@@ -157,13 +219,19 @@ def test_equal_groups_match_ntile(spark, n):
     assert rows(got) == rows(df.select("id", F.ntile(5).over(Window.orderBy("m", "id"))))
 
 
-@pytest.mark.parametrize("max_rows", [0, 100])
-def test_attach_both_ways(spark, max_rows):
+@pytest.mark.parametrize("max_bytes", [0, 10_000])
+def test_attach_both_ways(spark, max_bytes):
     df = skewed(spark, 8)
     lookup = literal(spark, [(0, "a"), (1, "b")], "k int, name string")
     for how in ("inner", "left", "left_anti"):
-        got = attach(df, lookup, ["k"], how, max_rows=max_rows, salts=4)
+        got = attach(df, lookup, ["k"], how, max_bytes=max_bytes, salts=4)
         assert rows(got) == rows(df.join(lookup, ["k"], how))
+    for how in ("right", "full"):
+        with pytest.raises(ValueError):
+            attach(df, lookup, ["k"], how, max_bytes=max_bytes)
+    unnamed = literal(spark, [(None, "c")], "k int, name string")
+    got = attach(df.withColumn("k", F.nullif("k", F.lit(0))), unnamed, ["k"], max_bytes=max_bytes, salts=4)
+    assert got.count() == df.where("k = 0 or k is null").count()
 
 
 def test_spans_longer_than_a_block(spark):

@@ -53,8 +53,8 @@ def test_windows_close_once_and_late_rows_are_counted(feed):
     first = feed.run(build)
     feed.add(event(4, 2), event(5, 26), event(6, 60))  # minute 2 is late, minute 26 is not
     second = feed.run(build)
-    assert W.late_rows(first.recentProgress) == 0
-    assert W.late_rows(second.recentProgress) == 1
+    assert W.late_rows(first.progress) == 0
+    assert W.late_rows(second.progress) == 1
     minute = (F.unix_seconds("window_start") - int(START.replace(tzinfo=dt.timezone.utc).timestamp())) / 60
     assert rows(feed.table().select(minute.cast("int"), "n")) == [(0, 2), (20, 1), (30, 1)]
 
@@ -102,17 +102,28 @@ def test_increases_follow_event_time_not_arrival(feed):
     assert rows(feed.table()) == [(1, 2, 6.0, 5.0), (1, 3, 7.0, 6.0), (1, 6, 2.0, 1.0)]
 
 
-def test_silent_keys_are_forgotten(feed):
+def test_silence_of_any_length_is_no_new_start(feed):
     def build(s):
-        return stream_increases(s, "user_id", "event_id", "value", ttl=3600, watermark="1 minute")
+        return stream_increases(s, "user_id", "event_id", "value", watermark="1 minute")
 
-    feed.add(event(1, 0, value=1.0), event(2, 500, user=2))
+    day = 24 * 60
+    feed.add(event(1, 0, value=1.0), event(2, 39 * day, user=2, value=0.0))
     feed.run(build)
-    feed.add(event(3, 501, value=9.0), event(4, 502, user=3))
+    feed.add(event(3, 40 * day, value=2.0), event(4, 41 * day, user=2, value=0.0))
     feed.run(build)
-    feed.add(event(5, 900, user=2, value=0.0))
-    feed.run(build)
-    assert feed.table().where("user_id = 1").count() == 0
+    assert rows(feed.table()) == [(1, 3, 2.0, 1.0)]
+
+
+def test_progress_of_every_batch_is_kept(feed, spark):
+    for i in range(8):
+        feed.add(event(i, i))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "4")
+    try:
+        unique = W.stream_dedup(event_stream(spark, f"{feed.home}/src", files_per_trigger=1), ["event_id"])
+        run = run_available(unique, f"{feed.home}/checkpoint", f"{feed.home}/table")
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert sum(p.numInputRows for p in run.progress) == 8
 
 
 def test_medallion_goes_on_where_it_stopped(spark):
@@ -123,3 +134,15 @@ def test_medallion_goes_on_where_it_stopped(spark):
         run_medallion(spark, f"{home}/src", f"{home}/out", f"{home}/checkpoint")
     want = G.gold(G.silver(literal(spark, everything, EVENT_SCHEMA)))
     assert rows(read_gold(spark, f"{home}/out").select(*want.columns)) == rows(want)
+
+
+def test_medallion_takes_late_and_corrected_events(spark):
+    home = new_folder(spark, "medallion")
+    day = 24 * 60
+    first = [event(1, 0, value=1.0), event(2, 10 * day, value=1.0)]
+    later = [event(3, 5 * day, value=2.0), (1, START + dt.timedelta(minutes=1), 1, "view", 5.0, '{"k": 1}')]
+    for part in (first, later):
+        literal(spark, part, EVENT_SCHEMA).write.mode("append").parquet(f"{home}/src")
+        run_medallion(spark, f"{home}/src", f"{home}/out", f"{home}/checkpoint", files_per_trigger=1)
+    want = rows(G.gold(G.silver(literal(spark, first + later, EVENT_SCHEMA))))
+    assert rows(read_gold(spark, f"{home}/out")) == want
