@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.llm.common import written
+from lanewise.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
@@ -34,16 +40,33 @@ def _state(edges: DataFrame) -> tuple:
     )
 
 
+def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a batch as stars around its smallest nodes: shortens the paths between tasks."""
+    for batch in batches:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            u, v = root(u), root(v)
+            parent[max(u, v)] = min(u, v)
+        stars = [(x, root(x)) for x in list(parent) if root(x) != x]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([s[k] for s in stars], pa.int64()) for k in (0, 1)], names=["u", "v"]
+        )
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component: the smallest node reachable, for every node of a link to another node.
 
     Each round is written, so a lost executor repeats one round; rounds grow
     with the logarithm of the longest path. Stars are joined, never gathered.
     """
-    edges = written(
-        links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(),
-        "links",
-    )
+    ordered = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v")
+    edges = written(ordered.mapInArrow(_local_stars, "u long, v long").distinct(), "links")
     before, now = None, _state(edges)
     while now != before and now[0]:
         edges = written(_small_star(_large_star(edges)), "stars")

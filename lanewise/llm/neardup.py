@@ -9,9 +9,9 @@
    starts at ``depth`` common values and is cut deeper while it holds more than
    ``region`` classes. Pairs whose signatures agree too little are left out.
 4. Links are confirmed on the full sets. In crowded regions the first pass tests
-   a spanning forest and the best of the candidates only. Further passes test the
-   best candidates between different components of a region while these link
-   something, and the last one tests all that are left. So groups of thousands cost a few tests each.
+   a spanning forest and the best of the candidates only. A second pass
+   tests the best candidates between different components of a region, and a third
+   all that are left, those near a large component against its sets. So groups of thousands cost a few tests each.
 """
 
 from __future__ import annotations
@@ -528,15 +528,17 @@ def _sets(ids: DataFrame, docs: DataFrame, forest: Forest) -> DataFrame:
                 [batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], names=["id", "shingles"]
             )
 
-    wanted = ids.withColumnRenamed("id", "doc_id")
-    needed = thinned(docs.select("doc_id", "text"), wanted).join(wanted, "doc_id", "left_semi")
-    return written(needed.mapInArrow(run, "id long, shingles array<bigint>"), "sets")
+    thin = thinned(docs.select("doc_id", "text"), ids.withColumnRenamed("id", "doc_id"))
+    # joined after the sets are made, or Spark would join first and shuffle all texts
+    found = thin.mapInArrow(run, "id long, shingles array<bigint>")
+    return written(found.join(ids, "id", "left_semi"), "sets")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, forest: Forest) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
     percent = forest.similarity
-    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, forest)
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+    sets = _sets(ends.distinct(), docs, forest)
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     return (
@@ -572,8 +574,7 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     if crowded.limit(1).count():
         tested, linked = pairs, first
         rest = written(one.join(crowded, "id", "left_semi"), "crowded")
-        best: int | None = 3
-        while True:
+        for best in (3, None):
             labelled = rest.join(known.withColumnRenamed("node", "id"), "id", "left").select(
                 "id", "signature", F.coalesce("component", "id").alias("label")
             )
@@ -584,14 +585,9 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
             if best is None:
                 new = new.union(against_labels(whole, labelled.select("id", "label"), texts, forest))
             new = written(new, "links")
-            found = new.limit(1).count()
-            if found:
+            if new.limit(1).count():
                 tested, linked = tested.union(more), linked.union(new)
                 known = components(linked)
-            if best is None:
-                break
-            if not found:
-                best = None
 
     root = (
         one.select("digest", "id")
