@@ -92,7 +92,7 @@ def consent_filter(spark, sf_dir):
 @query(
     "pii_mask",
     r"""
-    SELECT sha256(CAST(doc_id AS VARCHAR)) AS doc_id, lang,
+    SELECT sha256(sha256('example secret') || ':' || CAST(doc_id AS VARCHAR)) AS doc_id, lang,
            regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '<email>', 'g')
              AS text
     FROM documents
@@ -100,7 +100,7 @@ def consent_filter(spark, sf_dir):
 )
 def pii_mask(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return G.mask(docs, "text", "doc_id")
+    return G.mask(docs, "text", "doc_id", secret="example secret")
 
 
 RULES = {

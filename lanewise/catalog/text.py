@@ -125,23 +125,28 @@ def palindrome_tokens(spark, sf_dir):
     return X.palindromes(_words(spark, sf_dir), "token", min_len=3)
 
 
-def _html_sql() -> str:
-    from lanewise.functions.strings import ENTITIES
-
-    def decoded(expr: str) -> str:
-        for name, char in ENTITIES.items():
-            quoted = [s.replace("'", "''") for s in (name, char)]
-            expr = f"replace({expr}, '{quoted[0]}', '{quoted[1]}')"
-        return f"trim(regexp_replace({expr}, '[ \\t\\r\\n]+', ' ', 'g'))"
-
-    bare = "regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g')"
-    for tag in ("script", "style", "title"):
-        bare = f"regexp_replace({bare}, '(?is)<{tag}[^>]*>.*?</{tag}>', ' ', 'g')"
-    title = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
-    text = f"regexp_replace({bare}, '<[^>]*>', ' ', 'g')"
-    return f"SELECT page_id, {decoded(title)} AS title, {decoded(text)} AS text FROM pages"
+HTML_SQL = r"""
+WITH bare AS (
+  SELECT page_id,
+    regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title,
+    regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'),
+      '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<title[^>]*>.*?</title>', ' ', 'g') AS body
+  FROM pages
+), said AS (
+  SELECT page_id, 'title' AS part, title AS t FROM bare
+  UNION ALL SELECT page_id, 'text', regexp_replace(body, '<([^<>"'']|"[^"]*"|''[^'']*'')*>', ' ', 'g') FROM bare
+), plain AS (
+  SELECT page_id, part, trim(regexp_replace(
+    replace(replace(replace(replace(replace(replace(replace(replace(t,
+      '&nbsp;', ' '), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'),
+    '[ \t\r\n]+', ' ', 'g')) AS t
+  FROM said
+)
+SELECT page_id, max(t) FILTER (part = 'title') AS title, max(t) FILTER (part = 'text') AS text
+FROM plain GROUP BY page_id
+"""
 
 
-@query("html_text", _html_sql())
+@query("html_text", HTML_SQL)
 def html_text(spark, sf_dir):
     return html_to_text(load(spark, sf_dir, "pages")).select("page_id", "title", "text")

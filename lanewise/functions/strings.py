@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,18 +11,11 @@ from pyspark.sql import functions as F
 # The three bracket kinds.
 BRACKETS = {"(": ")", "[": "]", "{": "}"}
 
-# Named HTML entities; the ampersand is last, so that an escaped
-# entity such as "&amp;lt;" is unescaped once only.
-ENTITIES = {
-    "&nbsp;": " ",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&amp;": "&",
-}
+# The named HTML entities of the standard library, with spaces as spaces.
+ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+
+# A tag, whose attributes may hold ">" in quotes; else anything between "<" and ">".
+TAGS = (r"""<[^<>"']*(?:(?:"[^"]*"|'[^']*')[^<>"']*)+>""", r"<[^>]*>")
 
 
 def characters(c: Column) -> Column:
@@ -89,8 +83,34 @@ def reversed_labels(name: Column) -> Column:
     return F.array_join(F.reverse(F.split(name, r"\.")), ".")
 
 
+def code_point(hexadecimal: Column) -> Column:
+    """The character of a hexadecimal code point; null for none, surrogates and the like."""
+    code = F.conv(F.when(F.length(hexadecimal) <= 8, hexadecimal), 16, 10).cast("bigint")
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(hexadecimal, 8, "0")), "UTF-32"))
+
+
 def unescaped(c: Column) -> Column:
-    return reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), c)
+    """Named and numeric entities as characters, each once; unknown ones stay as they are."""
+    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def piece(p: Column) -> Column:
+        name = F.regexp_extract(p, r"^(#[0-9]{1,9}|#[xX][0-9A-Fa-f]{1,8}|[A-Za-z][A-Za-z0-9]*);", 1)
+        char = (
+            F.when(name == "", F.lit(None).cast("string"))
+            .when(name.rlike("^#[xX]"), code_point(F.substring(name, F.lit(3), F.length(name))))
+            .when(name.startswith("#"), code_point(F.conv(F.substring(name, F.lit(2), F.length(name)), 10, 16)))
+            .otherwise(F.try_element_at(names, name))
+        )
+        char = F.when(char == "\u00a0", F.lit(" ")).otherwise(char)
+        rest = F.substring(p, F.length(name) + 2, F.length(p))
+        return F.when(char.isNull(), F.concat(F.lit("&"), p)).otherwise(F.concat(char, rest))
+
+    def joined(pieces: Column) -> Column:
+        behind = F.slice(pieces, F.lit(2), F.size(pieces))
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(behind, piece), ""))
+
+    return F.when(F.contains(c, F.lit("&")), joined(F.split(c, "&"))).otherwise(c)
 
 
 def squeezed(c: Column) -> Column:
@@ -102,7 +122,9 @@ def visible_text(html: Column) -> Column:
     bare = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
     for tag in ("script", "style", "title"):
         bare = F.regexp_replace(bare, rf"(?is)<{tag}[^>]*>.*?</{tag}>", " ")
-    return squeezed(unescaped(F.regexp_replace(bare, r"<[^>]*>", " ")))
+    for tag in TAGS:
+        bare = F.regexp_replace(bare, tag, " ")
+    return squeezed(unescaped(bare))
 
 
 def page_title(html: Column) -> Column:

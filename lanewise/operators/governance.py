@@ -9,11 +9,17 @@ from lanewise.functions import strings as S
 from lanewise.sources.tables import require
 
 
-def mask(df: DataFrame, text: str, key: str) -> DataFrame:
-    """E-mail addresses in ``text`` masked, ``key`` replaced by its SHA-256."""
+def mask(df: DataFrame, text: str, key: str, secret: str) -> DataFrame:
+    """E-mail addresses in ``text`` masked, ``key`` replaced by the SHA-256 of it and ``secret``.
+
+    Keys from a small range can be found by trying all of them, unless the secret
+    that is hashed with them stays unknown. A null key stays null.
+    """
     require(df, text, key)
+    if not secret:
+        raise ValueError("a secret is needed: plain hashes of short keys are reversed by counting up")
     return df.withColumns(
-        {key: F.sha2(F.col(key).cast("string"), 256), text: S.emails_masked(F.col(text))}
+        {key: F.sha2(F.concat(F.sha2(F.lit(secret), 256), F.lit(":"), F.col(key).cast("string")), 256), text: S.emails_masked(F.col(text))}
     )
 
 

@@ -16,7 +16,8 @@ from lanewise.sources.tables import require
 
 ship_with_tasks(__name__)
 
-QUERY_BATCH = 512
+QUERY_BATCH = 32_768  # queries of one scan: what is sent to the tasks at once
+QUERY_BLOCK = 512  # queries of one matrix product
 DECIMALS = 12  # copies of a vector must tie, wherever they lie in a batch
 
 
@@ -41,7 +42,7 @@ def cosine_topk(
     """The ``k`` most similar vectors of each query (``query_id``, ``vec``), exactly.
 
     Queries go to the tasks in batches of at most ``batch``, so what is sent has
-    a fixed size and any number of queries works. A task multiplies an Arrow
+    a fixed size; each batch is one scan of the vectors. A task multiplies an Arrow
     batch of vectors with all queries at once and passes on its best ``k`` per
     query; the final ranking sees tasks x queries x k rows, never all scores.
     """
@@ -94,26 +95,29 @@ def _best_of_task(vectors: DataFrame, queries: list, k: int):
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names, unit = sent.value
-        kept = None
+        blocks = [slice(at, at + QUERY_BLOCK) for at in range(0, len(names), QUERY_BLOCK)]
+        best = [None] * len(blocks)
         for pdf in batches:
             block = np.stack(pdf[vec].to_numpy()).astype("float64") if len(pdf) else None
             if block is None:
                 continue
             ok = np.linalg.norm(block, axis=1) > 0
-            scores = np.round(unit @ _unit(block[ok]).T, DECIMALS)
-            found = best_k(pdf[vec_id].to_numpy()[ok], scores, k)
-            if kept is not None:
-                both = [np.concatenate(pair, axis=1) for pair in zip(kept, found)]
-                found = best_k(*both, k)
-            kept = found
-        if kept is not None and kept[0].size:
-            width = kept[0].shape[1]
-            yield pd.DataFrame(
-                {
-                    "query_id": np.repeat(names, width),
-                    vec_id: kept[0].ravel(),
-                    "score": kept[1].ravel(),
-                }
-            )
+            ids, rows = pdf[vec_id].to_numpy()[ok], _unit(block[ok]).T
+            for b, part in enumerate(blocks):
+                found = best_k(ids, np.round(unit[part] @ rows, DECIMALS), k)
+                if best[b] is not None:
+                    both = [np.concatenate(pair, axis=1) for pair in zip(best[b], found)]
+                    found = best_k(*both, k)
+                best[b] = found
+        for kept, part in zip(best, blocks):
+            if kept is not None and kept[0].size:
+                width = kept[0].shape[1]
+                yield pd.DataFrame(
+                    {
+                        "query_id": np.repeat(names[part], width),
+                        vec_id: kept[0].ravel(),
+                        "score": kept[1].ravel(),
+                    }
+                )
 
     return scan

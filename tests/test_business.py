@@ -12,6 +12,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from lanewise import session
+from lanewise.functions import strings as S
 from lanewise.functions import vectors as VF
 from lanewise.operators import customers as U
 from lanewise.operators import finance as N
@@ -101,9 +102,19 @@ def test_rules_count_null_as_failed(spark):
 
 def test_mask(spark):
     df = literal(spark, [(1, "write to a.b@c.example.com now"), (2, "no @ address")], "id int, t string")
-    got = dict(r[::-1] for r in G.mask(df, "t", "id").collect())
+    got = dict(r[::-1] for r in G.mask(df, "t", "id", "s3").collect())
     assert set(got) == {"write to <email> now", "no @ address"}
     assert all(len(h) == 64 for h in got.values())
+    other = dict(r[::-1] for r in G.mask(df, "t", "id", "s4").collect())
+    assert not set(got.values()) & set(other.values())
+    with pytest.raises(ValueError):
+        G.mask(df, "t", "id", "")
+
+
+def test_entities_and_quoted_attributes(spark):
+    page = """<p title="a>b">it&#8217;s &eacute;t&eacute; &#x1F600; &bogus; &#xD800; &amp;lt; a & b <br/> it's <b x='>'>c</b>"""
+    got = literal(spark, [(page,)], "h string").select(S.visible_text(F.col("h"))).first()[0]
+    assert got == "it’s été 😀 &bogus; &#xD800; &lt; a & b it's c"
 
 
 def test_html(spark):
@@ -160,6 +171,16 @@ def test_topk_against_brute_force_with_copies(spark, batch):
     assert rows(got.select("query_id", "vec_id", "place")) == sorted(want, key=repr)
 
 
+def test_many_queries_in_one_scan(spark, monkeypatch):
+    monkeypatch.setattr(V, "QUERY_BLOCK", 7)
+    base = np.random.default_rng(3).normal(size=(40, 6))
+    data = [(i, v.tolist()) for i, v in enumerate(base)]
+    vectors = literal(spark, data, "vec_id int, embedding array<double>")
+    got = V.cosine_topk(vectors, vectors.withColumnRenamed("vec_id", "query_id"), k=1)
+    assert rows(got.select("query_id", "vec_id")) == sorted([(i, i) for i in range(40)], key=repr)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
+
+
 def test_best_k_breaks_ties_by_id():
     ids, scores = V.best_k(np.array([9, 3, 5, 1]), np.array([[1.0, 1.0, 1.0, 0.5]]), 2)
     assert ids.tolist() == [[3, 5]] and scores.tolist() == [[1.0, 1.0]]
