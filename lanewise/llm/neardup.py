@@ -506,7 +506,7 @@ def thinned(docs: DataFrame, wanted: DataFrame, bits: int = 1 << 24) -> DataFram
     """Most of the rows of ``docs`` whose doc_id is not in ``wanted`` left out, before any text is shuffled.
 
     The ids wanted set bits of a map of fixed size (``bits``, in words of 32), which
-    is broadcast. A full map leaves nothing out, so a join must follow.
+    is broadcast. Other ids may share a bit, so a join must follow.
     """
     place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
     word = F.shiftright(place, 5).cast("int")
@@ -517,7 +517,7 @@ def thinned(docs: DataFrame, wanted: DataFrame, bits: int = 1 << 24) -> DataFram
 
 
 def _sets(ids: DataFrame, docs: DataFrame, forest: Forest) -> DataFrame:
-    """id and sorted shingles of the documents of ``ids``."""
+    """id and sorted shingles of the documents of ``ids``, and of a few others."""
     words = forest.words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -529,9 +529,7 @@ def _sets(ids: DataFrame, docs: DataFrame, forest: Forest) -> DataFrame:
             )
 
     thin = thinned(docs.select("doc_id", "text"), ids.withColumnRenamed("id", "doc_id"))
-    # joined after the sets are made, or Spark would join first and shuffle all texts
-    found = thin.mapInArrow(run, "id long, shingles array<bigint>")
-    return written(found.join(ids, "id", "left_semi"), "sets")
+    return written(thin.mapInArrow(run, "id long, shingles array<bigint>"), "sets")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, forest: Forest) -> DataFrame:
