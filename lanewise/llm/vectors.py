@@ -3,9 +3,9 @@
 1. Equal vectors of one label become one row with its number of copies.
 2. Centroids are fitted per label on a bounded sample; labels get cells in
    proportion to their vectors. Every vector is at home in the cell of its nearest
-   centroid and visits the cells it lies close to the border of: with ``margin`` 1 it
-   visits every cell in which a linked vector can be at home, so that no link is lost;
-   less margin prunes harder.
+   centroid and visits the cells it lies close to the border of: with ``margin`` 1, the
+   default, it visits every cell in which a linked vector can be at home, so that no
+   link is lost; less margin prunes harder and loses links.
 3. Homes and visitors of a cell are dealt over blocks; each pair of blocks is one
    matrix product. A home vector meets all its links in its own cell, so links are
    counted there once. Of the links themselves a task emits a spanning forest only.
@@ -35,7 +35,7 @@ class Cells:
     cells: int = 4096  # at most, over all labels: what is sent to every executor
     sample: int = 65536  # vectors the centroids are fitted on, at most
     rounds: int = 8
-    margin: float = 0.7
+    margin: float = 1.0  # below 1 links are lost
     block: int = 2048
     seed: int = 7
 
@@ -122,7 +122,7 @@ def deal(classes: DataFrame, centroids: dict, cells: Cells) -> DataFrame:
                     row, cell, home = np.arange(len(at)), np.zeros(len(at), np.int32), np.ones(len(at), bool)
                 else:
                     x = unit(np.array(part.column("vector").to_pylist(), np.float32))
-                    apart = np.sqrt(np.maximum(0, 2 - 2 * (near @ near.T))) * reach + 1e-9
+                    apart = np.sqrt(np.maximum(0, 2 - 2 * (near @ near.T))) * reach + 1e-7  # the root is exact to 1e-8
                     dots = x @ near.T
                     best = dots.argmax(axis=1)
                     short = dots[np.arange(len(x)), best][:, None] - dots

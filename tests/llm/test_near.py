@@ -154,6 +154,22 @@ def test_near_vectors(spark):
     assert vectors.near_duplicates(frame.where("false")).count() == 0
 
 
+def test_near_vectors_by_default_lose_no_link(spark):
+    """Vectors on a low-dimensional spread, where many links cross the borders of cells."""
+    rng = np.random.default_rng(3)
+    x = (rng.uniform(-1, 1, size=(1500, 2)) * 1.5) @ rng.normal(size=(2, 16)) + rng.normal(size=16)
+    x = x.astype(np.float32)
+    unit = vectors.unit(x)
+    linked = (unit @ unit.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+    frame = spark.createDataFrame(
+        [(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int"
+    )
+    got = vectors.near_duplicates(frame, vectors.Cells(size=75)).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate(linked.sum(axis=1).tolist()))
+    roots = closure(range(len(x)), np.argwhere(np.triu(linked)).tolist())
+    assert {r["vec_id"]: r["component_id"] for r in got} == roots
+
+
 def test_kmeans_centroids_are_unit():
     x = vectors.unit(np.random.default_rng(0).normal(size=(300, 8)))
     c = vectors.spherical_kmeans(x, 7, 8, np.random.default_rng(1))
