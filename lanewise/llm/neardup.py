@@ -389,7 +389,7 @@ def across_labels(
             at_home.select(columns)
             .unionByName(visiting.select(columns))
             .groupBy("tree", "prefix", "chunk")
-            .applyInArrow(_visits(forest, depth, best), "a long, b long, whole boolean")
+            .applyInArrow(_visits(forest, best), "a long, b long, whole boolean")
         )
         found = pairs if found is None else found.union(pairs)
         if deepest or not regions.where(F.col("n") - F.col("largest") > visitors).limit(1).count():
@@ -399,26 +399,17 @@ def across_labels(
         depth = min(forest.values, 2 * depth)
 
 
-def _visits(forest: Forest, depth: int, best: int | None):
+def _visits(forest: Forest, best: int | None):
     values, least = forest.values, forest.least
 
-    def met_before(equal: np.ndarray, tree: int) -> np.ndarray:
-        """Pairs that share a region of an earlier tree too; ``equal``: which values agree, in this tree's order."""
-        before = np.zeros(len(equal), bool)
-        for t in range(tree):
-            at = (forest.tree_start(t) - forest.tree_start(tree)) % values + np.arange(depth)
-            before |= equal[:, at % values].all(axis=1)
-        return before
-
     def run(group: pa.Table) -> pa.Table:
-        ids, trees, orders = _columns(group, values)
+        ids, _, orders = _columns(group, values)
         labels = group.column("label").to_numpy()
         visits, large = group.column("visits").to_numpy(), group.column("large").to_numpy()
         home = np.flatnonzero(~visits)
         a, b, near_labels = [], [], set()
         for i in np.flatnonzero(visits).tolist():
-            equal = orders[home] == orders[i]
-            same = np.count_nonzero(equal, axis=1)
+            same = np.count_nonzero(orders[home] == orders[i], axis=1)
             near = np.flatnonzero((same >= least) & (labels[home] != labels[i]))
             if best is not None and len(near) > best:
                 near = near[np.argsort(-same[near], kind="stable")[:best]]
@@ -429,7 +420,7 @@ def _visits(forest: Forest, depth: int, best: int | None):
                     continue
                 near_labels.update((int(ids[i]), int(x)) for x in np.unique(labels[home[near[whole]]]))
                 near = near[~whole]
-            hit = home[near[~met_before(equal[near], int(trees[i]))]]
+            hit = home[near]
             a.append(np.minimum(ids[hit], ids[i]))
             b.append(np.maximum(ids[hit], ids[i]))
         none = np.empty(0, np.int64)

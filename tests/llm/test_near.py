@@ -104,6 +104,44 @@ def test_near_texts_odd_input(odd_docs, no_docs):
     assert neardup.keep_one(no_docs, neardup.Forest()).count() == 0
 
 
+def crowd(rows, forest, seed):
+    """Signatures that share the first region of tree 0 and nothing else, as an array."""
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 1 << 16, size=(rows, forest.values))
+    x[:, : forest.depth] = 7
+    return x
+
+
+def signed(spark, x):
+    rows = [(i, bytearray(v.astype(">u2").tobytes()), i) for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "id long, signature binary, label long")
+
+
+def brute_meetings(x, forest):
+    """Pairs that agree enough and share a region of any tree at its first depth."""
+    out = set()
+    for i in range(len(x)):
+        same = x[:i] == x[i]
+        near = same.sum(axis=1) >= forest.least
+        for t in range(forest.trees):
+            at = (forest.tree_start(t) + np.arange(forest.depth)) % forest.values
+            out |= {(int(k), i) for k in np.flatnonzero(near & same[:, at].all(axis=1))}
+    return out
+
+
+def test_pairs_of_a_crowded_and_another_region(spark):
+    """Pairs that share the crowded region at its first depth only, and later regions too."""
+    forest = neardup.Forest()
+    x = crowd(100, forest, 4)
+    for i in range(0, 20, 2):
+        x[i + 1] = x[i]
+        x[i + 1, 4:6] += 1
+    got = neardup.across_labels(signed(spark, x), forest, visitors=16).collect()
+    want = brute_meetings(x, forest)
+    assert len(want) == 10 and not any(r["whole"] for r in got)
+    assert {(r["a"], r["b"]) for r in got} == want
+
+
 def test_near_query(spark, sf_dir):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = QUERIES["op6_minhash_near_dedup"](spark, sf_dir).collect()
