@@ -353,50 +353,45 @@ def across_labels(
     set, a the id and b the label, in place of a pair for each row of the label.
 
     ``classes``: id, signature, label. In a region, rows outside its largest label
-    visit all rows. Rows are dealt over chunks, and visitors go to every chunk, so a
-    crowded region is spread over tasks. Regions with too many visitors are cut
-    deeper.
+    visit all rows. Rows are dealt over chunks and visitors over blocks, and each chunk
+    meets each block, so a region of any size is compared whole, at its first depth,
+    by tasks of bounded size.
     """
     large = classes.groupBy("label").count().where(F.col("count") > many)
     large = large.select("label", F.lit(best is None).alias("large"))
-    left = grow(classes, forest).join(large, "label", "left").fillna(False, ["large"])
-    found = None
-    depth = forest.depth
-    while True:
-        keyed = left.withColumn("prefix", F.substring("ordering", 1, 2 * depth))
-        by_label = keyed.groupBy("tree", "prefix", "label").count()
-        regions = written(
-            by_label.groupBy("tree", "prefix")
-            .agg(F.sum("count").alias("n"), F.max("count").alias("largest"), F.max_by("label", F.struct("count", "label")).alias("major"))
-            .where("n > largest"),
-            "regions",
-        )
-        deepest = depth >= forest.values
-        ready = regions if deepest else regions.where(F.col("n") - F.col("largest") <= visitors)
-        rows = keyed.join(ready, ["tree", "prefix"]).withColumn(
-            "chunks", F.ceil(F.col("n") / chunk).cast("int")
-        )
-        at_home = rows.withColumn("visits", F.lit(False)).withColumn(
-            "chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int")
-        )
-        visiting = (
-            rows.where("label <> major")
-            .withColumn("visits", F.lit(True))
-            .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        )
-        columns = ["tree", "prefix", "chunk", "visits", "id", "label", "large", "ordering"]
-        pairs = (
-            at_home.select(columns)
-            .unionByName(visiting.select(columns))
-            .groupBy("tree", "prefix", "chunk")
-            .applyInArrow(_visits(forest, best), "a long, b long, whole boolean")
-        )
-        found = pairs if found is None else found.union(pairs)
-        if deepest or not regions.where(F.col("n") - F.col("largest") > visitors).limit(1).count():
-            return found.distinct()
-        crowded = regions.where(F.col("n") - F.col("largest") > visitors).select("tree", "prefix")
-        left = written(keyed.join(crowded, ["tree", "prefix"], "left_semi").drop("prefix"), "deeper")
-        depth = min(forest.values, 2 * depth)
+    keyed = grow(classes, forest).join(large, "label", "left").fillna(False, ["large"])
+    keyed = keyed.withColumn("prefix", F.substring("ordering", 1, 2 * forest.depth))
+    by_label = keyed.groupBy("tree", "prefix", "label").count()
+    regions = written(
+        by_label.groupBy("tree", "prefix")
+        .agg(F.sum("count").alias("n"), F.max("count").alias("largest"), F.max_by("label", F.struct("count", "label")).alias("major"))
+        .where("n > largest"),
+        "regions",
+    )
+    rows = (
+        keyed.join(regions, ["tree", "prefix"])
+        .withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int"))
+        .withColumn("blocks", F.ceil((F.col("n") - F.col("largest")) / visitors).cast("int"))
+    )
+    own = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    at_home = (
+        rows.withColumn("visits", F.lit(False)).withColumn("chunk", own("chunks")).withColumn("block", every("blocks"))
+    )
+    visiting = (
+        rows.where("label <> major")
+        .withColumn("visits", F.lit(True))
+        .withColumn("block", own("blocks"))
+        .withColumn("chunk", every("chunks"))
+    )
+    columns = ["tree", "prefix", "chunk", "block", "visits", "id", "label", "large", "ordering"]
+    return (
+        at_home.select(columns)
+        .unionByName(visiting.select(columns))
+        .groupBy("tree", "prefix", "chunk", "block")
+        .applyInArrow(_visits(forest, best), "a long, b long, whole boolean")
+        .distinct()
+    )
 
 
 def _visits(forest: Forest, best: int | None):
@@ -407,9 +402,10 @@ def _visits(forest: Forest, best: int | None):
         labels = group.column("label").to_numpy()
         visits, large = group.column("visits").to_numpy(), group.column("large").to_numpy()
         home = np.flatnonzero(~visits)
+        at_home = orders[home]
         a, b, near_labels = [], [], set()
         for i in np.flatnonzero(visits).tolist():
-            same = np.count_nonzero(orders[home] == orders[i], axis=1)
+            same = np.count_nonzero(at_home == orders[i], axis=1)
             near = np.flatnonzero((same >= least) & (labels[home] != labels[i]))
             if best is not None and len(near) > best:
                 near = near[np.argsort(-same[near], kind="stable")[:best]]

@@ -142,6 +142,20 @@ def test_pairs_of_a_crowded_and_another_region(spark):
     assert {(r["a"], r["b"]) for r in got} == want
 
 
+def test_pairs_of_a_crowded_region_only(spark):
+    """Pairs that meet in one crowded region, at its first depth, and in no other."""
+    forest = neardup.Forest()
+    x = crowd(100, forest, 5)
+    alone = [forest.depth, *(forest.tree_start(t) for t in range(1, forest.trees))]
+    for i in range(0, 20, 2):
+        x[i + 1] = x[i]
+        x[i + 1, alone] += 1
+    got = neardup.across_labels(signed(spark, x), forest, chunk=24, visitors=16).collect()
+    want = brute_meetings(x, forest)
+    assert len(want) == 10 and not any(r["whole"] for r in got)
+    assert {(r["a"], r["b"]) for r in got} == want
+
+
 def test_near_query(spark, sf_dir):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = QUERIES["op6_minhash_near_dedup"](spark, sf_dir).collect()
