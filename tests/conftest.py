@@ -28,7 +28,3 @@ def all_heavy(monkeypatch):
         return find(df, key, 0, 10**6)
 
     monkeypatch.setattr(lanes, "heavy_keys", every_key)
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -29,6 +29,10 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def rows(df) -> list[tuple]:
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
 def canonical(v):
     if isinstance(v, float) and math.isnan(v):
         return "nan"

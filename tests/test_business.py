@@ -8,7 +8,7 @@ from decimal import Decimal
 
 import numpy as np
 import pytest
-from conftest import rows
+from oracle import rows
 from pyspark.sql import functions as F
 
 from lanewise import session

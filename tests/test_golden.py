@@ -9,7 +9,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from oracle import rows
 from pyspark.sql import functions as F
 
 from lanewise.functions import strings as S

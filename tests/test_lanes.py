@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import rows
+from oracle import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

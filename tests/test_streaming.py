@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import rows
+from oracle import rows
 from pyspark.sql import functions as F
 
 from lanewise.operators import governance as G
