@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import bpe, chat, idcoder, langid, neardup, packing, quality, secrets, toxicity, vectors
+from lanewise.llm import bpe, chat, filters, idcoder, langid, neardup, packing, quality, secrets, toxicity, vectors
 from lanewise.llm.common import crc32_of, documents, held_out, vocabulary_file
-from lanewise.llm.sql import CHAT_SQL, QUALITY_SQL
+from lanewise.llm.sql import CHAT_SQL, FILTERS_SQL, QUALITY_SQL
 from lanewise.session import shared_dir
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -161,3 +161,10 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return vectors.near_duplicates(table, vectors.Cells(similarity=0.93))
+
+
+@query("op11_filter_interactions", FILTERS_SQL)
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
+    return filters.interactions(filters.combinations(docs, labels))

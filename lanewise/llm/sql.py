@@ -86,3 +86,49 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND shaped AS kept
 FROM judged
 """
+
+FILTERS_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1
+), toxic AS (SELECT DISTINCT doc_id FROM labels WHERE toxic = 1
+), marked AS (
+  SELECT part,
+    CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 16 ELSE 0 END AS bits,
+    doc_id IN (SELECT doc_id FROM good WHERE doc_id IS NOT NULL) AS good,
+    doc_id IN (SELECT doc_id FROM toxic WHERE doc_id IS NOT NULL) AS toxic
+  FROM docs
+), counted AS (
+  SELECT part, bits, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM marked GROUP BY part, bits
+), letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS l(letter, bit)
+), orders AS (
+  SELECT [a.letter, b.letter, c.letter, d.letter, e.letter] AS names, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a JOIN letters b ON b.bit <> a.bit JOIN letters c ON c.bit NOT IN (a.bit, b.bit)
+  JOIN letters d ON d.bit NOT IN (a.bit, b.bit, c.bit) JOIN letters e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)
+), steps AS (
+  SELECT array_to_string(names, '') AS filter_order, step::INTEGER AS step, names[step] AS filter, bits[step] AS own,
+    coalesce(list_sum(bits[1:step - 1]), 0)::INTEGER AS before
+  FROM orders, range(1, 6) AS r(step)
+), shares AS (
+  SELECT part, bit AS own, sum(n * 120 // bit_count(bits))::BIGINT AS shapley
+  FROM counted, letters WHERE bits & bit <> 0 GROUP BY part, bit
+), audited AS (
+  SELECT part, filter_order, step, filter, own,
+    sum(CASE WHEN bits & (before | own) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN bits & own <> 0 AND bits & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN bits & own <> 0 AND bits & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN bits = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN bits & own <> 0 AND bits & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN bits & own <> 0 AND bits & before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM counted, steps GROUP BY part, filter_order, step, filter, own
+)
+SELECT part, filter_order, step, filter, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  coalesce(shapley, 0) AS shapley
+FROM audited LEFT JOIN shares USING (part, own)
+"""
