@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import bpe, chat, filters, idcoder, langid, neardup, packing, quality, secrets, toxicity, vectors
+from lanewise.llm import bpe, chat, filters, idcoder, langid, neardup, packing, quality, secrets, toxicity, vectors, winnow
 from lanewise.llm.common import crc32_of, documents, held_out, vocabulary_file
 from lanewise.llm.sql import CHAT_SQL, FILTERS_SQL, QUALITY_SQL
 from lanewise.session import shared_dir
@@ -168,3 +168,17 @@ def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "source")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
     return filters.interactions(filters.combinations(docs, labels))
+
+
+@query("op12_document_fingerprints")
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = winnow.against_next(documents(spark, sf_dir).select("doc_id", "text"))
+    return compared.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
