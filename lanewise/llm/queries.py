@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewise.llm import bpe, chat, filters, idcoder, langid, neardup, packing, quality, secrets, toxicity, vectors, winnow
+from lanewise.llm import bpe, chat, filters, idcoder, langid, neardup, packing, quality, secrets, toxicity, vectors, whitening, winnow
 from lanewise.llm.common import crc32_of, documents, held_out, vocabulary_file
 from lanewise.llm.sql import CHAT_SQL, FILTERS_SQL, QUALITY_SQL
 from lanewise.session import shared_dir
@@ -182,3 +182,8 @@ def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@query("op13_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
