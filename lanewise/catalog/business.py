@@ -8,7 +8,6 @@ from lanewise.operators import customers as U
 from lanewise.operators import finance as N
 from lanewise.operators import governance as G
 from lanewise.operators import similarity as V
-from lanewise.plans.lanes import day_cell
 from lanewise.sources.tables import load
 
 AS_OF = "2001-08-01"
@@ -250,8 +249,7 @@ def fx_convert(spark, sf_dir):
         .groupBy("o_orderpriority", effective.alias("o_orderdate"))
         .agg(F.round(F.avg("o_totalprice") / 250_000, 4).cast("decimal(10,4)").alias("rate"))
     )
-    by, cell = ["o_orderpriority"], day_cell("o_orderdate")
-    out = N.asof_rate(orders, rates, by, "o_orderdate", "rate", "o_orderkey", cell)
+    out = N.asof_rate(orders, rates, ["o_orderpriority"], "o_orderdate", "rate", "o_orderkey")
     converted = F.round(money("o_totalprice") * F.col("rate"), 2).cast("double")
     return out.select("o_orderkey", number_of("rate"), converted.alias("converted"))
 

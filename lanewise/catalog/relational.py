@@ -7,13 +7,11 @@ from lanewise.operators import aggregates as A
 from lanewise.operators import calendars as C
 from lanewise.operators import joins as J
 from lanewise.operators import projections as P
-from lanewise.plans.lanes import Lane, minute_cell, number_cell
+from lanewise.plans.lanes import Lane
 from lanewise.sources.tables import as_view, load
 
-# order dates have no time of day, so a day can be cut again by the order key
-ORDER_CELLS = ("o_orderdate", "o_orderkey div 1000000000")
-BY_CUSTOMER_YEAR = Lane(("o_custkey", "o_year"), ("o_orderdate", "o_orderkey"), ORDER_CELLS)
-BY_USER = Lane(("user_id",), ("ts", "event_id"), minute_cell("ts"))
+BY_CUSTOMER_YEAR = Lane(("o_custkey", "o_year"), ("o_orderdate", "o_orderkey"))
+BY_USER = Lane(("user_id",), ("ts", "event_id"))
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -103,8 +101,7 @@ def theta_join(spark, sf_dir):
 def theta_join_counts(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     suppliers = load(spark, sf_dir, "supplier").select((F.col("s_acctbal") * 50).alias("limit"))
-    cell = number_cell("_val", 10)
-    return J.theta_counts(orders, suppliers, "o_totalprice", "limit", cell)
+    return J.theta_counts(orders, suppliers, "o_totalprice", "limit")
 
 
 def _join_sql(how: str) -> str:

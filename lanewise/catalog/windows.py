@@ -3,15 +3,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lanewise.catalog import money, number_of, query, text_of
-from lanewise.catalog.relational import BY_USER, ORDER_CELLS
+from lanewise.catalog.relational import BY_USER
 from lanewise.operators import aggregates as A
 from lanewise.operators import sequences as Q
 from lanewise.operators import windows as W
-from lanewise.plans.lanes import Lane, day_cell, minute_cell, number_cell, sliced
+from lanewise.plans.lanes import Lane
 from lanewise.sources.tables import load
 
-BY_CUSTOMER = Lane(("o_custkey",), ("o_orderdate", "o_orderkey"), ORDER_CELLS)
-ALL_ORDERS = Lane((), ("o_orderdate", "o_orderkey"), ("o_orderdate", "_slice"))
+BY_CUSTOMER = Lane(("o_custkey",), ("o_orderdate", "o_orderkey"))
+ALL_ORDERS = Lane((), ("o_orderdate", "o_orderkey"))
 
 
 def _orders(spark, sf_dir):
@@ -44,7 +44,7 @@ def running_total_by_key(spark, sf_dir):
 )
 def running_total_tied(spark, sf_dir):
     orders = _orders(spark, sf_dir).withColumn("o_year", F.year("o_orderdate"))
-    lane = Lane(("o_custkey",), ("o_year",), "o_year", bounded=True)
+    lane = Lane(("o_custkey",), ("o_year",), bounded=True)
     out = W.running_sum_tied(orders, lane, "amount")
     return out.select("o_orderkey", "o_custkey", number_of("running"))
 
@@ -58,8 +58,7 @@ def running_total_tied(spark, sf_dir):
     """,
 )
 def running_total_overall(spark, sf_dir):
-    orders = sliced(_orders(spark, sf_dir), "o_orderkey", 64)
-    out = W.running_sum(orders, ALL_ORDERS, "amount")
+    out = W.running_sum(_orders(spark, sf_dir), ALL_ORDERS, "amount")
     return out.select("o_orderkey", number_of("running"))
 
 
@@ -90,7 +89,7 @@ def moving_avg_6(spark, sf_dir):
 def moving_avg_3(spark, sf_dir):
     daily = _orders(spark, sf_dir).groupBy(F.to_date("o_orderdate").alias("day"))
     daily = daily.agg(F.sum("amount").alias("amount"))
-    lane = Lane((), ("day",), f"{day_cell('day')} div 64")
+    lane = Lane((), ("day",), bounded=True)
     out = W.moving_avg(daily, lane, "amount", 3)
     return out.select(text_of("day"), F.round("moving", 4).alias("moving"))
 
@@ -105,8 +104,7 @@ def moving_avg_3(spark, sf_dir):
 )
 def dense_rank_desc(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    cell = number_cell("_down", 100)
-    ranked = W.dense_rank_by(orders, ("o_orderpriority",), "o_totalprice", cell)
+    ranked = W.dense_rank_by(orders, ("o_orderpriority",), "o_totalprice")
     return ranked.select("o_orderkey", "o_orderpriority", "rank")
 
 
@@ -116,7 +114,7 @@ def dense_rank_desc(spark, sf_dir):
 )
 def dense_rank_overall(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    ranked = W.dense_rank_by(orders, (), "o_totalprice", number_cell("_down", 1000))
+    ranked = W.dense_rank_by(orders, (), "o_totalprice")
     return ranked.select("o_orderkey", "rank")
 
 
@@ -146,8 +144,7 @@ def three_in_a_row(spark, sf_dir):
 )
 def three_in_a_row_overall(spark, sf_dir):
     events = load(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    lane = Lane((), ("ts", "event_id"), minute_cell("ts", 1))
-    return W.repeated_run(events, lane, "event_type", 3).select("event_id", "event_type")
+    return W.repeated_run(events, Lane((), ("ts", "event_id")), "event_type", 3).select("event_id", "event_type")
 
 
 @query(
@@ -166,7 +163,7 @@ def increase_vs_previous(spark, sf_dir):
     daily = events.groupBy("user_id", F.to_date("ts").alias("day")).agg(
         F.sum(money("value")).alias("amount")
     )
-    lane = Lane(("user_id",), ("day",), day_cell("day"), bounded=True)
+    lane = Lane(("user_id",), ("day",), bounded=True)
     up = W.increases(daily, lane, "amount")
     return up.select("user_id", text_of("day"), number_of("amount"), number_of("prev"))
 

@@ -39,13 +39,13 @@ def asof_rate(
     ts: str,
     rate: str,
     row_id: str,
-    cell: str,
+    cell: str | None = None,
     **heavy,
 ) -> DataFrame:
     """The latest rate at or before each row, by key.
 
     Rates and rows are ordered together and the last rate carried forward; a
-    rate sorts before the rows of its own moment. ``cell`` is over ``ts``.
+    rate sorts before the rows of its own moment. ``cell`` is over ``ts``; counted if not given.
     """
     require(df, *by, ts, row_id)
     require(rates, *by, ts, rate)

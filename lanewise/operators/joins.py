@@ -61,13 +61,13 @@ def theta_join(
 
 
 def theta_counts(
-    left: DataFrame, right: DataFrame, left_val: str, right_val: str, cell: str
+    left: DataFrame, right: DataFrame, left_val: str, right_val: str, cell: str | None = None
 ) -> DataFrame:
     """Per left row, how many right rows are smaller, without building pairs.
 
     The answer depends on the value only, so values are counted first and
     ordered once each, however often they repeat. ``cell`` is the lane cell over
-    the column ``_val``. Null values compare with nothing and count none.
+    the column ``_val``; counted if not given. Null values compare with nothing and count none.
     """
     require(left, left_val)
     require(right, right_val)

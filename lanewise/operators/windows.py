@@ -48,13 +48,13 @@ def moving_avg(df: DataFrame, lane: Lane, val: str, n: int, alias: str = "moving
 
 
 def dense_rank_by(
-    df: DataFrame, key: tuple[str, ...], val: str, cell: str, alias: str = "rank", **heavy
+    df: DataFrame, key: tuple[str, ...], val: str, cell: str | None = None, alias: str = "rank", **heavy
 ) -> DataFrame:
     """Gap-free rank of a number, highest first; null values get no rank.
 
     Ranks are computed on distinct values and joined back, so ties cost nothing
     in the ordered step. ``cell`` is the lane cell over ``_down``, the negated
-    value; ``heavy`` overrides the lane's thresholds. NaN is the largest number, and
+    value, counted if not given; ``heavy`` overrides the lane's thresholds. NaN is the largest number, and
     null keys are a group, as in a window.
     """
     require(df, *key, val)

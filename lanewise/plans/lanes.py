@@ -14,10 +14,15 @@ which is what makes broadcasting them safe, and a key left out holds less than
 empty broadcast and drops every carry join: the plan that runs is the plain
 one-shuffle window.
 
-A lane without a key orders the whole table. Then every row has a chunk and only
-the summaries, one row per cell, meet in one task.
+A lane without a cell gets cells of equal numbers of rows, counted over the rows of
+heavy keys; what is heavy is then known before the plan is made, and without heavy
+keys the plan is the plain window itself.
 
-Where many rows may share one cell, ``cell`` can be a tuple: a second expression
+A lane without a key orders the whole table. Then every row has a chunk. Summaries of
+counted cells, of which there is a bounded number, meet in one task; those of given
+cells are summed up by ``SPAN`` cells at a time, and these summaries of summaries meet.
+
+Where many rows may share one given cell, ``cell`` can be a tuple: a second expression
 cuts the rows that agree on the first. The first must then be the leading order
 column itself, or the cells would not follow the order.
 
@@ -32,17 +37,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from lanewise.plans.cells import counted_cells
 from lanewise.plans.lookups import join_null_safe
 from lanewise.sources.tables import require
 
 CHUNK = "_chunk"
+BELOW = "_below"
+FEW = 1_000_000  # rows among which no key is looked for
+SPAN = 256  # cells of a lane without a key that are scanned as one
 
 
 @dataclass(frozen=True)
 class Lane:
     key: tuple[str, ...]
     order: tuple[str, ...]  # ascending; must be unique within the key
-    cell: str | tuple[str, ...]  # SQL, never decreasing along ``order``
+    cell: str | tuple[str, ...] | None = None  # SQL, never decreasing along ``order``; counted if not given
     min_rows: int = 1_000_000
     max_heavy: int = 10_000
     bounded: bool = False  # no key can be large: rows are, say, one per calendar day
@@ -58,6 +67,13 @@ class Lane:
         """The chunks of one key in order; one summary row per chunk."""
         return Window.partitionBy(*self.key).orderBy(CHUNK)
 
+    @property
+    def above(self) -> Lane | None:
+        """The lane over this one's summaries; none if one task holds the summaries of a key."""
+        if self.key or self.bounded or self.order == (BELOW,) or not isinstance(self.cell, str):
+            return None  # of counted cells there are never many
+        return Lane((), (BELOW,), f"{BELOW} div {SPAN}")
+
 
 def day_cell(col: str) -> str:
     return f"cast(unix_date(cast({col} as date)) as bigint)"
@@ -80,14 +96,6 @@ def number_cell(col: str, width: float) -> str:
     )
 
 
-def sliced(df: DataFrame, col: str, n: int, alias: str = "_slice") -> DataFrame:
-    """Add a second cell level: ``n`` equal slices of an integer tie-breaker's range."""
-    low = df.select(F.min(col).cast("bigint")).scalar()
-    high = df.select(F.max(col).cast("bigint")).scalar()
-    part = (F.col(col) - low).cast("double") / (high - low + 1).cast("double")
-    return df.withColumn(alias, F.floor(part * n))
-
-
 def heavy_keys(df: DataFrame, key: tuple[str, ...], min_rows: int, max_heavy: int) -> DataFrame:
     """The ``max_heavy`` largest keys of more than ``min_rows`` rows.
 
@@ -97,7 +105,9 @@ def heavy_keys(df: DataFrame, key: tuple[str, ...], min_rows: int, max_heavy: in
     return counts.orderBy(F.desc("_n"), *key).limit(max_heavy).select(*key)
 
 
-def _cell(lane: Lane) -> Column:
+def _cell(lane: Lane, df: DataFrame) -> Column:
+    if lane.cell is None:
+        return counted_cells(df, lane.order)
     if isinstance(lane.cell, str):
         return F.coalesce(F.expr(lane.cell).cast("bigint"), F.lit(-(2**63)))
     return F.struct(*[F.expr(c).alias(f"c{i}") for i, c in enumerate(lane.cell)])
@@ -112,13 +122,22 @@ def lay_out(df: DataFrame, lane: Lane, basis: DataFrame | None = None) -> DataFr
     if lane.bounded:
         return df.withColumn(CHUNK, F.lit(None).cast("bigint"))
     if not lane.key:
-        return df.withColumn(CHUNK, _cell(lane))
+        return df.withColumn(CHUNK, _cell(lane, df))
     counted = df if basis is None else basis
     heavy = heavy_keys(counted, lane.key, lane.min_rows, lane.max_heavy)
+    if lane.cell is None:
+        # a count of rows reads less than one by key
+        found = heavy.collect() if counted.count() > min(lane.min_rows, FEW) else []  # at most max_heavy keys
+        if not found:
+            return df.withColumn(CHUNK, F.lit(None).cast("bigint"))
+        heavy = df.sparkSession.createDataFrame(found, heavy.schema)
+        cell = counted_cells(join_null_safe(df, F.broadcast(heavy), list(lane.key), "left_semi"), lane.order)
+    else:
+        cell = _cell(lane, df)
     heavy = heavy.withColumn("_heavy", F.lit(True))
     return (
         join_null_safe(df, F.broadcast(heavy), list(lane.key), "left")
-        .withColumn(CHUNK, F.when(F.col("_heavy"), _cell(lane)))
+        .withColumn(CHUNK, F.when(F.col("_heavy"), cell))
         .drop("_heavy")
     )
 
@@ -131,6 +150,54 @@ def _give(laid: DataFrame, carry: DataFrame, lane: Lane) -> DataFrame:
     return join_null_safe(laid, carry, list(lane.key), "left", plain=[CHUNK])
 
 
+def _lifted(summary: DataFrame, lane: Lane) -> DataFrame:
+    """A summary as rows of the lane above."""
+    return lay_out(summary.withColumnRenamed(CHUNK, BELOW), lane.above)
+
+
+def _lowered(laid: DataFrame) -> DataFrame:
+    return laid.drop(CHUNK).withColumnRenamed(BELOW, CHUNK)
+
+
+def _ahead(summary: DataFrame, lane: Lane, col: str, alias: str) -> DataFrame:
+    """Add ``col`` of the chunk before."""
+    if lane.above is None:
+        return summary.withColumn(alias, F.lag(col).over(lane.across()))
+    return _lowered(with_previous(_lifted(summary, lane), lane.above, {alias: col}))
+
+
+def _behind(tails: DataFrame, lane: Lane, n: int, alias: str) -> DataFrame:
+    """Add the last ``n`` elements of the chunks before, nearest first, from their ``_tail`` arrays.
+
+    ``n`` chunks hold ``n`` rows or more, since no chunk is empty.
+    """
+    if lane.above is None:
+        kind = tails.schema["_tail"].dataType.simpleString()
+        empty = F.array().cast(kind)
+        behind = [F.coalesce(F.lag("_tail", i).over(lane.across()), empty) for i in range(1, n + 1)]
+        return tails.withColumn(alias, F.slice(F.concat(*behind), 1, n))
+    seen = _lowered(with_back(_lifted(tails, lane), lane.above, "_tail", n, "_tails"))
+    nearest = F.slice(F.flatten(F.transform("_tails", lambda x: x["v"])), 1, n)
+    return seen.withColumn(alias, nearest).drop("_tails")
+
+
+def _before(summary: DataFrame, lane: Lane, folds: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add running aggregates over the chunks before: ``folds`` maps an alias to (function, column)."""
+    if lane.above is None:
+        before = lane.across().rowsBetween(Window.unboundedPreceding, -1)
+        return summary.withColumns({a: _fold(fn, c).over(before) for a, (fn, c) in folds.items()})
+    shifted = {f"_shifted_{a}": c for a, (_, c) in folds.items()}
+    lagged = with_previous(_lifted(summary, lane), lane.above, shifted)
+    total = {a: (fn, f"_shifted_{a}") for a, (fn, _) in folds.items()}
+    return _lowered(with_running(lagged, lane.above, total)).drop(*shifted)
+
+
+def _fold(fn: str, col: str) -> Column:
+    if fn == "last":
+        return F.last(col, ignorenulls=True)
+    return {"sum": F.sum, "min": F.min, "max": F.max}[fn](col)
+
+
 def _lagged(laid: DataFrame, lane: Lane, cols: dict[str, str], i: int = 1) -> Column:
     """A struct of the values ``i`` rows before, inside the chunk; null before its first row.
 
@@ -145,12 +212,9 @@ def with_previous(laid: DataFrame, lane: Lane, cols: dict[str, str]) -> DataFram
     """Add ``alias -> column`` taken from the row before; null on the first."""
     here = F.struct(*[F.col(c).alias(a) for a, c in cols.items()])
     last = F.max(F.struct(F.struct(*lane.order).alias("at"), here.alias("row")))
-    carry = (
-        _chunked(laid)
-        .groupBy(*lane.chunk)
-        .agg(last.alias("_last"))
-        .select(*lane.chunk, F.lag("_last.row").over(lane.across()).alias("_carry"))
-    )
+    summary = _chunked(laid).groupBy(*lane.chunk).agg(last.alias("_last"))
+    summary = summary.select(*lane.chunk, F.col("_last.row").alias("_row"))
+    carry = _ahead(summary, lane, "_row", "_carry").select(*lane.chunk, "_carry")
     out = _give(laid.withColumn("_before", _lagged(laid, lane, cols)), carry, lane)
     out = out.withColumn("_before", F.coalesce("_before", "_carry"))
     kept = [c for c in laid.columns if c not in cols]
@@ -173,9 +237,7 @@ def with_back(laid: DataFrame, lane: Lane, col: str, n: int, alias: str) -> Data
         .agg(F.array_sort(F.collect_list(F.struct("_rn", here.alias("row")))).alias("_tail"))
         .withColumn("_tail", F.col("_tail.row"))
     )
-    # n chunks hold n rows or more, since no chunk is empty
-    behind = [F.coalesce(F.lag("_tail", i).over(lane.across()), empty) for i in range(1, n + 1)]
-    carry = tails.select(*lane.chunk, F.slice(F.concat(*behind), 1, n).alias("_carry"))
+    carry = _behind(tails, lane, n, "_carry").select(*lane.chunk, "_carry")
     lags = [_lagged(laid, lane, {"v": col}, i) for i in range(1, n + 1)]
     near = F.array_compact(F.array(*lags))
     out = _give(laid.withColumn("_near", near), carry, lane)
@@ -196,22 +258,20 @@ def with_running(laid: DataFrame, lane: Lane, aggs: dict[str, tuple[str, str]])
     ``count``, ``min``, ``max`` and ``last`` (latest value that is not null).
     """
     frame = lane.window().rowsBetween(Window.unboundedPreceding, 0)
-    before = lane.across().rowsBetween(Window.unboundedPreceding, -1)
-    totals, carries, inside = [], [], {}
+    totals, folds, inside = [], {}, {}
     for alias, (fn, col) in aggs.items():
         part, c = f"_part_{alias}", F.col(col)
         if fn == "last":
             seen = F.when(c.isNotNull(), F.struct(*lane.order))
             totals.append(F.max_by(c, seen).alias(part))
-            carries.append(F.last(part, ignorenulls=True).over(before).alias(f"_carry_{alias}"))
             inside[alias] = F.last(c, ignorenulls=True).over(frame)
         else:
             agg = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[fn]
-            fold = F.sum if fn == "count" else agg
             totals.append(agg(c).alias(part))
-            carries.append(fold(part).over(before).alias(f"_carry_{alias}"))
             inside[alias] = agg(c).over(frame)
-    carry = _chunked(laid).groupBy(*lane.chunk).agg(*totals).select(*lane.chunk, *carries)
+        folds[f"_carry_{alias}"] = ("sum" if fn == "count" else fn, part)
+    summary = _chunked(laid).groupBy(*lane.chunk).agg(*totals)
+    carry = _before(summary, lane, folds).select(*lane.chunk, *folds)
     out = _give(laid.withColumns({f"_in_{a}": e for a, e in inside.items()}), carry, lane)
     join = {
         "sum": _plus,
@@ -251,12 +311,15 @@ def with_run_number(
         _chunked(marked)
         .groupBy(*lane.chunk)
         .agg(F.min(at).alias("_first"), F.max(at).alias("_last"), F.sum("_opened").alias("_inside"))
-        .withColumn("_ahead", F.lag("_last.row").over(lane.across()))
+        .select(*lane.chunk, "_first", F.col("_last.row").alias("_row"), "_inside")
     )
+    summary = _ahead(summary, lane, "_row", "_ahead")
     border = F.coalesce(starts(F.col("_ahead"), F.col("_first.row")), F.lit(False))
     border = F.when(F.col("_ahead").isNull(), F.lit(first)).otherwise(border.cast("int"))
-    upto = lane.across().rowsBetween(Window.unboundedPreceding, 0)
-    so_far = F.sum(border.cast("bigint") + F.col("_inside")).over(upto) - F.col("_inside")
+    summary = summary.select(*lane.chunk, border.cast("bigint").alias("_border"), "_inside")
+    summary = summary.withColumn("_opened", F.col("_border") + F.col("_inside"))
+    summary = _before(summary, lane, {"_so_far": ("sum", "_opened")})
+    so_far = F.coalesce("_so_far", F.lit(0)) + F.col("_border")
     carry = summary.select(*lane.chunk, so_far.alias("_carry"))
     within = F.sum("_opened").over(lane.window().rowsBetween(Window.unboundedPreceding, 0))
     out = _give(marked.withColumn("_within", within), carry, lane)
@@ -290,9 +353,7 @@ def with_moving(laid: DataFrame, lane: Lane, col: str, n: int, alias: str) -> Da
         .groupBy(*lane.chunk)
         .agg(F.array_sort(F.collect_list(F.struct("_rn", F.col(col).alias("v")))).alias("_tail"))
     )
-    empty = F.array().cast(tails.schema["_tail"].dataType)
-    behind = [F.coalesce(F.lag("_tail", i).over(lane.across()), empty) for i in range(1, n)]
-    carry = tails.select(*lane.chunk, F.slice(F.concat(*behind), 1, n - 1).alias("_carry"))
+    carry = _behind(tails, lane, n - 1, "_carry").select(*lane.chunk, "_carry")
     out = _give(laid, carry, lane)
     missing = F.slice("_carry", F.lit(1), F.greatest(F.lit(n) - F.col("_pos"), F.lit(0)))
     kind = laid.schema["_sum"].dataType.simpleString()

@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from lanewise.plans import lanes  # noqa: E402
+from lanewise.plans import cells, lanes  # noqa: E402
 from lanewise.session import local_session  # noqa: E402
 
 
@@ -21,10 +21,12 @@ def spark():
 
 @pytest.fixture
 def all_heavy(monkeypatch):
-    """Cut every key, however small, so that all carries are used."""
+    """Cut every key, however small, into cells of a few rows, so that all carries are used."""
     find = lanes.heavy_keys
+    monkeypatch.setattr(cells, "ROWS", 64)
 
     def every_key(df, key, min_rows, max_heavy):
         return find(df, key, 0, 10**6)
 
     monkeypatch.setattr(lanes, "heavy_keys", every_key)
+    monkeypatch.setattr(lanes, "FEW", 0)

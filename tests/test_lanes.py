@@ -13,6 +13,8 @@ from lanewise.operators import aggregates as A
 from lanewise.operators import customers as U
 from lanewise.operators import joins as J
 from lanewise.operators import windows as W
+from lanewise.plans import cells, lanes
+from lanewise.plans.cells import counted_cells
 from lanewise.plans.lanes import (
     CHUNK,
     Lane,
@@ -51,9 +53,21 @@ LANES = [
     Lane((), ("t", "i"), "t div 5"),
     Lane((), ("t", "i"), ("t", "i div 20")),
     Lane((), ("t", "i"), "t", bounded=True),
+    Lane((), ("t", "i")),
+    Lane(("k",), ("t", "i"), min_rows=20),
+    Lane(("k",), ("t", "i"), min_rows=10**6),
 ]
 
 
+@pytest.fixture(autouse=True)
+def small_cells(monkeypatch):
+    """Counted cells of a few rows, and summaries of summaries from a few cells on."""
+    monkeypatch.setattr(cells, "ROWS", 8)
+    monkeypatch.setattr(cells, "PICKED", 3)
+    monkeypatch.setattr(cells, "CHECKED", 0)
+    monkeypatch.setattr(lanes, "SPAN", 4)
+
+
 @pytest.mark.parametrize("lane", LANES, ids=range(len(LANES)))
 @pytest.mark.parametrize("seed", [1, 2])
 def test_lane_primitives_match_plain_windows(spark, lane, seed):
@@ -240,3 +254,71 @@ def test_spans_longer_than_a_block(spark):
         F.count("*"), F.min("n"), F.max("n"), F.countDistinct("n")
     )
     assert rows(got) == [("a", 200_000, 1, 200_000, 200_000), ("c", 1, 7, 7, 1)]
+
+
+def cell_sizes(df, order):
+    """Rows by counted cell; checks that cells follow the order."""
+    numbered = df.withColumn("cell", counted_cells(df, order))
+    spans = numbered.groupBy("cell").agg(
+        F.count("*").alias("n"), F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high")
+    )
+    found = spans.orderBy("cell").withColumn("next", F.lead("low").over(Window.orderBy("cell")))
+    assert found.where("high >= next").count() == 0
+    return [r["n"] for r in found.collect()]
+
+
+def test_cells_hold_about_equal_numbers_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(cells, "ROWS", 500)
+    monkeypatch.setattr(cells, "PICKED", 16)
+    n = 20_000
+    rows = spark.range(n).select("id", (F.col("id") % 3).alias("few"), F.exp(F.col("id") / 50).alias("steep"))
+    for order in (("id",), ("steep",), ("few", "id")):
+        sizes = cell_sizes(rows, order)
+        assert sum(sizes) == n and max(sizes) <= cells.CROWDED * 500 and len(sizes) >= n / 1000
+
+
+def test_all_rows_in_one_minute_are_still_spread(spark, monkeypatch):
+    monkeypatch.setattr(cells, "ROWS", 500)
+    monkeypatch.setattr(cells, "PICKED", 16)
+    at = F.lit("2024-01-01 00:00:10").cast("timestamp_ntz")
+    burst = spark.range(10_000).select("id", F.when(F.col("id") % 10 > 0, at).otherwise(at + F.expr("make_dt_interval(id)")).alias("ts"))
+    sizes = cell_sizes(burst, ("ts", "id"))
+    assert max(sizes) <= cells.CROWDED * 500
+    total = W.running_sum(burst, Lane((), ("ts", "id")), "id")
+    want = burst.withColumn("running", F.sum("id").over(Window.orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)))
+    assert rows(total.select("id", "running")) == rows(want.select("id", "running"))
+
+
+def test_cells_of_any_type(spark):
+    data = [
+        (i, None if i % 7 == 0 else float("nan") if i % 11 == 0 else i / 3 - 9, f'{"ä" * (i % 3)}"\\{i % 5}', i % 2 == 0)
+        for i in range(200)
+    ] + [(200, float("inf"), "z", None), (201, float("-inf"), None, True)]
+    df = literal(spark, data, "i int, x double, s string, b boolean").withColumns(
+        {"d": F.expr("try_cast(x AS decimal(12,3))"),
+         "day": F.date_add(F.lit("2024-01-01"), F.col("i") % 9), "f": F.col("x").cast("float")}
+    )
+    for order in (("x", "i"), ("s", "b", "i"), ("d", "i"), ("day", "i"), ("f", "i"), ("b", "i")):
+        sizes = cell_sizes(df, order)
+        assert sum(sizes) == 202 and len(sizes) > 5, order
+
+
+def test_equal_tuples_stay_together(spark):
+    same = spark.range(400).select(F.lit(1).alias("t"), (F.col("id") % 2).alias("i"))
+    assert sum(cell_sizes(same, ("t", "i"))) == 400
+    assert cell_sizes(same.where("false"), ("t", "i")) == []
+
+
+def test_carries_of_many_cells_pass_two_levels(spark):
+    df = skewed(spark, 7, 600)
+    lane = Lane((), ("t", "i"), "t")
+    got = with_running(lay_out(df, lane), lane, {"s": ("sum", "v"), "m": ("min", "v"), "l": ("last", "v"), "c": ("count", "v")})
+    w = Window.orderBy("t", "i").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("i", F.sum("v").over(w), F.min("v").over(w), F.last("v", True).over(w), F.count("v").over(w))
+    assert rows(got.select("i", "s", "m", "l", "c")) == rows(want)
+    number = W.sessionize(
+        df.withColumn("ts", F.timestamp_seconds("t")), Lane((), ("ts", "i"), "unix_seconds(ts)"), "ts", 0
+    )
+    gaps = df.withColumn("new", (F.col("t") > F.lag("t").over(Window.orderBy("t", "i"))).cast("int"))
+    want = gaps.select("i", F.coalesce(F.sum("new").over(Window.orderBy("t", "i")), F.lit(0)))
+    assert rows(number.select("i", "session")) == rows(want)
