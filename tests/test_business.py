@@ -181,6 +181,35 @@ def test_many_queries_in_one_scan(spark, monkeypatch):
     assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
 
 
+def test_a_query_set_of_any_size_stays_a_table(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(300, 5))
+    ids = [2**60 + 3 * i for i in range(300)]  # more digits than a double holds
+    vectors = literal(spark, [(i, v.tolist()) for i, v in zip(ids, base)], "vec_id bigint, embedding array<double>")
+    asked = literal(
+        spark, [(f"q{i}", v.tolist()) for i, v in enumerate(base[:170] * 3)] + [("none", None)],
+        "query_id string, embedding array<double>",
+    ).repartition(4)
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    scores = np.round(unit[:170] @ unit.T, 12)
+    want = [
+        (f"q{q}", ids[i], place)
+        for q in range(170)
+        for place, i in enumerate(sorted(range(300), key=lambda i: (-scores[q][i], i))[:3], 1)
+    ]
+
+    def gathered(*_):
+        raise AssertionError("queries went through the driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(type(asked), "collect", gathered)
+        m.setattr(type(asked), "toLocalIterator", gathered)
+        got = V.cosine_topk(vectors, asked, k=3, batch=32)
+    assert rows(got.select("query_id", "vec_id", "place")) == sorted(want, key=repr)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("LogicalRDD") + plan.count("LocalRelation") <= 2
+
+
 def test_best_k_breaks_ties_by_id():
     ids, scores = V.best_k(np.array([9, 3, 5, 1]), np.array([[1.0, 1.0, 1.0, 0.5]]), 2)
     assert ids.tolist() == [[3, 5]] and scores.tolist() == [[1.0, 1.0]]
