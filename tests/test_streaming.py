@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lanewise.operators import governance as G
 from lanewise.sources.tables import literal
 from lanewise.streaming import windows as W
+from lanewise.streaming import medallion as M
 from lanewise.streaming.medallion import read_gold, run_medallion
 from lanewise.streaming.runs import EVENT_SCHEMA, event_stream, new_folder, run_available
 from lanewise.streaming.stateful import stream_increases
@@ -146,3 +147,108 @@ def test_medallion_takes_late_and_corrected_events(spark):
         run_medallion(spark, f"{home}/src", f"{home}/out", f"{home}/checkpoint", files_per_trigger=1)
     want = rows(G.gold(G.silver(literal(spark, first + later, EVENT_SCHEMA))))
     assert rows(read_gold(spark, f"{home}/out")) == want
+
+
+def folders(spark, home):
+    """Data files by layer, batch and day."""
+    found = {}
+    for layer in ("silver", "gold"):
+        table = spark.read.parquet(f"{home}/out/{layer}").select("batch", "day", F.input_file_name().alias("f"))
+        for r in table.distinct().collect():
+            found.setdefault((layer, r["batch"], str(r["day"])), set()).add(r["f"])
+    return found
+
+
+def add(spark, home, *events):
+    literal(spark, events, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{home}/src")
+    return run_medallion(spark, f"{home}/src", f"{home}/out", f"{home}/checkpoint")
+
+
+def test_a_small_file_rewrites_its_own_days_only(spark):
+    home, day = new_folder(spark, "medallion"), 24 * 60
+    add(spark, home, *[event(i, i * day, user=i % 4) for i in range(20)])
+    before = folders(spark, home)
+    # one new event of day 3; event 8 moves from day 8 to day 11
+    later = [event(100, 3 * day + 5, user=9), (8, START + dt.timedelta(days=11), 0, "click", 2.0, None)]
+    served = add(spark, home, *later)
+    after = folders(spark, home)
+    fresh = {k: v for k, v in after.items() if k not in before}
+    assert {k: v for k, v in after.items() if k in before} == before
+    assert {d for _, n, d in fresh} == {"2024-01-04", "2024-01-12"} and {n for _, n, _ in fresh} == {1}
+    # day 8 lost its only event: listed as written, without a folder
+    assert {str(d) for d, n in M.written_days(spark, f"{home}/out").items() if n == 1} == {
+        "2024-01-04", "2024-01-09", "2024-01-12"
+    }
+    everything = [event(i, i * day, user=i % 4) for i in range(20)] + later
+    want = G.silver(literal(spark, everything, EVENT_SCHEMA))
+    assert rows(served) == rows(G.gold(want))
+    assert rows(M.read_silver(spark, f"{home}/out").select(*want.columns)) == rows(want)
+
+
+def test_a_repeated_batch_changes_nothing(spark):
+    out, day = f"{new_folder(spark, 'medallion')}/out", 24 * 60
+    batches = [
+        [event(i, i * day // 2, user=i) for i in range(6)],
+        [event(3, 9 * day, user=3, value=7.0), event(50, day, user=8)],
+        [event(3, 2 * day, user=5), event(51, 9 * day, user=1)],
+    ]
+    tables = [literal(spark, b, EVENT_SCHEMA).withColumn("ts", F.col("ts").cast("timestamp")) for b in batches]
+    seen = []
+    for n, table in enumerate(tables):
+        M.merge_batch(table, n, out)
+        seen.append((rows(read_gold(spark, out)), rows(M.read_silver(spark, out))))
+        M.merge_batch(table, n, out)  # the same batch, again
+        assert (rows(read_gold(spark, out)), rows(M.read_silver(spark, out))) == seen[-1]
+    assert seen[-1][0] == rows(G.gold(G.silver(literal(spark, sum(batches, []), EVENT_SCHEMA))))
+
+
+def test_a_batch_that_failed_halfway_is_invisible(spark, monkeypatch):
+    out = f"{new_folder(spark, 'medallion')}/out"
+    tables = [
+        literal(spark, b, EVENT_SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
+        for b in ([event(1, 0), event(2, 5)], [event(1, 3000, value=9.0)])
+    ]
+    M.merge_batch(tables[0], 0, out)
+    before = rows(read_gold(spark, out))
+    write = M._write
+
+    def fails(df, path, *by):
+        if path.endswith("/ids"):
+            raise OSError("lost")
+        write(df, path, *by)
+
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(M, "_write", fails)
+        M.merge_batch(tables[1], 1, out)
+    assert rows(read_gold(spark, out)) == before
+    M.merge_batch(tables[1], 1, out)
+    assert rows(read_gold(spark, out)) == rows(G.gold(G.silver(tables[0].unionByName(tables[1]))))
+
+
+def test_vacuum_deletes_what_was_written_again(spark):
+    home, day = new_folder(spark, "medallion"), 24 * 60
+    add(spark, home, *[event(i, i * day) for i in range(4)])
+    served = rows(add(spark, home, event(9, day)))
+    assert M.vacuum(spark, f"{home}/out") == 2
+    assert M.vacuum(spark, f"{home}/out") == 0
+    assert rows(read_gold(spark, f"{home}/out")) == served
+    assert rows(add(spark, home, event(10, day)))[1][2] == 3
+
+
+def test_users_of_longer_spans_come_from_sketches(spark):
+    out, start = f"{new_folder(spark, 'medallion')}/out", dt.datetime(2024, 1, 1)
+    span = spark.range(60_000).select(
+        F.col("id").alias("event_id"),
+        (F.lit(start).cast("timestamp") + F.expr("make_dt_interval(cast(id % 21 AS int))")).alias("ts"),
+        (F.col("id") % 7000).alias("user_id"),
+        F.lit("view").alias("event_type"),
+        F.lit(1.0).alias("value"),
+        F.lit(None).cast("string").alias("props"),
+    )
+    M.merge_batch(span.where("event_id % 2 = 0"), 0, out)
+    M.merge_batch(span.where("event_id % 2 = 1"), 1, out)
+    got = {str(r["week"]): r["users"] for r in M.read_users(spark, out).collect()}
+    exact = span.groupBy(F.to_date(F.date_trunc("week", "ts")).alias("w")).agg(F.countDistinct("user_id").alias("n"))
+    want = {str(r["w"]): r["n"] for r in exact.collect()}
+    assert got.keys() == want.keys() and len(want) == 3
+    assert all(abs(got[w] - want[w]) <= 0.06 * want[w] for w in want)
