@@ -9,9 +9,10 @@
    starts at ``depth`` common values and is cut deeper while it holds more than
    ``region`` classes. Pairs whose signatures agree too little are left out.
 4. Links are confirmed on the full sets. In crowded regions the first pass tests
-   a spanning forest and the best of the candidates only. A second pass
-   tests the best candidates between different components of a region, and a third
-   all that are left, those near a large component against its sets. So groups of thousands cost a few tests each.
+   a spanning forest and the best of the candidates only. A second pass tests the best
+   candidates between different components of a region. A third connects all that may
+   still be linked and compares the full sets within what it connected. So groups of
+   thousands cost a few tests each, and no pass writes a row for every pair.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 
 from lanewise.llm.common import text_batches, written
 from lanewise.llm.components import components
+from lanewise.plans.lookups import attach
 from lanewise.session import ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -217,10 +219,10 @@ def _candidates_in(ids, trees, orders, forest: Forest):
     return pairs, crowded
 
 
-OUT = "a long, b long, border int, tree int, ordering binary"
+OUT = "a long, b long, border int, tree int, ordering binary, more boolean"
 
 
-def _out(a, b, border=None, tree=None, ordering=None):
+def _out(a, b, border=None, tree=None, ordering=None, more=None):
     n = len(a)
     empty = [None] * n
     return pa.RecordBatch.from_arrays(
@@ -230,8 +232,9 @@ def _out(a, b, border=None, tree=None, ordering=None):
             pa.array(empty if border is None else border, pa.int32()),
             pa.array(empty if tree is None else tree, pa.int32()),
             pa.array(empty if ordering is None else ordering, pa.binary()),
+            pa.array(empty if more is None else [more] * n, pa.bool_()),
         ],
-        names=["a", "b", "border", "tree", "ordering"],
+        names=["a", "b", "border", "tree", "ordering", "more"],
     )
 
 
@@ -293,32 +296,44 @@ def candidates(classes: DataFrame, forest: Forest) -> DataFrame:
         if held is not None and held.num_rows:
             yield from emit(held, here if first_run else None, here)
 
+    half = forest.region // 2
+
     def emit(table, head, tail):
         ids, tree, orders = _columns(table, values)
-        found = _marked(ids, *_candidates_in(ids, tree, orders, forest))
+        pairs, crowded = _candidates_in(ids, tree, orders, forest)
+        ends = []
+        for border, at in ((None if head is None else head - 1, 0), (tail, len(ids) - 1)):
+            if border is None or border < 0:
+                continue
+            region = np.flatnonzero((tree == tree[at]) & (orders[:, : forest.depth] == orders[at, : forest.depth]).all(1))
+            # only the rows next to the border are compared across it; where there are more,
+            # or the region fills the task, all its rows on both sides are left to later passes
+            more = len(region) > half or (len(region) == len(ids) and head is not None and tail is not None)
+            if more:
+                crowded.update(region.tolist())
+            ends.append((border, region[:half] if at == 0 else region[-half:], more))
+        found = _marked(ids, pairs, crowded)
         yield _out([p[0] for p in found], [p[1] for p in found])
-        for border, rows in (
-            (None if head is None else head - 1, slice(0, forest.region // 2)),
-            (tail, slice(max(0, len(ids) - forest.region // 2), len(ids))),
-        ):
-            if border is not None and border >= 0:
-                at = 0 if rows.start == 0 and border != tail else len(ids) - 1
-                near = (tree[rows] == tree[at]) & (orders[rows, : forest.depth] == orders[at, : forest.depth]).all(1)
-                picked = np.arange(len(ids))[rows][near]
-                yield _out(
-                    ids[picked],
-                    ids[picked],
-                    np.full(len(picked), border),
-                    tree[picked],
-                    [orders[i].astype(">u2").tobytes() for i in picked],
-                )
+        for border, picked, more in ends:
+            yield _out(
+                ids[picked],
+                ids[picked],
+                np.full(len(picked), border),
+                tree[picked],
+                [orders[i].astype(">u2").tobytes() for i in picked],
+                more,
+            )
 
     def across(batch: pa.Table) -> pa.Table:
         batch = batch.rename_columns({"a": "id"}).sort_by(
             [("tree", "ascending"), ("ordering", "ascending"), ("id", "ascending")]
         )
         ids, tree, orders = _columns(batch, values)
-        found = _marked(ids, *_candidates_in(ids, tree, orders, forest))
+        pairs, crowded = _candidates_in(ids, tree, orders, forest)
+        for at in np.flatnonzero(batch.column("more").to_numpy()).tolist():
+            same = (tree == tree[at]) & (orders[:, : forest.depth] == orders[at, : forest.depth]).all(1)
+            crowded.update(np.flatnonzero(same).tolist())
+        found = _marked(ids, pairs, crowded)
         return pa.table(
             {"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())}
         )
@@ -344,23 +359,20 @@ def _last_region(table, forest: Forest) -> int:
 
 
 def across_labels(
-    classes: DataFrame, forest: Forest, best: int | None = None, chunk: int = 2048, visitors: int = 2048, many: int = 32
+    classes: DataFrame, forest: Forest, best: int | None = None, chunk: int = 2048, visitors: int = 2048
 ) -> DataFrame:
     """Pairs a, b of ids of different labels that may be linked, from whole regions.
 
-    With ``best``, only so many of a row in a chunk, those of the nearest signatures.
-    Without, all; but a row near a label of many rows gives one row with ``whole``
-    set, a the id and b the label, in place of a pair for each row of the label.
+    With ``best``, so many of a row in a chunk, those of the nearest signatures. Without,
+    a spanning forest of all such pairs of a chunk: rows that may be linked are connected.
+    Either way what a task gives grows with its rows, not with its pairs.
 
     ``classes``: id, signature, label. In a region, rows outside its largest label
     visit all rows. Rows are dealt over chunks and visitors over blocks, and each chunk
     meets each block, so a region of any size is compared whole, at its first depth,
     by tasks of bounded size.
     """
-    large = classes.groupBy("label").count().where(F.col("count") > many)
-    large = large.select("label", F.lit(best is None).alias("large"))
-    keyed = grow(classes, forest).join(large, "label", "left").fillna(False, ["large"])
-    keyed = keyed.withColumn("prefix", F.substring("ordering", 1, 2 * forest.depth))
+    keyed = grow(classes, forest).withColumn("prefix", F.substring("ordering", 1, 2 * forest.depth))
     by_label = keyed.groupBy("tree", "prefix", "label").count()
     regions = written(
         by_label.groupBy("tree", "prefix")
@@ -369,7 +381,7 @@ def across_labels(
         "regions",
     )
     rows = (
-        keyed.join(regions, ["tree", "prefix"])
+        attach(keyed, regions, ["tree", "prefix"])
         .withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int"))
         .withColumn("blocks", F.ceil((F.col("n") - F.col("largest")) / visitors).cast("int"))
     )
@@ -384,81 +396,99 @@ def across_labels(
         .withColumn("block", own("blocks"))
         .withColumn("chunk", every("chunks"))
     )
-    columns = ["tree", "prefix", "chunk", "block", "visits", "id", "label", "large", "ordering"]
+    columns = ["tree", "prefix", "chunk", "block", "visits", "id", "label", "ordering"]
     return (
         at_home.select(columns)
         .unionByName(visiting.select(columns))
         .groupBy("tree", "prefix", "chunk", "block")
-        .applyInArrow(_visits(forest, best), "a long, b long, whole boolean")
+        .applyInArrow(_visits(forest, best), "a long, b long")
         .distinct()
     )
 
 
+class Groups:
+    """Ids joined into groups; a link inside a group is not kept."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids, self.place = np.unique(ids, return_inverse=True)
+        self.group = np.arange(len(self.ids))
+        self.a, self.b = [], []
+
+    def join(self, row: int, others: np.ndarray) -> None:
+        """Link a row with others, all given by their places among the ids."""
+        places = self.place[others]
+        mine, here = self.group[self.place[row]], self.place[row]
+        groups, first = np.unique(self.group[places], return_index=True)
+        new = groups != mine
+        for other in places[first[new]].tolist():
+            self.a.append(int(min(self.ids[here], self.ids[other])))
+            self.b.append(int(max(self.ids[here], self.ids[other])))
+        if new.any():
+            self.group[np.isin(self.group, groups[new])] = mine
+
+    def table(self) -> pa.Table:
+        return pa.table({"a": pa.array(self.a, pa.int64()), "b": pa.array(self.b, pa.int64())})
+
+
 def _visits(forest: Forest, best: int | None):
     values, least = forest.values, forest.least
 
     def run(group: pa.Table) -> pa.Table:
         ids, _, orders = _columns(group, values)
-        labels = group.column("label").to_numpy()
-        visits, large = group.column("visits").to_numpy(), group.column("large").to_numpy()
+        labels, visits = group.column("label").to_numpy(), group.column("visits").to_numpy()
         home = np.flatnonzero(~visits)
         at_home = orders[home]
-        a, b, near_labels = [], [], set()
+        a, b, groups = [], [], Groups(ids)
         for i in np.flatnonzero(visits).tolist():
             same = np.count_nonzero(at_home == orders[i], axis=1)
             near = np.flatnonzero((same >= least) & (labels[home] != labels[i]))
-            if best is not None and len(near) > best:
-                near = near[np.argsort(-same[near], kind="stable")[:best]]
-            if large.any():
-                whole = large[home[near]]
-                if large[i]:  # the row of a large label visits rows of small ones: these meet the label
-                    near_labels.update((int(x), int(labels[i])) for x in ids[home[near]])
-                    continue
-                near_labels.update((int(ids[i]), int(x)) for x in np.unique(labels[home[near[whole]]]))
-                near = near[~whole]
-            hit = home[near]
+            if best is None:
+                groups.join(i, home[near])
+                continue
+            hit = home[near[np.argsort(-same[near], kind="stable")[:best]]]
             a.append(np.minimum(ids[hit], ids[i]))
             b.append(np.maximum(ids[hit], ids[i]))
+        if best is None:
+            return groups.table()
         none = np.empty(0, np.int64)
-        pairs = np.concatenate([none, *a])
-        met = sorted(near_labels)
-        return pa.table(
-            {
-                "a": pa.array([*pairs, *(x for x, _ in met)], pa.int64()),
-                "b": pa.array([*np.concatenate([none, *b]), *(y for _, y in met)], pa.int64()),
-                "whole": pa.array([False] * len(pairs) + [True] * len(met), pa.bool_()),
-            }
-        )
+        return pa.table({"a": np.concatenate([none, *a]), "b": np.concatenate([none, *b])})
 
     return run
 
 
-def against_labels(near: DataFrame, labelled: DataFrame, docs: DataFrame, forest: Forest, block: int = 300_000) -> DataFrame:
-    """Links between the ids ``a`` of ``near`` and any row of the label ``b``, by full sets.
+def linked_within(groups: DataFrame, labelled: DataFrame, docs: DataFrame, forest: Forest, block: int = 300_000) -> DataFrame:
+    """Links, by full sets, between ids of different labels that are in one group.
 
-    ``labelled``: id, label. Both sides are dealt over blocks of about ``block``
-    shingles, and a task counts the shared shingles of two blocks by an inverted index.
+    ``groups``: node, component; ``labelled``: id, label. Every set is shuffled once for
+    each block of its group, never once a pair: in a group, ids outside its largest label
+    visit all ids, both sides are dealt over blocks of about ``block`` shingles, and a task
+    counts the shared shingles of two blocks by an inverted index. Of the links it finds it
+    gives a spanning forest, so a group of any size is confirmed whole by bounded tasks.
     """
-    members = labelled.join(near.select(F.col("b").alias("label")).distinct(), "label", "left_semi")
-    visitors = near.select(F.col("b").alias("label"), F.col("a").alias("id")).distinct()
-    sets = _sets(members.select("id").union(visitors.select("id")).distinct(), docs, forest)
-    sizes = F.ceil(F.sum(F.size("shingles").cast("long")) / block).cast("int")
-    members, visitors = members.join(sets, "id"), visitors.join(sets, "id")
-    dealt = (
-        members.groupBy("label").agg(sizes.alias("m")).join(visitors.groupBy("label").agg(sizes.alias("v")), "label")
-    )
-    own = lambda n: F.pmod(F.xxhash64("id"), F.greatest(n, F.lit(1))).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1))
-    columns = ["label", "i", "j", "visits", "id", "shingles"]
-    met = (
-        members.join(dealt, "label")
-        .select("label", own(F.col("m")).alias("i"), every(F.col("v")).alias("j"), F.lit(False).alias("visits"), "id", "shingles")
-        .unionByName(
-            visitors.join(dealt, "label")
-            .select("label", every(F.col("m")).alias("i"), own(F.col("v")).alias("j"), F.lit(True).alias("visits"), "id", "shingles")
+    nodes = groups.select(F.col("node").alias("id"), F.col("component").alias("part")).join(labelled, "id")
+    sets = _sets(groups.select(F.col("node").alias("id")), docs, forest)
+    nodes = nodes.join(sets, "id")
+    size = F.sum(F.size("shingles").cast("long"))
+    by_label = nodes.groupBy("part", "label").agg(size.alias("size"))
+    parts = (
+        by_label.groupBy("part")
+        .agg(F.sum("size").alias("all"), F.max("size").alias("largest"), F.max_by("label", F.struct("size", "label")).alias("major"), F.count("*").alias("labels"))
+        .where("labels > 1")
+        .select(
+            "part",
+            "major",
+            F.ceil(F.col("all") / block).cast("int").alias("m"),
+            F.ceil((F.col("all") - F.col("largest")) / block).cast("int").alias("v"),
         )
     )
-    return met.select(columns).groupBy("label", "i", "j").applyInArrow(_shared(forest), "a long, b long").distinct()
+    rows = attach(nodes, parts, ["part"])
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["part", "i", "j", "visits", "id", "label", "shingles"]
+    at_home = rows.withColumns({"visits": F.lit(False), "i": own("m")}).withColumn("j", every("v"))
+    visiting = rows.where("label <> major").withColumns({"visits": F.lit(True), "j": own("v")}).withColumn("i", every("m"))
+    met = at_home.select(columns).unionByName(visiting.select(columns))
+    return met.groupBy("part", "i", "j").applyInArrow(_shared(forest), "a long, b long").distinct()
 
 
 def _shared(forest: Forest):
@@ -466,6 +496,7 @@ def _shared(forest: Forest):
 
     def run(group: pa.Table) -> pa.Table:
         ids, visits = group.column("id").to_numpy(), group.column("visits").to_numpy()
+        labels = group.column("label").to_numpy()
         sets = group.column("shingles").combine_chunks()
         ends, flat = sets.offsets.to_numpy(), sets.values.to_numpy()
         sizes = np.diff(ends)
@@ -473,18 +504,16 @@ def _shared(forest: Forest):
         inside = ~visits[owner]
         order = np.argsort(flat[inside], kind="stable")
         index, owners = flat[inside][order], owner[inside][order]
-        a, b = [], []
+        groups = Groups(ids)
         for i in np.flatnonzero(visits).tolist():
             own = flat[ends[i] : ends[i + 1]]
             first, last = np.searchsorted(index, own, "left"), np.searchsorted(index, own, "right")
             n = last - first
             at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
             shared = np.bincount(owners[at], minlength=len(ids))
-            linked = (100 * shared >= percent * (sizes[i] + sizes - shared)) & ~visits & (ids != ids[i])
-            for x in ids[linked].tolist():
-                a.append(min(x, int(ids[i])))
-                b.append(max(x, int(ids[i])))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            linked = (100 * shared >= percent * (sizes[i] + sizes - shared)) & ~visits & (labels != labels[i])
+            groups.join(i, np.flatnonzero(linked))
+        return groups.table()
 
     return run
 
@@ -565,10 +594,10 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
             )
             labelled = written(labelled, "labelled")
             more = written(across_labels(labelled, forest, best), "pairs")
-            more, whole = more.where("not whole").select("a", "b"), more.where("whole").select("a", "b")
-            new = confirmed(more.join(tested, ["a", "b"], "left_anti"), texts, forest)
             if best is None:
-                new = new.union(against_labels(whole, labelled.select("id", "label"), texts, forest))
+                new = linked_within(written(components(more), "groups"), labelled.select("id", "label"), texts, forest)
+            else:
+                new = confirmed(more.join(tested, ["a", "b"], "left_anti"), texts, forest)
             new = written(new, "links")
             if new.limit(1).count():
                 tested, linked = tested.union(more), linked.union(new)

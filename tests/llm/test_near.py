@@ -138,7 +138,7 @@ def test_pairs_of_a_crowded_and_another_region(spark):
         x[i + 1, 4:6] += 1
     got = neardup.across_labels(signed(spark, x), forest, visitors=16).collect()
     want = brute_meetings(x, forest)
-    assert len(want) == 10 and not any(r["whole"] for r in got)
+    assert len(want) == 10
     assert {(r["a"], r["b"]) for r in got} == want
 
 
@@ -152,10 +152,80 @@ def test_pairs_of_a_crowded_region_only(spark):
         x[i + 1, alone] += 1
     got = neardup.across_labels(signed(spark, x), forest, chunk=24, visitors=16).collect()
     want = brute_meetings(x, forest)
-    assert len(want) == 10 and not any(r["whole"] for r in got)
+    assert len(want) == 10
     assert {(r["a"], r["b"]) for r in got} == want
 
 
+def alike(rows, seed):
+    """Unlinked texts that are similar all the same: about 0.7 of their words are those of one base."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for _ in range(rows):
+        w = list(base)
+        for k in rng.sample(range(120), 12):
+            w[k] = f"x{rng.random()}"
+        texts.append(" ".join(w))
+    return texts
+
+
+def test_rows_given_grow_with_the_rows(spark):
+    """Hundreds of texts that are all similar and never linked."""
+    forest = neardup.Forest(words=2)
+    given = []
+    for n in (150, 300, 600):
+        docs = spark.createDataFrame(list(enumerate(alike(n, 1))), "doc_id long, text string")
+        seen = neardup.sketch(docs, forest).selectExpr("doc_id AS id", "signature", "doc_id AS label")
+        pairs = neardup.across_labels(seen, forest, chunk=64, visitors=64)
+        rows = neardup.near_duplicates(docs, forest).collect()
+        assert all(r["kept"] for r in rows) and len(rows) == n
+        given.append(pairs.count())
+    # a forest in each meeting of blocks; all pairs would be 44,850 and 179,700
+    assert given[1] <= 3 * 16 * 300 * 300 / 64 and given[2] < 100_000
+
+
+def test_links_among_many_that_are_only_similar(spark):
+    texts = alike(260, 2)
+    rng = random.Random(3)
+    for t in texts[:60]:
+        w = t.split()
+        for k in rng.sample(range(120), rng.randint(1, 3)):
+            w[k] = f"y{rng.random()}"
+        texts.append(" ".join(w))
+    docs = dict(enumerate(texts))
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    for region in (24, 192):
+        rows = neardup.near_duplicates(frame, neardup.Forest(words=2, region=region)).collect()
+        assert {r["doc_id"]: r["component_id"] for r in rows} == brute_components(docs, 2)
+
+
+@pytest.mark.parametrize("partitions", [211, 24, 3])
+def test_no_pair_is_lost_at_the_borders_of_ranges(spark, partitions):
+    """Pairs that meet in one region only; the ranges cut such regions anywhere."""
+    forest = neardup.Forest(region=24)
+    rng = np.random.default_rng(partitions)
+    x = rng.integers(0, 1 << 16, size=(8 * 60, forest.values))
+    alone = [forest.depth, *(forest.tree_start(t) for t in range(1, forest.trees))]
+    for k in range(8):
+        at = slice(60 * k, 60 * k + 60)
+        x[at, : forest.depth] = 9000 * k
+        for i in range(60 * k, 60 * k + 60, 2):
+            x[i + 1] = x[i]
+            x[i + 1, alone] += 1
+    table = signed(spark, x).select("id", "signature")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        found = neardup.candidates(table, forest).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    pairs = {(r["a"], r["b"]) for r in found if r["a"] != r["b"]}
+    crowded = {r["a"] for r in found if r["a"] == r["b"]}
+    want = brute_meetings(x, forest)
+    assert len(want) >= 240
+    assert all(p in pairs or (p[0] in crowded and p[1] in crowded) for p in want)
+
+
 def test_near_query(spark, sf_dir):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = QUERIES["op6_minhash_near_dedup"](spark, sf_dir).collect()
