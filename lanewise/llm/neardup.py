@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewise.llm.common import text_batches, written
@@ -620,9 +620,12 @@ def near_duplicates(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
 def keep_one(docs: DataFrame, forest: Forest = Forest()) -> DataFrame:
     """One document of each group, that of the smallest doc_id, with its own columns.
 
-    Of rows of one doc_id one stays, any of them; rows without doc_id all stay.
+    Of rows of one doc_id that with the least text stays (null is least), of equal texts
+    one with the least hash of its other columns; rows without doc_id all stay.
     """
     found = near_duplicates(docs, forest)
     kept = found.where("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = Window.partitionBy("doc_id").orderBy("text", F.xxhash64("doc_id", *others))
+    placed = docs.join(kept, "doc_id", "left_semi").withColumn("__place", F.row_number().over(order))
+    return placed.where("__place = 1").select(docs.columns).unionByName(docs.where("doc_id is null"))

@@ -70,22 +70,24 @@ def pack(sizes: list[int], p: Packing) -> list[tuple[int, int, int, int, int]]:
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def packed(docs: DataFrame, tokenizer: str, p: Packing = Packing()) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, p: Packing = Packing(), cache_bytes: int = 96 << 20) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian 32-bit), doc_tokens, sequence_id, offset.
 
     ``tokenizer`` is the content of a tokenizer file. Every row of ``docs`` is
-    packed; null and empty texts are the end id alone, a null doc_id stays null.
+    packed, repeated ones too; null and empty texts are the end id alone, a null doc_id
+    stays null. Texts of any length are encoded whole.
     Columns other than doc_id and text are ignored; an empty table gives no piece.
-    A sequence is full or as long as a power of two.
+    A sequence is full or as long as a power of two. A task remembers the ids of pieces of
+    text in about ``cache_bytes``; with less it encodes more of them again.
     """
     file = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(file.value)
+        encoder = Encoder(file.value, cache_bytes)
         next_id = TaskContext.get().partitionId() << 40
         held: list[tuple[int | None, np.ndarray]] = []
         tokens = 0
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, 1 << 20):
             found = encoder.encode(batch.column("text").to_pylist())
             for doc, ids in zip(batch.column("doc_id").to_pylist(), found):
                 held.append((doc, np.append(ids, np.uint32(p.end))))

@@ -25,10 +25,14 @@ MARK = "\x01"
 class Encoder:
     """Ids of texts as the tokenizers library gives them, without special tokens.
 
-    ``file`` is the content of the tokenizer file.
+    ``file`` is the content of the tokenizer file. Pieces are remembered in about
+    ``cache_bytes``, and those of one call besides; then all are forgotten.
     """
 
-    def __init__(self, file: str, remembered: int = 600_000):
+    #: What a remembered piece takes besides its characters and ids: two objects and a place in a table.
+    ENTRY = 180
+
+    def __init__(self, file: str, cache_bytes: int = 96 << 20):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -36,7 +40,7 @@ class Encoder:
 
         self.library = Tokenizer.from_str(file)
         self.library.encode_special_tokens = True
-        self.remembered = remembered
+        self.cache_bytes, self.held = cache_bytes, 0
         self.known: dict[str, bytes] = {}
         #: Latin letters of either case then have the same ids; without it, case matters.
         self.lowers = '"Lowercase"' in file
@@ -100,11 +104,14 @@ class Encoder:
                 begin = end + 1
         known, ends = self.known, self.ends | {"": b""}
         known.update([(p, known[stem] + ends[end]) for p, stem, end in derived])
+        new = [*alone, *joined, *(p for p, _, _ in derived)]
+        self.held += sum(self.ENTRY + len(p) + len(known[p]) for p in new)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text as 32-bit numbers; null texts count as empty."""
-        if len(self.known) > self.remembered:
+        if self.held > self.cache_bytes:
             self.known.clear()
+            self.held = 0
         known = self.known
         cut = [self._pieces(t) if t else () for t in texts]
         self._learn(list({p for pieces in cut for p in pieces if p not in known}))

@@ -29,7 +29,7 @@ def test_encoder_is_the_library(name):
     library = Tokenizer.from_str(vocabulary_file(name))
     library.encode_special_tokens = True
     texts = [None, "", *noise(6000, 1)]
-    encoder = Encoder(vocabulary_file(name), remembered=500)
+    encoder = Encoder(vocabulary_file(name), cache_bytes=100_000)
     for at in range(0, len(texts), 700):
         part = texts[at : at + 700]
         for ids, e in zip(encoder.encode(part), library.encode_batch([t or "" for t in part], add_special_tokens=False)):

@@ -104,6 +104,16 @@ def test_near_texts_odd_input(odd_docs, no_docs):
     assert neardup.keep_one(no_docs, neardup.Forest()).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_of_one_id_the_least_text_stays(spark, partitions):
+    rows = [(1, "b b b", "x"), (1, "a a a", "y"), (1, None, "z"), (2, "c c", "p"), (2, "c c", "q"), (None, "d", "r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(partitions)
+    kept = {(r["doc_id"], r["text"], r["source"]) for r in neardup.keep_one(docs, neardup.Forest()).collect()}
+    assert (1, None, "z") in kept and (None, "d", "r") in kept and len(kept) == 3
+    again = {(r["doc_id"], r["text"], r["source"]) for r in neardup.keep_one(docs.repartition(3), neardup.Forest()).collect()}
+    assert kept == again
+
+
 def crowd(rows, forest, seed):
     """Signatures that share the first region of tree 0 and nothing else, as an array."""
     rng = np.random.default_rng(seed)
