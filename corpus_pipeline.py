@@ -10,6 +10,9 @@ from lanewise.llm.common import documents, vocabulary_file, written
 #: Near-duplicates share 80 percent of their five-word shingles.
 FOREST = neardup.Forest(words=5, similarity=80)
 
+#: Remembered ids of a packing task: executors hold the stages before as well.
+CACHE_BYTES = 24 << 20
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5; the classifier learns from this corpus and its labels."""
@@ -34,7 +37,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids and their places in sequences."""
-    return packing.packed(docs, vocabulary_file("word_bpe_49k.json"))
+    return packing.packed(docs, vocabulary_file("word_bpe_49k.json"), cache_bytes=CACHE_BYTES)
 
 
 STAGES = [
@@ -50,6 +53,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of the documents that every stage keeps; each stage reads what the one before wrote.
+
+    Of several rows of one doc_id the near-duplicate stage keeps that of the least text.
+    """
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
