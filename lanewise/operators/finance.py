@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewise.plans.lanes import Lane, lay_out, with_running
-from lanewise.plans.lookups import attach
+from lanewise.plans.lookups import BROADCAST_BYTES, attach, byte_size, join_null_safe
+from lanewise.session import shared_dir
 from lanewise.sources.tables import require
 
 
@@ -40,18 +41,30 @@ def asof_rate(
     rate: str,
     row_id: str,
     cell: str | None = None,
+    max_bytes: int = BROADCAST_BYTES,
     **heavy,
 ) -> DataFrame:
     """The latest rate at or before each row, by key.
 
-    Rates and rows are ordered together and the last rate carried forward; a
-    rate sorts before the rows of its own moment. ``cell`` is over ``ts``; counted if not given.
+    Rates are written once and measured. Up to ``max_bytes`` they become one sorted array
+    a key, which is broadcast, and each row searches its key's array where it lies: ``df``
+    is not shuffled. Beyond that rates and rows are ordered together in lanes, by counted
+    cells or ``cell`` over ``ts``, and the last rate is carried forward.
+
+    A null key is a key like any other: its rows find its rates. Rates that are null or
+    have no time are left out; of several rates of one key and time the largest counts.
+    Rows without a time find none.
     """
     require(df, *by, ts, row_id)
     require(rates, *by, ts, rate)
+    shared_dir(df.sparkSession)
+    known = rates.where(F.col(ts).isNotNull() & F.col(rate).isNotNull())
+    known = known.groupBy(*by, ts).agg(F.max(rate).alias(rate)).checkpoint()
+    if byte_size(known) <= max_bytes:
+        return _searched(df, known, by, ts, rate)
     kind = rates.schema[rate].dataType
     both = df.withColumns({"_is_row": F.lit(1), "_rate": F.lit(None).cast(kind)}).unionByName(
-        rates.select(*by, F.col(ts), F.col(rate).alias("_rate"), F.lit(0).alias("_is_row")),
+        known.select(*by, F.col(ts), F.col(rate).alias("_rate"), F.lit(0).alias("_is_row")),
         allowMissingColumns=True,
     )
     lane = Lane(tuple(by), (ts, "_is_row", row_id), cell, **heavy)
@@ -59,6 +72,23 @@ def asof_rate(
     return seen.where(F.col("_is_row") == 1).select(*df.columns, rate)
 
 
+def _searched(df: DataFrame, rates: DataFrame, by: list[str], ts: str, rate: str) -> DataFrame:
+    """The latest rate by binary search in an array a key; all arrays together are broadcast."""
+    arrays = rates.groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(ts).alias("at"), F.col(rate).alias("rate")))).alias("_rates")
+    )
+    longest = arrays.agg(F.max(F.size("_rates"))).first()[0] or 0
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(longest.bit_length()))]).cast("array<int>")
+
+    def further(at: Column, step: Column) -> Column:
+        here = F.get("_rates", at + step - 1)["at"] <= F.col(ts)
+        return at + F.when(here, step).otherwise(0)
+
+    found = join_null_safe(df, F.broadcast(arrays), by, "left")
+    passed = F.aggregate(steps, F.lit(0), further)
+    return found.withColumn(rate, F.get("_rates", passed - 1)["rate"]).select(*df.columns, rate)
+
+
 def zscore(df: DataFrame, by: list[str], val: str, k: float = 3.0) -> DataFrame:
     """Rows more than ``k`` standard deviations from the mean of their group.
 

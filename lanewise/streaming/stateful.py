@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,51 +19,94 @@ from lanewise.session import ship_with_tasks
 
 ship_with_tasks(__name__)
 
+ROW = np.dtype([("us", "<i8"), ("row_id", "<i8"), ("val", "<f8")])
+SPAN_US = 60_000_000  # of event time in one bucket of waiting rows
+CHUNK = 4096  # rows of one state entry
+
 
 class Increases(StatefulProcessor):
     """State per key: rows not yet passed by the watermark, and the last value.
 
-    What waits is bounded by the watermark delay; of a silent key one value stays,
-    however long. Late rows never arrive here: Spark drops them.
+    Waiting rows lie in buckets of ``SPAN_US`` of event time, each in entries of at most
+    ``CHUNK`` packed rows. A timer reads the buckets the watermark has passed, one after
+    the other, and no others: so memory holds one bucket, whatever else waits, and rows
+    are sorted and compared as arrays. What waits is bounded by the watermark delay; of a
+    silent key one value stays, however long. Late rows never arrive here: Spark drops
+    them. A null or NaN value is no rise and nothing rises above it.
     """
 
+    def __init__(self, span_us: int = SPAN_US):
+        self.span_us = span_us
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "us bigint, row_id bigint, val double")
+        self.buckets = handle.getMapState("buckets", "bucket bigint", "chunks bigint, first bigint")
+        self.rows = handle.getMapState("rows", "bucket bigint, chunk bigint", "packed binary")
         self.last = handle.getValueState("last", "us bigint, val double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for pdf in rows:
-            new = list(zip(pdf["us"].tolist(), pdf["row_id"].tolist(), pdf["val"].tolist()))
-            if new:
-                self.waiting.appendList(new)
-                least = min(us for us, _, _ in new)
+            new = np.empty(len(pdf), ROW)
+            for c in ROW.names:
+                new[c] = pdf[c].to_numpy()
+            for bucket in np.unique(new["us"] // self.span_us).tolist():
+                part = new[new["us"] // self.span_us == bucket]
+                self._keep(bucket, part)
+                least = int(part["us"].min())
                 first = least if first is None else min(first, least)
         if first is not None:
             self.handle.registerTimer(_ms_up(first))
         return iter([])
 
+    def _keep(self, bucket: int, part: np.ndarray) -> None:
+        """Append rows to a bucket, filling its last entry first."""
+        chunks, first = 0, int(part["us"].min())
+        if self.buckets.containsKey((bucket,)):
+            chunks, before = self.buckets.getValue((bucket,))
+            first = min(first, before)
+            held = np.frombuffer(self.rows.getValue((bucket, chunks - 1))[0], ROW)
+            if len(held) < CHUNK:
+                part, chunks = np.concatenate([held, part]), chunks - 1
+        for at in range(0, len(part), CHUNK):
+            self.rows.updateValue((bucket, chunks), (part[at : at + CHUNK].tobytes(),))
+            chunks += 1
+        self.buckets.updateValue((bucket,), (chunks, first))
+
+    def _take(self, bucket: int, chunks: int) -> np.ndarray:
+        """All rows of a bucket, in order, which it then no longer holds."""
+        held = []
+        for chunk in range(chunks):
+            held.append(np.frombuffer(self.rows.getValue((bucket, chunk))[0], ROW))
+            self.rows.removeKey((bucket, chunk))
+        self.buckets.removeKey((bucket,))
+        return np.sort(np.concatenate(held), order=["us", "row_id"])
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         limit = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(self.waiting.get()) if self.waiting.exists() else []
-        due = [r for r in rows if r[0] <= limit]
-        later = rows[len(due) :]
-        before = self.last.get() if self.last.exists() else None
-        out = []
-        for us, row_id, val in due:
-            previous = before[1] if before is not None else None
-            if previous is not None and val is not None and val > previous:
-                out.append((key[0], row_id, val, previous))
-            before = (us, val)
-        if due:
-            self.last.update(before)
-        if later:
-            self.waiting.put(later)
-            self.handle.registerTimer(_ms_up(later[0][0]))
-        else:
-            self.waiting.clear()
-        return iter([pd.DataFrame(out, columns=["key", "row_id", "val", "prev"])] if out else [])
+        waiting = {k[0]: tuple(v) for k, v in self.buckets.iterator()}
+        for bucket in sorted(waiting):
+            chunks, first = waiting[bucket]
+            if first > limit:
+                self.handle.registerTimer(_ms_up(first))
+                return
+            rows = self._take(bucket, chunks)
+            due, later = rows[rows["us"] <= limit], rows[rows["us"] > limit]
+            if len(later):
+                self._keep(bucket, later)
+                self.handle.registerTimer(_ms_up(int(later["us"][0])))
+            if len(due):
+                before = self.last.get()[1] if self.last.exists() else None
+                seen = np.concatenate([[np.nan if before is None else before], due["val"]])
+                rises = due["val"] > seen[:-1]
+                self.last.update((int(due["us"][-1]), float(due["val"][-1])))
+                if rises.any():
+                    up = due[rises]
+                    yield pd.DataFrame(
+                        {"key": [key[0]] * len(up), "row_id": up["row_id"], "val": up["val"], "prev": seen[:-1][rises]}
+                    )
+            if len(later):
+                return
 
     def close(self) -> None:
         pass

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 import re
 from decimal import Decimal
 
@@ -58,8 +59,12 @@ def test_cash_flow_keeps_months_of_either_side(spark):
     assert got == [("2024-01-01", 15.0, 0.0, 15.0), ("2024-02-01", 0.0, 3.0, -3.0)]
 
 
-@pytest.mark.parametrize("min_rows", [0, 10**6])
-def test_asof_rate(spark, min_rows):
+#: Rates broadcast as arrays; in lanes of given cells, with every key cut and with none; in counted cells.
+ASOF = [{}, {"max_bytes": 0, "cell": day_cell("d"), "min_rows": 0}, {"max_bytes": 0, "cell": day_cell("d")}, {"max_bytes": 0}]
+
+
+@pytest.mark.parametrize("form", ASOF)
+def test_asof_rate(spark, form):
     sales = literal(
         spark,
         [(1, "eur", DAY("2024-01-01")), (2, "eur", DAY("2024-01-09")), (3, "usd", DAY("2024-01-09"))],
@@ -70,10 +75,39 @@ def test_asof_rate(spark, min_rows):
         [("eur", DAY("2024-01-02"), 1.1), ("eur", DAY("2024-01-09"), 1.2), ("gbp", DAY("2024-01-01"), 9.0)],
         "cur string, d date, rate double",
     )
-    got = N.asof_rate(sales, rates, ["cur"], "d", "rate", "id", day_cell("d"), min_rows=min_rows)
+    got = N.asof_rate(sales, rates, ["cur"], "d", "rate", "id", **form)
     assert rows(got.select("id", "rate")) == [(1, None), (2, 1.2), (3, None)]
 
 
+@pytest.mark.parametrize("form", ASOF)
+def test_asof_rate_of_odd_rows(spark, form):
+    """Null keys, times and rates, repeated rates, and many rates a key."""
+    rng = random.Random(4)
+    day = lambda i: DAY("2024-01-01") + dt.timedelta(days=i)
+    rates = [(rng.choice(["a", "b", None]), day(rng.randrange(90)), rng.choice([None, 1.0, 2.5, 4.0])) for _ in range(150)]
+    rates += [("a", None, 9.0), (None, day(5), 7.0), (None, day(5), 8.0)]
+    sales = [(i, rng.choice(["a", "b", "c", None]), rng.choice([None, day(rng.randrange(-5, 95))])) for i in range(120)]
+    got = N.asof_rate(
+        literal(spark, sales, "id int, cur string, d date"),
+        literal(spark, rates, "cur string, d date, rate double"),
+        ["cur"], "d", "rate", "id", **form,
+    )
+
+    def latest(cur, d):
+        held = [(at, r) for c, at, r in rates if c == cur and at is not None and r is not None and d is not None and at <= d]
+        return max(held)[1] if held else None
+
+    assert rows(got.select("id", "rate")) == sorted([(i, latest(c, d)) for i, c, d in sales], key=repr)
+
+
+def test_small_rates_move_no_row(spark):
+    orders = literal(spark, [(1, "a", DAY("2024-01-05"))], "id int, cur string, d date")
+    rates = literal(spark, [("a", DAY("2024-01-01"), 2.0)], "cur string, d date, rate double")
+    plan = N.asof_rate(orders, rates, ["cur"], "d", "rate", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Window") == 0
+    assert N.asof_rate(orders, rates.where("false"), ["cur"], "d", "rate", "id").first()["rate"] is None
+
+
 def test_zscore_of_a_constant_group_is_never_far(spark):
     df = literal(spark, [("a", 1.0)] * 5 + [("b", 0.0)] * 20 + [("b", 100.0)], "g string, v double")
     assert [r[1] for r in rows(N.zscore(df, ["g"], "v", 3.0).select("g", "v"))] == [100.0]

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from oracle import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lanewise.operators import governance as G
 from lanewise.sources.tables import literal
 from lanewise.streaming import windows as W
 from lanewise.streaming import medallion as M
+from lanewise.streaming import stateful
 from lanewise.streaming.medallion import read_gold, run_medallion
 from lanewise.streaming.runs import EVENT_SCHEMA, event_stream, new_folder, run_available
 from lanewise.streaming.stateful import stream_increases
@@ -103,6 +108,69 @@ def test_increases_follow_event_time_not_arrival(feed):
     assert rows(feed.table()) == [(1, 2, 6.0, 5.0), (1, 3, 7.0, 6.0), (1, 6, 2.0, 1.0)]
 
 
+def test_increases_of_many_waiting_rows(spark, feed, monkeypatch):
+    """Many rows of one key wait, in one bucket and over many, and come out as a plain window has them."""
+    monkeypatch.setattr(stateful, "CHUNK", 64)
+    rng = random.Random(9)
+    events = [event(i, rng.choice([5, 5.5, rng.uniform(0, 300)]), value=rng.choice([1.0, 2.0, 3.5, None])) for i in range(2000)]
+    build = lambda s: stream_increases(s, "user_id", "event_id", "value", watermark="6 hours")
+    for at in range(0, 2000, 700):
+        feed.add(*events[at : at + 700])
+        feed.run(build)
+    assert feed.table().count() == 0  # all of it waits
+    events += [event(9000, 500, user=2), event(9001, 60 * 24 * 9, user=2, value=0.0)]
+    feed.add(*events[2000:])
+    feed.run(build)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    seen = literal(spark, events[:-1], EVENT_SCHEMA).withColumn("prev", F.lag("value").over(w))
+    assert rows(feed.table()) == rows(seen.where("value > prev").select("user_id", "event_id", "value", "prev"))
+
+
+def test_a_timer_reads_no_bucket_ahead_of_the_watermark(monkeypatch):
+    """A million rows wait behind one due row; only the bucket of that one is read."""
+
+    class Map(dict):
+        reads: list = []
+
+        def getValue(self, k):
+            self.reads.append(k)
+            return self[k]
+
+        updateValue, removeKey, containsKey = dict.__setitem__, dict.__delitem__, dict.__contains__
+
+        def iterator(self):
+            return iter(list(self.items()))
+
+    class Value:
+        held = None
+        exists = lambda self: self.held is not None
+        get = lambda self: self.held
+        update = lambda self, v: setattr(self, "held", v)
+
+    class Handle:
+        timers: list = []
+        maps: dict = {}
+        getMapState = lambda self, name, *_: self.maps.setdefault(name, Map())
+        getValueState = lambda self, *_: Value()
+        registerTimer = lambda self, ms: self.timers.append(ms)
+
+    class Now:
+        getCurrentWatermarkInMs = lambda self: 10
+
+    n, minute = 1_000_000, 60_000_000
+    handle, state = Handle(), stateful.Increases()
+    state.init(handle)
+    us = np.concatenate([[5_000, 7_000], minute + np.arange(n) * 3600]).astype("int64")
+    waiting = pd.DataFrame({"us": us, "row_id": np.arange(n + 2), "val": np.arange(n + 2) * 1.0})
+    assert list(state.handleInputRows(("k",), iter([waiting]), Now())) == []
+    assert len(handle.maps["buckets"]) == 61
+    handle.maps["rows"].reads.clear()
+    (got,) = state.handleExpiredTimer(("k",), Now(), None)
+    assert got.values.tolist() == [["k", 1, 1.0, 0.0]]
+    assert {b for b, *_ in handle.maps["rows"].reads} == {0} and handle.timers[-1] == 60_000
+    assert sum(len(v[0]) for v in handle.maps["rows"].values()) == n * stateful.ROW.itemsize
+
+
 def test_silence_of_any_length_is_no_new_start(feed):
     def build(s):
         return stream_increases(s, "user_id", "event_id", "value", watermark="1 minute")
