@@ -104,6 +104,29 @@ def theta_join_counts(spark, sf_dir):
     return J.theta_counts(orders, suppliers, "o_totalprice", "limit")
 
 
+@query(
+    "theta_join_nearest",
+    """
+    SELECT c_custkey, s_suppkey, s_acctbal, place FROM (
+      SELECT c_custkey, s_suppkey, s_acctbal, row_number() OVER (
+               PARTITION BY c_custkey ORDER BY s_acctbal DESC, s_suppkey DESC) AS place
+      FROM customer JOIN supplier ON c_acctbal > s_acctbal)
+    WHERE place <= 3
+    """,
+)
+def theta_join_nearest(spark, sf_dir):
+    """Of the suppliers a customer's balance exceeds, the three nearest: the end of its interval."""
+    customers = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    suppliers = load(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    ranked = J.with_positions(suppliers, "s_acctbal", "s_suppkey")
+    beaten = J.theta_counts(customers, suppliers, "c_acctbal", "s_acctbal").withColumns(
+        {"first": F.greatest(F.col("n_smaller") - 2, F.lit(1)), "last": F.col("n_smaller")}
+    )
+    pairs = J.at_positions(beaten, ranked, "first", "last")
+    place = (F.col("n_smaller") - F.col("position") + 1).alias("place")
+    return pairs.select("c_custkey", "s_suppkey", "s_acctbal", place)
+
+
 def _join_sql(how: str) -> str:
     return f"""
     WITH t1 AS (SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN o_custkey END AS id FROM orders),

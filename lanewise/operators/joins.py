@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lanewise.plans.lanes import Lane, lay_out, with_running
+from lanewise.plans.lanes import CHUNK, Lane, lay_out, with_running
+from lanewise.plans.lookups import attach
+from lanewise.plans.spans import explode_span
 from lanewise.sources.tables import require
 
 
@@ -84,6 +86,29 @@ def theta_counts(
     return found.withColumn("n_smaller", F.coalesce("n_smaller", F.lit(0).cast("bigint")))
 
 
+def with_positions(right: DataFrame, right_val: str, right_id: str, alias: str = "position") -> DataFrame:
+    """Rows whose value is known, numbered from 1 by value, then id, which must be unique.
+
+    A left row of ``n_smaller`` (see ``theta_counts``) is joined by ``left_val > right_val``
+    with exactly the positions 1 to ``n_smaller``: the pairs as one interval a row.
+    """
+    require(right, right_val, right_id)
+    lane = Lane((), (right_val, right_id))
+    known = right.where(F.col(right_val).isNotNull()).withColumn("_one", F.lit(1))
+    numbered = with_running(lay_out(known, lane), lane, {alias: ("count", "_one")})
+    return numbered.drop("_one", CHUNK)
+
+
+def at_positions(left: DataFrame, ranked: DataFrame, start: str, end: str, position: str = "position") -> DataFrame:
+    """The pairs of the left rows given: one row for each position from ``start`` to ``end``.
+
+    Any number of left rows may ask for one position: the ranked rows, unique on it, are
+    joined as a size-checked lookup.
+    """
+    require(left, start, end)
+    return attach(explode_span(left, start, end, position), ranked, [position])
+
+
 def join_counts(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
     """Row count of ``left JOIN right USING (on)`` without building the rows.
 

@@ -63,8 +63,6 @@ class Cells:
 
     def number(self) -> Column:
         """How many borders lie at or before a row: a binary search among constants."""
-        if not self.borders:
-            return F.lit(0).cast("bigint")
         depth = len(self.borders).bit_length()
         # null behind the last border is never passed
         padded = [*self.borders, *[None] * ((1 << depth) - 1 - len(self.borders))]
@@ -99,9 +97,11 @@ class Cells:
         return grown
 
 
-def counted_cells(df: DataFrame, order: tuple[str, ...]) -> Column:
+def counted_cells(df: DataFrame, order: tuple[str, ...]) -> Column | None:
     """The number of a row's cell, never decreasing along ``order`` (ascending, nulls first).
 
+    None if all rows fit one cell.
+
     Needs a session zone without clock changes where ``order`` holds times. Runs a few
     jobs: a count, one over the picked rows and, on tables of many cells, counts by cell.
     """
@@ -109,10 +109,10 @@ def counted_cells(df: DataFrame, order: tuple[str, ...]) -> Column:
     n = df.count()
     share = max(ROWS, -(-n // CELLS))
     if n <= share:
-        return cells.number()
+        return None
     every = max(1, share // PICKED)
     cells.split(df, order, every)
-    for _ in range(ROUNDS if n > CHECKED * share else 0):
+    for _ in range(ROUNDS if cells.borders and n > CHECKED * share else 0):
         counts = df.groupBy(cells.number().alias("cell")).agg(F.count(F.lit(1)).alias("n"))
         crowded = [r["cell"] for r in counts.where(F.col("n") > CROWDED * share).collect()]
         if not crowded or every == 1:
@@ -120,4 +120,4 @@ def counted_cells(df: DataFrame, order: tuple[str, ...]) -> Column:
         every = max(1, every // PICKED)
         if not cells.split(df.where(cells.number().isin(crowded)), order, every):
             break
-    return cells.number()
+    return cells.number() if cells.borders else None

@@ -107,7 +107,8 @@ def heavy_keys(df: DataFrame, key: tuple[str, ...], min_rows: int, max_heavy: in
 
 def _cell(lane: Lane, df: DataFrame) -> Column:
     if lane.cell is None:
-        return counted_cells(df, lane.order)
+        found = counted_cells(df, lane.order)
+        return F.lit(None).cast("bigint") if found is None else found
     if isinstance(lane.cell, str):
         return F.coalesce(F.expr(lane.cell).cast("bigint"), F.lit(-(2**63)))
     return F.struct(*[F.expr(c).alias(f"c{i}") for i, c in enumerate(lane.cell)])
@@ -131,7 +132,7 @@ def lay_out(df: DataFrame, lane: Lane, basis: DataFrame | None = None) -> DataFr
         if not found:
             return df.withColumn(CHUNK, F.lit(None).cast("bigint"))
         heavy = df.sparkSession.createDataFrame(found, heavy.schema)
-        cell = counted_cells(join_null_safe(df, F.broadcast(heavy), list(lane.key), "left_semi"), lane.order)
+        cell = _cell(lane, join_null_safe(df, F.broadcast(heavy), list(lane.key), "left_semi"))
     else:
         cell = _cell(lane, df)
     heavy = heavy.withColumn("_heavy", F.lit(True))

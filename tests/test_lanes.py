@@ -258,7 +258,8 @@ def test_spans_longer_than_a_block(spark):
 
 def cell_sizes(df, order):
     """Rows by counted cell; checks that cells follow the order."""
-    numbered = df.withColumn("cell", counted_cells(df, order))
+    found = counted_cells(df, order)
+    numbered = df.withColumn("cell", F.lit(0) if found is None else found)
     spans = numbered.groupBy("cell").agg(
         F.count("*").alias("n"), F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high")
     )
@@ -322,3 +323,16 @@ def test_carries_of_many_cells_pass_two_levels(spark):
     gaps = df.withColumn("new", (F.col("t") > F.lag("t").over(Window.orderBy("t", "i"))).cast("int"))
     want = gaps.select("i", F.coalesce(F.sum("new").over(Window.orderBy("t", "i")), F.lit(0)))
     assert rows(number.select("i", "session")) == rows(want)
+
+
+def test_intervals_of_positions_are_the_pairs(spark):
+    df = skewed(spark, 11, 90)
+    left = df.select(F.col("i").alias("l"), F.col("v").alias("lv"))
+    right = df.select(F.col("i").alias("r"), (F.col("t") % 6).alias("rv")).where("r % 4 > 0")
+    right = right.withColumn("rv", F.when(F.col("r") % 5 > 0, F.col("rv")))
+    ranked = J.with_positions(right, "rv", "r")
+    asked = J.theta_counts(left, right, "lv", "rv").withColumn("first", F.lit(1))
+    got = J.at_positions(asked, ranked, "first", "n_smaller")
+    want = left.join(right, F.col("lv") > F.col("rv"))
+    assert rows(got.select("l", "r")) == rows(want.select("l", "r"))
+    assert rows(ranked.select("position")) == rows(spark.range(1, ranked.count() + 1))

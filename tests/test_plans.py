@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lanewise.catalog import QUERIES
 from lanewise.operators import windows as W
+from lanewise.plans import cells
 from lanewise.plans.lanes import Lane, minute_cell
 from lanewise.sources.tables import load
 
@@ -55,7 +56,8 @@ def test_unkeyed_windows_are_recognised(spark):
 
 
 @pytest.mark.parametrize("name", BATCH)
-def test_no_cross_product_and_no_unbounded_single_task(spark, name):
+def test_no_cross_product_and_no_unbounded_single_task(spark, monkeypatch, name):
+    monkeypatch.setattr(cells, "ROWS", 64)  # these tables would fit one cell
     plan = planned(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
