@@ -355,3 +355,13 @@ def test_stages_keep_columns(spark, sf_dir, odd_docs, no_docs):
             assert docs.columns == frame.columns
         pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
         assert "sequence_id" in pieces.columns and pieces.count() >= 0
+
+
+def test_vector_query_equals_brute_force(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
+    rows = [(r["vec_id"], r["embedding"], r["label"]) for r in table]
+    counts, roots = brute_vectors(rows, 0.93)
+    got = QUERIES["op10_embedding_near_dedup"](spark, sf_dir).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == {
+        i: (counts[i], roots[i], roots[i] == i) for i, *_ in rows
+    }
