@@ -1,11 +1,15 @@
 """Token ids in a compact file format: context mixing and range coding in independent blocks.
 
-Model, per block, starting from nothing: the id seen last after the two ids
-before (order 2), after the one before (order 1), and counts of ids by their
-hexadecimal digits (order 0). Each of the first two predicts one id. How far they
-are trusted is mixed from counts kept for their recent success: a three-way
-symbol says which prediction holds; if none does, the id follows digit by digit
-from the order-0 counts. A range coder turns these symbols into 16-bit words.
+Model, per block, starting from nothing: the id last seen after the two ids before
+(order 2), after the one before (order 1), and counts of ids by their hexadecimal
+digits (order 0). Their predictions are mixed into one distribution: an id has order
+0's probability for it, times that order's weight, plus the weights of the orders that
+predict it. It is coded digit by digit from that mixture: each digit's frequencies are
+order 0's counts plus a mass at the digit of each prediction that still fits, and a
+digit multiplies the odds of the predictions that fit by how unlikely order 0 thought
+it. The share of the id that each order explained moves its weight, kept for every
+combination of recent success of both predictions. A range coder turns the digits into
+16-bit words.
 
 Numpy codes many blocks side by side, one step of each at a time; the numbers are
 integers throughout, so every machine decodes what any other encoded.
@@ -36,12 +40,19 @@ from lanewise.session import ship_with_tasks
 
 ship_with_tasks(__name__)
 
-MAGIC = b"IDB1"
+MAGIC = b"IDB2"
 HEAD = "<4sBIIII"
-LEAST = np.uint32(1 << 16)  # of a coder's range between symbols
+LEAST = np.uint64(1 << 32)  # of a coder's range between symbols
+WORD = np.uint64(16)
 SLOTS = 2048  # of each prediction table
 NODES = 256  # of each digit's counts, by a hash of the digits before
-GAIN, LIMIT = 24, 1 << 12
+GAIN, LIMIT = 12, 1 << 12
+ONE = 1 << 16  # of weights and odds
+FLOOR = ONE >> 7  # order 0 keeps this weight at least
+MOST = ONE << 9  # odds of a prediction against order 0 at most
+RATE = 6  # a weight moves by 2 ** -RATE of its distance
+#: Weights of a prediction before anything is known, by its recent successes.
+START = np.array([6000, 26000, 40000, 50000], np.int64)
 #: What a symbol adds to the cumulative counts of 16.
 STEP = np.array([[GAIN * (k > s) for k in range(17)] for s in range(16)], np.uint16)
 
@@ -51,7 +62,7 @@ class CorruptBlock(ValueError):
 
 
 class Model:
-    """Adaptive state of ``n`` blocks, and the symbols' frequencies for their next id."""
+    """Adaptive state of ``n`` blocks, and the mixed frequencies of the digits of their next id."""
 
     def __init__(self, n: int, digits: int):
         self.n, self.digits = n, digits
@@ -60,30 +71,79 @@ class Model:
         self.by_two = np.full(n * SLOTS, -1, np.int32)
         self.sure_one = np.zeros(n * SLOTS, np.int8)
         self.sure_two = np.zeros(n * SLOTS, np.int8)
-        self.trust = np.tile(np.array([12, 6, 14], np.int32), (n * 32, 1))
+        context = np.arange(32)
+        # together the predictions leave order 0 a third at the start
+        two, one = START[context >> 3], START[context >> 1 & 3]
+        self.weight_two = np.tile(np.where(context & 1, two + one >> 1, two * 2 // 3), n)
+        self.weight_one = np.tile(np.where(context & 1, 0, (ONE - two) * one // (2 * ONE)), n)
         self.below = np.tile(np.arange(17, dtype=np.uint16), (n * digits * NODES, 1))
+        self.flat = self.below.reshape(-1)
         self.p1 = np.zeros(n, np.int64)
         self.p2 = np.zeros(n, np.int64)
 
-    def predict(self, a: int) -> np.ndarray:
-        """Frequencies (a, 3) of: order 2 holds, order 1 holds, neither; for the first ``a`` blocks."""
+    def begin(self, a: int) -> None:
+        """Predictions for the next id of the first ``a`` blocks, and their odds against order 0."""
         p1, p2, lane = self.p1[:a], self.p2[:a], self.lane[:a]
         self.at_one = lane * SLOTS + (p1 * 40503 >> 4) % SLOTS
         self.at_two = lane * SLOTS + (p1 * 40503 + p2 * 30011 >> 3) % SLOTS
         self.one, self.two = self.by_one[self.at_one], self.by_two[self.at_two]
         s1, s2 = self.sure_one[self.at_one], self.sure_two[self.at_two]
-        self.context = lane * 32 + s2 * 8 + s1 * 2 + (self.one == self.two)
-        f = self.trust[self.context]
-        f[self.two < 0, 0] = 0
-        f[(self.one < 0) | (self.one == self.two), 1] = 0
-        return f
-
-    def learn(self, a: int, ids: np.ndarray, kind: np.ndarray) -> None:
-        t = self.trust
-        t[self.context, kind] += GAIN
-        big = t[self.context].sum(axis=1) > LIMIT >> 1
-        if big.any():
-            t[self.context[big]] = (t[self.context[big]] + 1) >> 1
+        same = self.one == self.two
+        self.has_two = self.two >= 0
+        self.has_one = (self.one >= 0) & ~same
+        self.context = lane * 32 + s2 * 8 + s1 * 2 + same
+        self.w2, self.w1 = self.weight_two[self.context], self.weight_one[self.context]
+        w2, w1 = self.w2 * self.has_two, self.w1 * self.has_one
+        w0 = np.maximum(ONE - w2 - w1, FLOOR)
+        self.odds_two, self.odds_one = (w2 << 16) // w0, (w1 << 16) // w0
+        self.nodes: list[np.ndarray] = []
+
+    def digit(self, d: int, before: np.ndarray) -> None:
+        """Makes ready digit ``d``, after the digits ``before``: order 0's node and the extra masses."""
+        shift = 4 * (self.digits - 1 - d)
+        a = len(before)
+        self.node = (self.lane[:a] * self.digits + d) * NODES + (before * 179 + (before >> 4) * 31) % NODES
+        self.nodes.append(self.node)
+        self.total = self.flat.take(self.node * 17 + 16).astype(np.int64)
+        self.digit_two, self.digit_one = self.two >> shift & 15, self.one >> shift & 15
+        self.mass_two, self.mass_one = self.total * self.odds_two >> 16, self.total * self.odds_one >> 16
+
+    def spans(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the mixture puts ``symbol``: frequencies below it, its own, the total. Odds follow the digit."""
+        at = self.node * 17 + symbol
+        low = self.flat.take(at).astype(np.int64)
+        own = self.flat.take(at + 1) - low
+        fits_two, fits_one = self.digit_two == symbol, self.digit_one == symbol
+        self.odds_two = np.minimum(self.odds_two * self.total // own, MOST) * fits_two
+        self.odds_one = np.minimum(self.odds_one * self.total // own, MOST) * fits_one
+        low += self.mass_two * (self.digit_two < symbol) + self.mass_one * (self.digit_one < symbol)
+        own += self.mass_two * fits_two + self.mass_one * fits_one
+        return low, own, self.total + self.mass_two + self.mass_one
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """The digit in whose span the values lie."""
+        swap = self.digit_one < self.digit_two
+        first, last = np.where(swap, self.digit_one, self.digit_two), np.where(swap, self.digit_two, self.digit_one)
+        mass_first = np.where(swap, self.mass_one, self.mass_two)
+        # back to order 0's own frequencies: a mass ends the span of its digit
+        for digit, mass in ((first, mass_first), (last, self.mass_one + self.mass_two - mass_first)):
+            end = self.flat.take(self.node * 17 + digit + 1).astype(np.int64)
+            value = np.where(value < end, value, np.maximum(value - mass, end - 1))
+        below = self.below.take(self.node, axis=0)[:, 1:]
+        return (below <= value.astype(np.uint16)[:, None]).sum(axis=1, dtype=np.int64)
+
+    def learn(self, a: int, ids: np.ndarray) -> None:
+        """Moves weights by the share of the id each order explained; counts what was left to order 0."""
+        odds = self.odds_two + self.odds_one + ONE
+        for weights, now, has, part in (
+            (self.weight_two, self.w2, self.has_two, self.odds_two),
+            (self.weight_one, self.w1, self.has_one, self.odds_one),
+        ):
+            share = (part << 16) // odds
+            weights[self.context] = now + has * (share - now >> RATE)
+        rest = np.flatnonzero(odds < 2 * ONE)
+        for d, node in enumerate(self.nodes):
+            self._count(node[rest], ids[rest] >> 4 * (self.digits - 1 - d) & 15)
         for table, sure, at, guess in (
             (self.by_one, self.sure_one, self.at_one, self.one),
             (self.by_two, self.sure_two, self.at_two, self.two),
@@ -95,10 +155,8 @@ class Model:
         self.p2[:a] = self.p1[:a]
         self.p1[:a] = ids
 
-    def node(self, lanes: np.ndarray, digit: int, before: np.ndarray) -> np.ndarray:
-        return (lanes * self.digits + digit) * NODES + (before * 179 + (before >> 4) * 31) % NODES
-
-    def count(self, node: np.ndarray, below: np.ndarray, symbol: np.ndarray) -> None:
+    def _count(self, node: np.ndarray, symbol: np.ndarray) -> None:
+        below = self.below.take(node, axis=0)
         below += STEP.take(symbol, axis=0)
         big = np.flatnonzero(below[:, 16] > LIMIT)
         if len(big):
@@ -111,28 +169,27 @@ class Writer:
     """A range coder for each block; words may exceed 16 bits until the carries are settled."""
 
     def __init__(self, n: int, room: int):
-        self.low, self.range = np.zeros(n, np.uint64), np.full(n, (1 << 32) - 1, np.uint32)
+        self.low, self.range = np.zeros(n, np.uint64), np.full(n, (1 << 48) - 1, np.uint64)
         self.words, self.at = np.zeros((n, room), np.int32), np.zeros(n, np.int64)
 
-    def put(self, lanes, low, width, total) -> None:
-        r = self.range[lanes] // total.astype(np.uint32)
-        self.low[lanes] += r * low.astype(np.uint32)
-        r *= width.astype(np.uint32)
-        small = np.flatnonzero(r < LEAST)
-        if len(small):
-            self._emit(lanes[small])
-            r[small] <<= np.uint32(16)
-        self.range[lanes] = r
+    def put(self, a: int, low, width, total) -> None:
+        r = self.range[:a] // total.astype(np.uint64)
+        self.low[:a] += r * low.astype(np.uint64)
+        r *= width.astype(np.uint64)
+        while len(small := np.flatnonzero(r < LEAST)):
+            self._emit(small)
+            r[small] <<= WORD
+        self.range[:a] = r
 
     def _emit(self, lanes) -> None:
         low = self.low[lanes]
-        self.words[lanes, self.at[lanes]] = (low >> np.uint64(16)).astype(np.int32)
+        self.words[lanes, self.at[lanes]] = (low >> np.uint64(32)).astype(np.int32)
         self.at[lanes] += 1
-        self.low[lanes] = (low & np.uint64(0xFFFF)) << np.uint64(16)
+        self.low[lanes] = (low & np.uint64(0xFFFFFFFF)) << WORD
 
     def close(self) -> list[bytes]:
         every = np.arange(len(self.low))
-        for _ in range(2):
+        for _ in range(3):
             self._emit(every)
         for k in range(int(self.at.max()) - 1, 0, -1):
             carry = self.words[:, k] >> 16
@@ -150,28 +207,26 @@ class Reader:
         self.words = np.zeros((n, max(map(len, words)) + 4), np.uint16)
         for i, w in enumerate(words):
             self.words[i, : len(w)] = w
-        self.range = np.full(n, (1 << 32) - 1, np.uint32)
-        w = self.words.astype(np.uint32)
-        self.code = w[:, 0] << np.uint32(16) | w[:, 1]
-        self.at = np.full(n, 2, np.int64)
-
-    def value(self, lanes, total) -> np.ndarray:
-        self.step = self.range[lanes] // total.astype(np.uint32)
-        self.held = self.code[lanes]
-        return np.minimum(self.held // self.step, total.astype(np.uint32) - np.uint32(1))
-
-    def take(self, lanes, low, width) -> None:
-        code = self.held - self.step * low.astype(np.uint32)
-        r = self.step * width.astype(np.uint32)
-        small = np.flatnonzero(r < LEAST)
-        if len(small):
-            of = lanes[small]
-            at = self.at[of]
-            code[small] = code[small] << np.uint32(16) | self.words[of, np.minimum(at, self.words.shape[1] - 1)]
-            self.at[of] = at + 1
-            r[small] <<= np.uint32(16)
-        self.code[lanes] = code
-        self.range[lanes] = r
+        self.range = np.full(n, (1 << 48) - 1, np.uint64)
+        w = self.words.astype(np.uint64)
+        self.code = w[:, 0] << np.uint64(32) | w[:, 1] << WORD | w[:, 2]
+        self.at = np.full(n, 3, np.int64)
+
+    def value(self, a: int, total) -> np.ndarray:
+        total = total.astype(np.uint64)
+        self.step = self.range[:a] // total
+        return np.minimum(self.code[:a] // self.step, total - np.uint64(1)).astype(np.int64)
+
+    def take(self, a: int, low, width) -> None:
+        code = self.code[:a] - self.step * low.astype(np.uint64)
+        r = self.step * width.astype(np.uint64)
+        while len(small := np.flatnonzero(r < LEAST)):
+            at = self.at[small]
+            code[small] = code[small] << WORD | self.words[small, np.minimum(at, self.words.shape[1] - 1)]
+            self.at[small] = at + 1
+            r[small] <<= WORD
+        self.code[:a] = code
+        self.range[:a] = r
 
 
 def _steps(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,28 +246,15 @@ def encode_ids(blocks: list[np.ndarray], digits: int = 4) -> list[bytes]:
     ids = np.zeros((steps, n), np.int32)
     for k, i in enumerate(order):
         ids[: sizes[i], k] = blocks[i]
-    model, out = Model(n, digits), Writer(n, int(steps * (digits * 13 + 12) / 16) + 8)
-    row17 = np.arange(n) * 17
+    model, out = Model(n, digits), Writer(n, int(steps * digits * 24 / 16) + 8)
     for step, a in enumerate(actives.tolist()):
-        lanes, now = model.lane[:a], ids[step, :a]
-        f = model.predict(a)
-        kind = np.where((model.two == now) & (f[:, 0] > 0), 0, np.where((model.one == now) & (f[:, 1] > 0), 1, 2))
-        below = np.cumsum(f, axis=1)
-        width = f[lanes, kind]
-        out.put(lanes, below[lanes, kind] - width, width, below[:, 2])
-        rest = np.flatnonzero(kind == 2)
-        if len(rest):
-            number = now[rest]
-            for d in range(digits):
-                shift = 4 * (digits - 1 - d)
-                symbol = number >> shift & 15
-                node = model.node(rest, d, number >> shift + 4)
-                below = model.below.take(node, axis=0)
-                at = row17[: len(rest)] + symbol
-                low = below.ravel().take(at)
-                out.put(rest, low, below.ravel().take(at + 1) - low, below[:, 16])
-                model.count(node, below, symbol)
-        model.learn(a, now, kind)
+        now = ids[step, :a].astype(np.int64)
+        model.begin(a)
+        for d in range(digits):
+            shift = 4 * (digits - 1 - d)
+            model.digit(d, now >> shift + 4)
+            out.put(a, *model.spans(now >> shift & 15))
+        model.learn(a, now)
     coded = out.close()
     back = [b""] * n
     for k, i in enumerate(order):
@@ -229,32 +271,17 @@ def decode_ids(coded: list[bytes], sizes: list[int], digits: int = 4) -> list[np
     n, steps = len(coded), len(actives)
     ids = np.zeros((steps, n), np.int32)
     model, code = Model(n, digits), Reader([np.frombuffer(coded[i], "<u2") for i in order])
-    row17 = np.arange(n) * 17
     for step, a in enumerate(actives.tolist()):
-        lanes = model.lane[:a]
-        f = model.predict(a)
-        below = np.cumsum(f, axis=1)
-        v = code.value(lanes, below[:, 2])
-        kind = (v >= below[:, 0]).astype(np.int64) + (v >= below[:, 1])
-        width = f[lanes, kind]
-        code.take(lanes, below[lanes, kind] - width, width)
-        now = np.where(kind == 0, model.two, model.one)
-        rest = np.flatnonzero(kind == 2)
-        if len(rest):
-            number = np.zeros(len(rest), np.int32)
-            for d in range(digits):
-                node = model.node(rest, d, number)
-                below = model.below.take(node, axis=0)
-                v = code.value(rest, below[:, 16]).astype(np.uint16)
-                symbol = (below[:, 1:] <= v[:, None]).sum(axis=1, dtype=np.int32)
-                at = row17[: len(rest)] + symbol
-                low = below.ravel().take(at)
-                code.take(rest, low, below.ravel().take(at + 1) - low)
-                model.count(node, below, symbol)
-                number = number << 4 | symbol
-            now[rest] = number
+        now = np.zeros(a, np.int64)
+        model.begin(a)
+        for d in range(digits):
+            model.digit(d, now)
+            symbol = model.find(code.value(a, model.total + model.mass_two + model.mass_one))
+            low, own, _ = model.spans(symbol)
+            code.take(a, low, own)
+            now = now << 4 | symbol
         ids[step, :a] = now
-        model.learn(a, now, kind)
+        model.learn(a, now)
     back: list[np.ndarray] = [np.empty(0, np.uint32)] * n
     for k, i in enumerate(order):
         back[i] = ids[: size[i], k].astype(np.uint32)
@@ -364,7 +391,7 @@ def write(
 def read(spark: SparkSession, path: str, together: int = 2048) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens, ids_crc32 of the documents below ``path``.
 
-    A shard is read in one task, in batches of ``together`` blocks; ids of one
+    A shard is read in one task, and every task reads as many shards, in batches of ``together`` blocks; ids of one
     document are checked as they come and never gathered.
     """
     blocks = spark.read.parquet(path)
@@ -405,7 +432,7 @@ def read(spark: SparkSession, path: str, together: int = 2048) -> DataFrame:
 
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = (
-        blocks.select("shard", "block", "data").repartition(parts, "shard").sortWithinPartitions("shard", "block")
+        blocks.select("shard", "block", "data").repartitionById(parts, "shard").sortWithinPartitions("shard", "block")
     )
     docs = ordered.mapInArrow(run, "shard int, doc_id long, at long, n_tokens long, ids_crc32 long")
     return docs.join(before, "shard").select(

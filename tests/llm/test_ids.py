@@ -72,6 +72,53 @@ def test_blocks_come_back():
     assert alone == coded[4]  # a block does not depend on its neighbours
 
 
+def test_orders_are_mixed():
+    """A digit's frequencies hold every order's prediction, and weights follow what the orders explain."""
+    m = idcoder.Model(1, 4)
+    sequence = [3, 70, 3, 70, 3, 80, 3, 70, 3, 70, 9]
+    for x in sequence * 20:
+        m.begin(1)
+        for d in range(4):
+            m.digit(d, np.array([x >> 4 * (4 - d)]))
+            before = m.odds_two.copy(), m.odds_one.copy()
+            spans = []
+            for k in range(16):
+                m.odds_two, m.odds_one = before
+                spans.append([int(v[0]) for v in m.spans(np.array([k]))])
+            # the spans of all digits fill the total without gaps, and none is empty
+            assert spans[0][0] == 0 and all(own > 0 for _, own, _ in spans)
+            assert all(low + own == nxt for (low, own, _), nxt in zip(spans, [*(s[0] for s in spans[1:]), spans[0][2]]))
+            for k, (low, own, _) in enumerate(spans):
+                assert m.find(np.array([low]))[0] == k and m.find(np.array([low + own - 1]))[0] == k
+            m.odds_two, m.odds_one = before
+            m.spans(np.array([x >> 4 * (3 - d) & 15]))
+        m.learn(1, np.array([x]))
+
+
+def test_weights_follow_success():
+    """A prediction that always holds gains weight against order 0, one that never holds loses it."""
+
+    def after(ids):
+        m = idcoder.Model(1, 4)
+        for x in ids:
+            m.begin(1)
+            for d in range(4):
+                m.digit(d, np.array([x >> 4 * (4 - d)]))
+                m.spans(np.array([x >> 4 * (3 - d) & 15]))
+            m.learn(1, np.array([x]))
+        return m
+
+    start = idcoder.Model(1, 4).weight_two
+    sure = 3 * 8 + 3 * 2 + 1  # both orders agree, after three successes each
+    held = after([5, 6, 7] * 300)
+    assert held.weight_two[sure] > 0.98 * idcoder.ONE > start[sure]
+    unsure = after(np.random.default_rng(1).integers(0, 4, 3000).tolist())
+    assert unsure.weight_two[0] + unsure.weight_one[0] < 0.6 * idcoder.ONE
+    rng = np.random.default_rng(2)
+    missed = after([x for k in range(600) for x in (1, 2, int(rng.integers(10, 60000)))])
+    assert missed.weight_two[1] < start[1] / 10  # after (1, 2) the same id never comes twice
+
+
 def test_wide_ids_come_back():
     wide = [np.array([0, 1, 200_000, 1_000_000, 200_000, 1_000_000])]
     assert idcoder.decode_ids(idcoder.encode_ids(wide, 5), [6], 5)[0].tolist() == wide[0].tolist()
