@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from lanewise.catalog import number_of, query, text_of
 from lanewise.catalog.business import GOLD_SQL
-from lanewise.sources.tables import load
+from lanewise.sources.tables import literal, load
 from lanewise.streaming import windows as W
+from lanewise.streaming.late import in_time, late_table, split_late
 from lanewise.streaming.medallion import run_medallion
 from lanewise.streaming.runs import event_stream, new_folder, run_available, run_to_table
 from lanewise.streaming.stateful import stream_increases as increases_on
@@ -100,19 +101,22 @@ def stream_dedup(spark, sf_dir):
     """,
 )
 def stream_late_data(spark, sf_dir):
-    """The purchases arrive after all else; what the watermark has passed is dropped."""
+    """The purchases arrive after all else; those the watermark has passed go to a table of their own."""
     events = load(spark, sf_dir, "events")
     home = new_folder(spark, "late")
-    src, table, checkpoint = f"{home}/src", f"{home}/table", f"{home}/checkpoint"
-    dropped = 0
+    src, table = f"{home}/src", f"{home}/table"
     for late in (False, True):
         part = events.where((F.col("event_type") == "purchase") == F.lit(late))
         part.write.mode("append").parquet(src)
-        unique = W.stream_dedup(event_stream(spark, src), ["event_id"])
-        dropped += W.late_rows(run_available(unique, checkpoint, table).progress)
+        arriving = event_stream(spark, src)
+        split_late(arriving, f"{home}/split", f"{home}/splitting")
+        unique = W.stream_dedup(in_time(arriving, f"{home}/split"), ["event_id"])
+        run_available(unique, f"{home}/checkpoint", table)
     kept = spark.read.parquet(table).select(F.lit("kept").alias("kind"))
-    counts = kept.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
-    return counts.union(spark.createDataFrame([("dropped", dropped)], "kind string, n bigint"))
+    dropped = late_table(arriving, f"{home}/split").select(F.lit("dropped").alias("kind"))
+    found = kept.union(dropped).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    kinds = literal(spark, [("kept",), ("dropped",)], "kind string")
+    return kinds.join(found, "kind", "left").select("kind", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @query(

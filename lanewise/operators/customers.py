@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewise.plans.lanes import CHUNK, Lane, lay_out, with_running
@@ -10,9 +13,6 @@ from lanewise.plans.lookups import join_null_safe
 from lanewise.session import shared_dir
 from lanewise.sources.tables import require
 
-# Many customers share a count, so cells also follow the customer key.
-CUSTOMERS_PER_CELL = 1_000_000
-
 
 def equal_groups(
     df: DataFrame, order: tuple[str, ...], cell: str | tuple[str, ...], k: int, alias: str
@@ -37,6 +37,70 @@ def equal_groups(
     )
 
 
+def _after(x: Column, y: Column) -> Column:
+    """``x > y`` where null comes first."""
+    return F.coalesce(x > y, x.isNotNull() & y.isNull())
+
+
+def border_groups(df: DataFrame, metrics: dict[str, str], key: str, k: int) -> DataFrame:
+    """Groups 1 to ``k`` of equal size over the whole table, as ``ntile`` forms them.
+
+    ``metrics`` names the column behind each new group column; they share a type. Rows are
+    ordered by the metric, ascending with null first, then by ``key``, unique in the table.
+    No row is numbered that need not be: counts by value, added up in order, tell which
+    value holds the last row of a group. Only values that straddle such a border are put
+    in order, to find the row at it. A row's group is the number of border rows before it,
+    at most ``k - 1`` a metric, so the table itself is neither sorted nor shuffled.
+    """
+    require(df, key, *metrics.values())
+    size, extra = divmod(df.count(), k)
+    ends = sorted({j * size + min(j, extra) for j in range(1, k)} - {0})
+    if not ends:
+        return df.withColumns({alias: F.lit(1).cast("bigint") for alias in metrics})
+    columns = F.array(*[F.col(c) for c in metrics.values()])
+    long = df.select(F.col(key).alias("_key"), F.posexplode(columns).alias("_metric", "_value"))
+    counts = long.groupBy("_metric", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    by_value = Lane(("_metric",), ("_value",))
+    summed = with_running(lay_out(counts, by_value), by_value, {"_last": ("sum", "_n")})
+    at_border = reduce(or_, [(F.col("_last") >= e) & (F.col("_last") - F.col("_n") < e) for e in ends])
+    # a value for each border at most; (metric, value, rank within the value, whether it ends there)
+    borders = [
+        (row["_metric"], row["_value"], e - row["_last"] + row["_n"], e == row["_last"])
+        for row in summed.where(at_border).select("_metric", "_value", "_n", "_last").collect()
+        for e in ends
+        if row["_last"] - row["_n"] < e <= row["_last"]
+    ]
+    kind, key_kind = df.schema[next(iter(metrics.values()))].dataType, df.schema[key].dataType
+    value = lambda v: F.lit(v).cast(kind)
+    inside = [b for b in borders if not b[3]]
+    keys = {}
+    if inside:
+        held = reduce(or_, [(F.col("_metric") == m) & F.col("_value").eqNullSafe(value(v)) for m, v, _, _ in inside])
+        by_key = Lane(("_metric", "_value"), ("_key",))
+        crowd = long.where(held).withColumn("_one", F.lit(1))
+        numbered = with_running(lay_out(crowd, by_key), by_key, {"_rank": ("count", "_one")})
+        wanted = [
+            (F.col("_metric") == m) & F.col("_value").eqNullSafe(value(v)) & (F.col("_rank") == r)
+            for m, v, r, _ in inside
+        ]
+        for row in numbered.where(reduce(or_, wanted)).select("_metric", "_value", "_rank", "_key").collect():
+            keys[row["_metric"], row["_value"], row["_rank"]] = row["_key"]
+
+    def group(number: int, column: str) -> Column:
+        out = F.lit(1).cast("bigint")
+        for m, v, r, whole in borders:
+            if m != number:
+                continue
+            beyond = _after(F.col(column), value(v))
+            if not whole:
+                later = _after(F.col(key), F.lit(keys[m, v, r]).cast(key_kind))
+                beyond |= F.col(column).eqNullSafe(value(v)) & later
+            out += beyond.cast("bigint")
+        return out
+
+    return df.withColumns({alias: group(i, c) for i, (alias, c) in enumerate(metrics.items())})
+
+
 def rfm(orders: DataFrame, lines: DataFrame, as_of: str) -> DataFrame:
     """Recency, frequency, spend and variety per customer, with quintiles (5 best)."""
     require(orders, "o_orderkey", "o_custkey", "o_orderdate", "amount")
@@ -58,16 +122,10 @@ def rfm(orders: DataFrame, lines: DataFrame, as_of: str) -> DataFrame:
     scored = join_null_safe(base, variety, ["o_custkey"], "left").withColumns(
         {"variety": F.coalesce("variety", F.lit(0)), "_older": -F.col("recency")}
     )
-    # one row per customer, written once: the three orderings below read it again
+    # one row per customer, written once: counts and borders are taken from it
     shared_dir(orders.sparkSession)
-    scored = scored.checkpoint()
-    out = scored.drop("_older")
-    for metric, alias in (("_older", "r_group"), ("frequency", "f_group"), ("variety", "v_group")):
-        cell = (metric, f"o_custkey div {CUSTOMERS_PER_CELL}")
-        ranked = scored.select("o_custkey", metric)
-        ranked = equal_groups(ranked, (metric, "o_custkey"), cell, 5, alias)
-        out = join_null_safe(out, ranked.select("o_custkey", alias), ["o_custkey"])
-    return out
+    metrics = {"r_group": "_older", "f_group": "frequency", "v_group": "variety"}
+    return border_groups(scored.checkpoint(), metrics, "o_custkey", 5).drop("_older")
 
 
 def turnover(orders: DataFrame, as_of: str, months: int = 6) -> DataFrame:

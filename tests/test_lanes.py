@@ -233,6 +233,23 @@ def test_equal_groups_match_ntile(spark, n):
     assert rows(got) == rows(df.select("id", F.ntile(5).over(Window.orderBy("m", "id"))))
 
 
+@pytest.mark.parametrize("n", [0, 1, 3, 5, 23, 60])
+def test_border_groups_match_ntile(spark, n):
+    """Crowded values, single values, nulls in a metric and in the key, fewer rows than groups."""
+    made = [(None if i % 7 == 3 else i % 3, -i, 5, i * 37 % n if i else None) for i in range(n)]
+    df = literal(spark, made, "m int, only int, same int, id int")
+    metrics = {"g1": "m", "g2": "only", "g3": "same"}
+    got = U.border_groups(df, metrics, "id", 5)
+    plain = [F.ntile(5).over(Window.orderBy(c, "id")).cast("bigint").alias(a) for a, c in metrics.items()]
+    assert rows(got.select("id", *metrics)) == rows(df.select("id", *plain))
+
+
+def test_border_groups_neither_sort_nor_shuffle_the_table(spark):
+    df = literal(spark, [(i % 2, i) for i in range(40)], "m int, id int")
+    plan = U.border_groups(df, {"g": "m"}, "id", 4)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
+
+
 @pytest.mark.parametrize("max_bytes", [0, 10_000])
 def test_attach_both_ways(spark, max_bytes):
     df = skewed(spark, 8)

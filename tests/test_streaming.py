@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lanewise.operators import governance as G
 from lanewise.sources.tables import literal
 from lanewise.streaming import windows as W
+from lanewise.streaming import late as L
 from lanewise.streaming import medallion as M
 from lanewise.streaming import stateful
 from lanewise.streaming.medallion import read_gold, run_medallion
@@ -65,6 +66,54 @@ def test_windows_close_once_and_late_rows_are_counted(feed):
     assert rows(feed.table().select(minute.cast("int"), "n")) == [(0, 2), (20, 1), (30, 1)]
 
 
+def test_late_rows_are_a_table(spark, feed):
+    """Every row is in time or late, once: over restarts, batches sent again, rows without a time."""
+    feed.add(event(1, 1), event(2, 60), event(1, 2))
+    stream = event_stream(spark, f"{feed.home}/src", files_per_trigger=1)
+    home = f"{feed.home}/split"
+
+    def go():
+        L.split_late(stream, home, f"{feed.home}/splitting", "10 minutes")
+        return run_available(
+            W.stream_dedup(L.in_time(stream, home), ["event_id"], "10 minutes"),
+            f"{feed.home}/checkpoint",
+            f"{feed.home}/table",
+        )
+
+    go()
+    assert L.late_table(stream, home).count() == 0
+    feed.add((3, None, 1, "view", 1.0, "{}"), event(4, 50), event(5, 50.001), event(6, 90))
+    feed.add(event(7, 79), event(8, 81))
+    second = go()
+    late = L.late_table(stream, home)
+    assert rows(late.select("event_id", "batch")) == [(4, 1), (7, 2)]
+    assert late.columns == [*stream.columns, "batch"]
+    assert rows(feed.table().select("event_id")) == [(i,) for i in (1, 2, 3, 5, 6, 8)]
+    assert W.late_rows(second.progress) == 0
+    go()  # nothing new
+    assert late.count() == 2 and feed.table().count() == 6
+
+
+def test_late_rows_of_a_batch_sent_again(spark, feed):
+    """All micro-batches come again under their own numbers: marked ones stay, others are written over."""
+    feed.add(event(1, 60))
+    stream = event_stream(spark, f"{feed.home}/src", files_per_trigger=1)
+    home = f"{feed.home}/split"
+    L.split_late(stream, home, f"{feed.home}/first", "10 minutes")
+    files = sorted(L.late_table(stream, home).inputFiles())
+    feed.add(event(2, 10), event(3, 70))
+    # a batch that failed after its rows were written and before its mark
+    literal(spark, [event(9, 5)], EVENT_SCHEMA).withColumns(
+        {"late": F.lit(True), "ts": F.col("ts").cast("timestamp")}
+    ).write.partitionBy("late").parquet(f"{home}/rows/batch=1")
+    L.split_late(stream, home, f"{feed.home}/again", "10 minutes")
+    late = L.late_table(stream, home)
+    assert rows(late.select("event_id", "batch")) == [(2, 1)]
+    written = spark.read.parquet(f"{home}/rows")
+    assert rows(written.select("event_id")) == [(1,), (2,), (3,)]
+    assert set(files) <= set(written.inputFiles())
+
+
 def test_sliding_windows_overlap(feed):
     feed.add(event(1, 20), event(2, 200))
     feed.run(lambda s: W.sliding_counts(s, [], "1 hour", "15 minutes", "1 hour"))
