@@ -14,8 +14,16 @@ BRACKETS = {"(": ")", "[": "]", "{": "}"}
 # The named HTML entities of the standard library, with spaces as spaces.
 ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
 
-# A tag, whose attributes may hold ">" in quotes; else anything between "<" and ">".
-TAGS = (r"""<[^<>"']*(?:(?:"[^"]*"|'[^']*')[^<>"']*)+>""", r"<[^>]*>")
+# The inside of a tag: a value in quotes, which may hold ">", begins after "=" only.
+_INSIDE = r"""[^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+')?+[^>=]*+)*+"""
+
+# What of a page is no text, as one alternation that is read once, from the left: comments,
+# elements whose content is not shown, tags. Comments and such elements may lack their end.
+MARKUP = (
+    r"(?is)<!--.*?(?:-->|\z)"
+    rf"|<(script|style|title)\b{_INSIDE}>.*?(?:</\1\b[^>]*+>|\z)"
+    rf"|</?[a-z!?]{_INSIDE}>"
+)
 
 
 def characters(c: Column) -> Column:
@@ -118,13 +126,11 @@ def squeezed(c: Column) -> Column:
 
 
 def visible_text(html: Column) -> Column:
-    """Text a reader sees: no comments, scripts, styles, head title or tags."""
-    bare = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
-    for tag in ("script", "style", "title"):
-        bare = F.regexp_replace(bare, rf"(?is)<{tag}[^>]*>.*?</{tag}>", " ")
-    for tag in TAGS:
-        bare = F.regexp_replace(bare, tag, " ")
-    return squeezed(unescaped(bare))
+    """Text a reader sees: no comments, scripts, styles, head title or tags.
+
+    A "<" that opens none of these is text, as is markup inside a quoted value.
+    """
+    return squeezed(unescaped(F.regexp_replace(html, MARKUP, " ")))
 
 
 def page_title(html: Column) -> Column:

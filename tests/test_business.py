@@ -6,6 +6,7 @@ import datetime as dt
 import random
 import re
 from decimal import Decimal
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -273,3 +274,71 @@ def test_shared_folder_needs_a_setting_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Session())
+
+
+# Pages, and the text a browser shows of them.
+PAGES = [
+    ("a<!-- <b>x</b> > -->b", "a b"),
+    ("seen<!-- never closed <p>hidden</p>", "seen"),
+    ("<a title=\"1 > 0\" href='x>y'>link</a>", "link"),
+    ("<p title=it's>one</p> isn't > two", "one isn't > two"),
+    ("<script>if (a < b) { s = '<!--' + \"</p>\"; }</script>after", "after"),
+    ("<SCRIPT src='a>b'>x</Script >tail", "tail"),
+    ("text<script>never closed <p>no</p>", "text"),
+    ("<style>p > a {}</style><!-- </style> -->z", "z"),
+    ("1 < 2 and 3 > 2", "1 < 2 and 3 > 2"),
+    ("<!DOCTYPE html><?xml version='1.0'?><br/>x<br>y", "x y"),
+    ("<scripted>kept</scripted><titles>too</titles>", "kept too"),
+    ("<a href=\"open>text</a> end", "text end"),
+    ("<p>a &lt;b&gt; c</p>", "a <b> c"),
+    ("", ""),
+    (None, None),
+]
+
+
+def test_visible_text_of_broken_markup(spark):
+    df = literal(spark, [(i, page) for i, (page, _) in enumerate(PAGES)], "i int, html string")
+    got = {r.i: r.text for r in df.select("i", S.visible_text(F.col("html")).alias("text")).collect()}
+    assert [got[i] for i in range(len(PAGES))] == [text for _, text in PAGES]
+
+
+def test_visible_text_is_what_the_standard_parser_reads(spark):
+    """Well-formed markup from random pieces, among them a page of a million characters."""
+    rng = random.Random(5)
+    pieces = ["word ", "<p class='a>b'>", "</p>", "<!-- a <b> -->", "<script>x<y;'<p>'</script>", "&amp;", "<br/>",
+              "<style>a>b</style>", "<i data-x=\"'>\">", "\n", "é", "<A HREF=x=y>", "</a>"]
+    made = ["".join(rng.choices(pieces, k=rng.randint(0, 30))) for _ in range(300)]
+    made.append("".join(rng.choices(pieces, k=100_000)))
+    made.append("<a " + "x='1>' " * 20_000 + ">many</a>")
+
+    class Shown(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.hidden, self.parts = 0, []
+
+        def handle_starttag(self, tag, attrs):
+            self.parts.append(" ")
+            self.hidden += tag in ("script", "style")
+
+        def handle_startendtag(self, tag, attrs):
+            self.parts.append(" ")
+
+        def handle_endtag(self, tag):
+            self.parts.append(" ")
+            self.hidden -= tag in ("script", "style")
+
+        def handle_comment(self, data):
+            self.parts.append(" ")
+
+        def handle_data(self, data):
+            self.parts.append(data if not self.hidden else " ")
+
+    def shown(page):
+        parser = Shown()
+        parser.feed(page)
+        parser.close()
+        return " ".join("".join(parser.parts).split())
+
+    df = literal(spark, list(enumerate(made)), "i int, html string")
+    got = {r.i: r.text for r in df.select("i", S.visible_text(F.col("html")).alias("text")).collect()}
+    assert [got[i] for i in range(len(made))] == [shown(page) for page in made]
