@@ -3,7 +3,12 @@
 Words are observed through hashed affixes, character n-grams and a lexicon of the
 words met in training; learned transitions tie neighbours together, so a text
 may switch language within a line. A text's language is the one its words most
-probably are in, by forward-backward.
+probably are in, by forward-backward over the whole text as one chain.
+
+The chain is worked out in pieces of equal length, many at a time: each piece is
+first reduced to the matrix that carries a message across it, messages then pass
+from piece to piece in both directions, and last every piece is filled in between
+the two that reach it.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ class Fit:
 
     texts: int = 600  # labelled texts, at most
     longest: int = 20_000  # characters; longer texts are not trained on
-    chain: int = 32  # words of a chain; a text is a row of such chains
+    chain: int = 32  # words of a training chain; texts are labelled as one chain of any length
     mixed: float = 0.3  # share of training chains whose second half is another text's
     buckets: int = 1 << 15
     lexicon: int = 4000  # words with a weight of their own, at most
@@ -84,12 +89,24 @@ def features(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), number.astype(np.int64)
 
 
-def forward_backward(emit: np.ndarray, length: np.ndarray, move: np.ndarray, start: np.ndarray):
-    """Posteriors (chains, steps, labels) and, for training, expected transitions."""
-    n, steps, labels = emit.shape
+def _evidence(emit: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each word says of each label, 1 beyond the end, and which words there are."""
     e = np.exp(emit - emit.max(axis=2, keepdims=True))
-    inside = np.arange(steps)[None, :] < length[:, None]
+    inside = np.arange(emit.shape[1])[None, :] < length[:, None]
     e[~inside] = 1.0
+    return e, inside
+
+
+def forward_backward(
+    emit: np.ndarray, length: np.ndarray, move: np.ndarray, start: np.ndarray, beyond: np.ndarray | None = None
+):
+    """Posteriors (chains, steps, labels) and, for training, expected transitions.
+
+    ``start`` is one row for all chains or one for each. ``beyond`` is what follows
+    the end of each chain and says of its last label, nothing by default.
+    """
+    steps = emit.shape[1]
+    e, inside = _evidence(emit, length)
     t = np.exp(move)
     ahead = np.empty_like(e)
     ahead[:, 0] = np.exp(start) * e[:, 0]
@@ -99,6 +116,8 @@ def forward_backward(emit: np.ndarray, length: np.ndarray, move: np.ndarray, sta
         a = np.where(inside[:, k, None], a, ahead[:, k - 1])
         ahead[:, k] = a / a.sum(axis=1, keepdims=True)
     behind = np.ones_like(e)
+    if beyond is not None:
+        behind[:, -1] = beyond
     for k in range(steps - 2, -1, -1):
         b = (behind[:, k + 1] * e[:, k + 1]) @ t.T
         b = np.where(inside[:, k + 1, None], b, behind[:, k + 1])
@@ -108,6 +127,42 @@ def forward_backward(emit: np.ndarray, length: np.ndarray, move: np.ndarray, sta
     return after, (ahead, behind * e, inside, t)
 
 
+def crossings(emit: np.ndarray, length: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """For each piece the matrix from what arrives at its first word to what leaves its last, up to a factor."""
+    e, inside = _evidence(emit, length)
+    t = np.exp(move)
+    out = e[:, 0, :, None] * np.eye(emit.shape[2])
+    for k in range(1, emit.shape[1]):
+        here = np.flatnonzero(inside[:, k])
+        x = (out[here] @ t) * e[here, k, None, :]
+        out[here] = x / x.sum(axis=(1, 2), keepdims=True)
+    return out
+
+
+def messages(cross: np.ndarray, pieces: np.ndarray, move: np.ndarray, start: np.ndarray):
+    """For each piece what arrives from its text's words before and from those behind.
+
+    The pieces of a text stand side by side, ``pieces`` of them. Texts move along
+    together, one piece a step.
+    """
+    t = np.exp(move)
+    before = np.empty(cross.shape[:2])
+    behind = np.ones(cross.shape[:2])
+    order = np.argsort(-pieces, kind="stable")
+    first = (np.cumsum(pieces) - pieces)[order]
+    live = np.searchsorted(-pieces[order], -np.arange(1, int(pieces.max(initial=0)) + 1), side="right")
+    before[first[: live[0]] if len(live) else first[:0]] = np.exp(start - start.max())
+    for k in range(1, len(live)):
+        at = first[: live[k]] + k
+        x = (before[at - 1][:, None, :] @ cross[at - 1])[:, 0] @ t
+        before[at] = x / x.sum(axis=1, keepdims=True)
+    for k in range(len(live) - 1, 0, -1):
+        at = first[: live[k]] + k
+        x = (cross[at] @ behind[at][:, :, None])[:, :, 0] @ t.T
+        behind[at - 1] = x / x.sum(axis=1, keepdims=True)
+    return before, behind
+
+
 def _expected_moves(parts) -> np.ndarray:
     ahead, behind, inside, t = parts
     x, y = ahead[:, :-1], behind[:, 1:]
@@ -157,27 +212,55 @@ class Labeller:
         get = self.known.__getitem__
         return [np.fromiter(map(get, t), np.int64, len(t)) for t in texts]
 
-    def posteriors(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """For each text, given as words, the probability of each label for each word."""
+    def _pieces(self, texts: list[list[str]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Text number, word number over all texts and posteriors of every word, some pieces at a time."""
         m = self.model
+        labels = len(m.labels)
+        width = max(m.chain, 4 * labels)  # so that crossings weigh less than emissions
         numbers = self._numbers(texts)
         flat = np.concatenate([np.empty(0, np.int64), *numbers])
         lengths = np.array([len(x) for x in numbers], np.int64)
-        chains = -(-lengths // m.chain)
-        first = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else lengths
-        own = np.repeat(np.arange(len(texts)), chains)
-        within = np.arange(len(own)) - np.repeat(np.cumsum(chains) - chains, chains)
-        begin = first[own] + within * m.chain
-        size = np.minimum(m.chain, lengths[own] - within * m.chain)
-        out = np.empty((len(flat), len(m.labels)))
-        for at in range(0, len(own), 4096):
-            b, n = begin[at : at + 4096], size[at : at + 4096]
-            place = b[:, None] + np.arange(m.chain)[None, :]
-            inside = np.arange(m.chain)[None, :] < n[:, None]
-            emit = self.table[flat[np.where(inside, place, b[:, None])]]
-            after, _ = forward_backward(emit, n, m.move, m.start)
-            out[place[inside]] = after[inside]
-        return np.split(out, np.cumsum(lengths)[:-1]) if len(lengths) else []
+        pieces = -(-lengths // width)
+        own = np.repeat(np.arange(len(texts)), pieces)
+        within = np.arange(len(own)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = (np.cumsum(lengths) - lengths)[own] + within * width
+        size = np.minimum(width, lengths[own] - within * width)
+
+        def emit(at: np.ndarray):
+            inside = np.arange(width)[None, :] < size[at, None]
+            place = begin[at, None] + np.arange(width)[None, :]
+            return self.table[flat[np.where(inside, place, begin[at, None])]], place, inside
+
+        step = max(1, (1 << 20) // (width * labels))
+        cross = np.empty((len(own), labels, labels))
+        several = np.flatnonzero(pieces[own] > 1)
+        for at in np.split(several, range(step, len(several), step)):
+            if len(at):
+                cross[at] = crossings(emit(at)[0], size[at], m.move)
+        before, behind = messages(cross, pieces, m.move, m.start)
+        with np.errstate(divide="ignore"):
+            before = np.log(before)
+        for i in range(0, len(own), step):
+            at = np.arange(i, min(i + step, len(own)))
+            e, place, inside = emit(at)
+            after, _ = forward_backward(e, size[at], m.move, before[at], behind[at])
+            yield np.repeat(own[at], size[at]), place[inside], after[inside]
+
+    def posteriors(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """For each text, given as words, the probability of each label for each word."""
+        lengths = [len(t) for t in texts]
+        out = np.empty((sum(lengths), len(self.model.labels)))
+        for _, place, after in self._pieces(texts):
+            out[place] = after
+        return np.split(out, np.cumsum(lengths)[:-1]) if lengths else []
+
+    def means(self, texts: list[list[str]]) -> np.ndarray:
+        """For each text the mean over its words of the probability of each label; zeros without words."""
+        out = np.zeros((len(texts), len(self.model.labels)))
+        for own, _, after in self._pieces(texts):
+            for k in range(out.shape[1]):
+                out[:, k] += np.bincount(own, after[:, k], len(texts))
+        return out / np.maximum([[len(t)] for t in texts], 1) if texts else out
 
 
 def words_of(text: str | None) -> list[str]:
@@ -188,7 +271,8 @@ def words_of(text: str | None) -> list[str]:
 def train(docs: DataFrame, fit: Fit = Fit()) -> Model | None:
     """Fit on texts with a language whose crc32(doc_id) mod 5 is not 0; None without any.
 
-    The sample is bounded (``fit``) and chosen by a hash of doc_id, evenly over languages.
+    The sample is bounded (``fit``) and chosen by a hash of doc_id, evenly over languages; it is
+    the same for every layout of the rows.
     """
     learn = docs.where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
@@ -203,6 +287,7 @@ def train(docs: DataFrame, fit: Fit = Fit()) -> Model | None:
     picked = (
         learn.where((F.length("text") <= fit.longest) & (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share))
         .select(F.xxhash64("doc_id").alias("k"), "lang", "text")
+        .orderBy("k", "lang", F.xxhash64("text"))
         .limit(4 * fit.texts + 4 * len(counts))
         .toArrow()
         .sort_by([("k", "ascending"), ("lang", "ascending"), ("text", "ascending")])
@@ -291,6 +376,8 @@ def predict(docs: DataFrame, model: Model | None, lang: str = "lang_pred", score
     ``score`` is the mean probability of that language over the words. Texts that
     are null or hold no letter are ``und`` with score 0; ties go to the first label
     by name. Columns of these names are replaced; all others and all rows stay.
+    Repeated rows are labelled alike, an empty table gives an empty one, and of a
+    long text only the words and messages between its pieces are held at once.
     """
     docs = docs.drop(lang, score)
 
@@ -299,9 +386,9 @@ def predict(docs: DataFrame, model: Model | None, lang: str = "lang_pred", score
         for batch in text_batches(batches, 1 << 20):
             texts = [words_of(t.as_py()) for t in batch.column("text")]
             names, scores = [], []
-            for after in labeller.posteriors(texts) if labeller else [()] * len(texts):
-                if len(after):
-                    mean = after.mean(axis=0)
+            means = labeller.means(texts) if labeller else texts
+            for words, mean in zip(texts, means):
+                if labeller and words:
                     names.append(model.labels[int(mean.argmax())])
                     scores.append(float(min(1.0, mean.max())))
                 else:
