@@ -10,6 +10,7 @@ reversed.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -105,13 +106,29 @@ def _index(texts: DataFrame, vocabulary: list[str]) -> list[np.ndarray]:
         for batch in text_batches(batches):
             rows = [sorted(at[w] for w in words_of(t.as_py()) if w in at) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("k"), pa.array(rows, pa.list_(pa.int32()))], names=["k", "at"]
+                [batch.column("k"), batch.column("t"), pa.array(rows, pa.list_(pa.int32()))], names=["k", "t", "at"]
             )
 
-    found = texts.select("k", "text").mapInArrow(run, "k long, at array<int>").toArrow().sort_by("k")
+    keyed = texts.select("k", F.xxhash64("text").alias("t"), "text")
+    found = keyed.mapInArrow(run, "k long, t long, at array<int>").toArrow()
+    found = found.sort_by([("k", "ascending"), ("t", "ascending")])
     return [np.asarray(x, np.int32) for x in found.column("at").to_pylist()]
 
 
+def _holders(texts: DataFrame) -> DataFrame:
+    """How many texts hold each word; the words are those that scores read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches):
+            held = Counter(w for t in batch.column("text") for w in words_of(t.as_py()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"]
+            )
+
+    held = texts.select("text").mapInArrow(run, "word string, n long")
+    return held.groupBy("word").agg(F.sum("n").alias("count"))
+
+
 def telling(vocabulary, positive, unlabelled, fit: Fit):
     """Only words more common among the confirmed than among unlabelled texts, beyond chance."""
     width = len(vocabulary)
@@ -126,31 +143,35 @@ def telling(vocabulary, positive, unlabelled, fit: Fit):
 def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
     """Fit on learning rows only: those whose crc32(doc_id) mod 5 is not 0.
 
-    The sample is bounded (``fit``) and chosen by a hash of doc_id. The toxic share
-    is that of all labelled learning rows. Without any confirmed example the model
-    calls nothing toxic.
+    The sample is bounded (``fit``) and chosen by a hash of doc_id, the same for every
+    layout of the rows; of several texts of one confirmed id the least is taken. The toxic
+    share is that of all labelled learning documents; one labelled more than once counts
+    once, as toxic if any of its labels says so. Without
+    any confirmed example the model calls nothing toxic.
     """
     learn = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
-    known, toxic = learn.agg(F.count("*"), F.sum((F.col("toxic") == 1).cast("long"))).first()
+    learn = learn.groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
+    known, toxic = learn.agg(F.count("*"), F.sum(F.col("toxic").cast("long"))).first()
     if not toxic:
         return Model()
     prior = min(max(toxic / known, 1e-3), 0.9)
     order = F.xxhash64("doc_id")
 
-    def part(rows: DataFrame, n: int, most: int) -> DataFrame:
+    def part(rows: DataFrame, n: int, most: int, *ties) -> DataFrame:
         share = min(1.0, most / max(n, 1))
-        return rows.where(F.pmod(order, F.lit(1_000_000)) < int(1_000_000 * share)).limit(most)
+        near = rows.where(F.pmod(order, F.lit(1_000_000)) < int(1_000_000 * share))
+        return near.orderBy(order, *ties).limit(most)
 
-    ids = part(learn.where("toxic = 1").select("doc_id").distinct(), toxic, fit.positives)
+    ids = part(learn.where("toxic = 1").select("doc_id"), toxic, fit.positives)
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    confirmed = texts.join(F.broadcast(ids), "doc_id").select(F.xxhash64("doc_id").alias("k"), "text")
+    confirmed = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    confirmed = confirmed.select(order.alias("k"), "text")
     n = docs.count()
-    others = part(texts.where(~held_out(F.col("doc_id"))), n, fit.unlabelled)
-    others = others.select(F.xxhash64("doc_id").alias("k"), "text")
+    others = part(texts.where(~held_out(F.col("doc_id"))), n, fit.unlabelled, F.xxhash64("text"))
+    others = others.select(order.alias("k"), "text")
 
     n_confirmed = min(toxic, fit.positives)
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+)"), F.lit(1)))
-    counted = confirmed.select(F.explode(words).alias("word")).groupBy("word").count()
+    counted = _holders(confirmed)
     least = max(3, int(fit.least_share * n_confirmed))
     vocabulary = [
         r["word"]
@@ -179,8 +200,9 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
 def score(docs: DataFrame, model: Model, to: str = "toxicity") -> DataFrame:
     """``docs`` with the column ``to``: how likely the whole text is toxic, from 0 to 1.
 
-    Null and empty texts score by the bias alone. A column named like ``to`` is
-    replaced; all others and all rows stay.
+    Null and empty texts score by the bias alone, long ones by all their words. A column
+    named like ``to`` is replaced; all others and all rows stay, repeated ones with equal
+    scores. An empty table gives an empty one.
     """
     docs = docs.drop(to)
 
