@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections.abc import Iterable, Iterator
@@ -47,6 +48,8 @@ ALPHABETS = (
 )
 KINDS = BASE_KINDS + tuple(a.kind for a in ALPHABETS)
 
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+
 #: What looks random but is not secret.
 ALLOWED = tuple(
     re.compile(p)
@@ -56,9 +59,22 @@ ALLOWED = tuple(
         r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",  # an identifier
         r"[A-Za-z]+(?:[-_/][A-Za-z]+)+",  # words joined
         r"(?:/?[A-Za-z_-]+[0-9]{0,4}/)+[A-Za-z0-9_-]{0,16}",  # a path
-        r"0123456789(?:abcdef|ABCDEF)[0-9A-Za-z]*",  # an alphabet
+        rf"(?:0123456789|abcdef(?:{LOWER[6:]})?|ABCDEF(?:{LOWER[6:].upper()})?)+(?:[+/_-]{{2}})?=?",  # alphabets
     )
 )
+SEPARATOR = re.compile(r"[/_=+-]")
+PLAIN = re.compile(r"(?:[A-Z]?[a-z]+(?:[A-Z][a-z]+)*|[A-Z]+)?[0-9]{0,4}|[0-9]{5,8}")
+
+
+def harmless(run: str, window: int) -> bool:
+    """Whether an allowed form explains the whole run, or plain words and numbers all but half a window.
+
+    A path, link or name is judged part by part: words in one of the usual ways to write them with
+    up to four digits after them, years, dates and numbers are plain. A random key has few such parts.
+    """
+    if any(p.fullmatch(run) for p in ALLOWED):
+        return True
+    return 2 * sum(len(part) for part in SEPARATOR.split(run) if not PLAIN.fullmatch(part)) < window
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -103,7 +119,9 @@ def entropy_spans(
     text: str, base: Iterable[tuple[int, int, str]], alphabets: tuple[Alphabet, ...] = ALPHABETS
 ) -> list[tuple[int, int, str]]:
     """Random-looking stretches that no earlier span covers and no allowed form explains."""
-    taken = sorted((s, e) for s, e, _ in base)
+    taken: dict[str, list[tuple[int, int]]] = {}
+    for s, e, kind in sorted(base):
+        taken.setdefault(kind, []).append((s, e))
     found = []
     for a in alphabets:
         fresh = []
@@ -111,14 +129,14 @@ def entropy_spans(
             word = run[0]
             if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
                 continue
-            if any(p.fullmatch(word) for p in ALLOWED):
+            if harmless(word, a.window):
                 continue
             for s, e in hot_windows(word, a.window, a.bits):
                 s, e = s + run.start(), e + run.start()
-                if not _covered(taken, s, e):
+                if not any(_covered(spans, s, e) for spans in taken.values()):
                     fresh.append((s, e, a.kind))
         found += fresh
-        taken = sorted(taken + [(s, e) for s, e, _ in fresh])
+        taken[a.kind] = [(s, e) for s, e, _ in fresh]
     return found
 
 
@@ -132,13 +150,9 @@ def _runs(a: Alphabet) -> re.Pattern:
 
 
 def _covered(taken: list[tuple[int, int]], s: int, e: int) -> bool:
-    """Whether a taken span overlaps most of the stretch."""
-    import bisect
-
-    at = bisect.bisect_right(taken, (s, math.inf))
-    return any(
-        2 * (min(e, y) - max(s, x)) > e - s for x, y in taken[max(0, at - 2) : at + 2]
-    )
+    """Whether one of the ordered, separate spans overlaps most of the stretch, and so holds its middle."""
+    at = bisect.bisect_right(taken, ((s + e) // 2, math.inf)) - 1
+    return at >= 0 and 2 * (min(e, taken[at][1]) - max(s, taken[at][0])) > e - s
 
 
 def find(text: str | None) -> list[tuple[int, int, str]]:
@@ -163,8 +177,9 @@ SPANS = T.ArrayType(
 def scan(docs: DataFrame, spans: str = "secrets") -> DataFrame:
     """``docs`` with the array column ``spans``: start, end (exclusive, in code points), kind.
 
-    The column ``text`` is scanned whole; null and empty texts have no spans. A
-    column named like ``spans`` is replaced; all others and all rows stay.
+    The column ``text`` is scanned whole, however long; null and empty texts have no
+    spans. A column named like ``spans`` is replaced; all others and all rows stay,
+    repeated ones with equal spans. An empty table gives an empty one.
     """
     docs = docs.drop(spans)
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
@@ -186,7 +201,7 @@ def scan(docs: DataFrame, spans: str = "secrets") -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span of its text replaced by ``mark``, and ``n_chars``, if there, counted anew.
 
-    Overlapping spans become one mark. Texts without secrets stay as they are.
+    Overlapping spans become one mark. Null, empty and other texts without secrets stay as they are.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
