@@ -18,8 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lanewise.llm.common import written
 from lanewise.llm.components import components
@@ -42,9 +44,18 @@ class Cells:
 
 def unit(rows: np.ndarray) -> np.ndarray:
     rows = rows.astype(np.float64)
+    _, size = np.frexp(np.abs(rows).max(axis=1, keepdims=True, initial=0))
+    rows = np.ldexp(rows, -size)  # exact, so that squares neither overflow nor vanish
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
+def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Unit rows, in double precision, of a column of vectors of one length."""
+    flat = pa.compute.list_flatten(column)
+    flat = flat.to_numpy() if isinstance(flat, pa.ChunkedArray) else flat.to_numpy(zero_copy_only=False)
+    return unit(flat.reshape(len(column), -1))
+
+
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
     """Unit centroids; a centroid that loses all its vectors moves to the worst-served one."""
     centroids = x[rng.choice(len(x), k, replace=False)].copy()
@@ -71,8 +82,8 @@ def _nearest(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return near, best
 
 
-def fit(classes: DataFrame, cells: Cells) -> dict[tuple[int, int], np.ndarray]:
-    """Centroids by (label, dimensions). The sample is bounded and chosen by hash."""
+def fit(classes: DataFrame, cells: Cells) -> dict[tuple[str, int], np.ndarray]:
+    """Centroids by (label, dimensions). The sample is bounded and chosen by hash, alike in every layout."""
     counts = {
         (r["label"], r["dims"]): r["count"]
         for r in classes.groupBy("label", "dims").count().where(F.col("count") > cells.size).orderBy(F.desc("count")).limit(cells.cells // 2).collect()
@@ -85,6 +96,7 @@ def fit(classes: DataFrame, cells: Cells) -> dict[tuple[int, int], np.ndarray]:
     picked = (
         classes.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
         .select("id", "label", "dims", "vector")
+        .orderBy(F.xxhash64("id"), "id")
         .limit(2 * cells.sample)
         .toArrow()
         .sort_by("id")
@@ -97,7 +109,7 @@ def fit(classes: DataFrame, cells: Cells) -> dict[tuple[int, int], np.ndarray]:
     vectors = picked.column("vector")
     out = {}
     for key in sorted(rows):
-        x = unit(np.array(vectors.take(pa.array(rows[key])).to_pylist(), np.float32))
+        x = matrix(vectors.take(pa.array(rows[key])))
         k = min(-(-counts[key] // size), len(x))
         if k > 1:
             out[key] = spherical_kmeans(x, k, cells.rounds, np.random.default_rng(cells.seed))
@@ -109,37 +121,49 @@ def deal(classes: DataFrame, centroids: dict, cells: Cells) -> DataFrame:
     sent = classes.sparkSession.sparkContext.broadcast(centroids)
     reach = np.sqrt(2 - 2 * cells.similarity) * cells.margin
 
+    kind = classes.schema["vector"].dataType.simpleString()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        borders: dict[tuple[str, int], np.ndarray] = {}
+
+        def met(key, part):
+            """Row, cell and whether at home; products are made some rows at a time."""
+            near = sent.value.get(key)
+            if near is None:
+                yield np.arange(len(part)), np.zeros(len(part), np.int32), np.ones(len(part), bool)
+                return
+            if key not in borders:
+                borders.clear()
+                borders[key] = np.sqrt(np.maximum(0, 2 - 2 * (near @ near.T))) * reach + 1e-7  # the root is exact to 1e-8
+            apart = borders[key]
+            step = max(1, (1 << 20) // len(near))
+            for at in range(0, len(part), step):
+                dots = matrix(part.column("vector").slice(at, step)) @ near.T
+                best = dots.argmax(axis=1)
+                short = dots[np.arange(len(dots)), best][:, None] - dots
+                row, cell = np.nonzero(short <= apart[best])
+                yield at + row, cell, cell == best[row]
+
         for batch in batches:
             keys = list(zip(batch.column("label").to_pylist(), batch.column("dims").to_pylist()))
-            by_key: dict[tuple[int, int], list[int]] = {}
+            by_key: dict[tuple[str, int], list[int]] = {}
             for i, key in enumerate(keys):
                 by_key.setdefault(key, []).append(i)
             for key, at in by_key.items():
                 part = batch.take(pa.array(at))
-                near = sent.value.get(key)
-                if near is None:
-                    row, cell, home = np.arange(len(at)), np.zeros(len(at), np.int32), np.ones(len(at), bool)
-                else:
-                    x = unit(np.array(part.column("vector").to_pylist(), np.float32))
-                    apart = np.sqrt(np.maximum(0, 2 - 2 * (near @ near.T))) * reach + 1e-7  # the root is exact to 1e-8
-                    dots = x @ near.T
-                    best = dots.argmax(axis=1)
-                    short = dots[np.arange(len(x)), best][:, None] - dots
-                    row, cell = np.nonzero(short <= apart[best])
-                    home = cell == best[row]
-                picked = part.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(picked.column(c) for c in ("label", "dims", "id", "copies", "vector")),
-                        pa.array(cell.astype(np.int32)),
-                        pa.array(home),
-                    ],
-                    names=["label", "dims", "id", "copies", "vector", "cell", "home"],
-                )
+                for row, cell, home in met(key, part):
+                    picked = part.take(pa.array(row))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(picked.column(c) for c in ("label", "dims", "id", "copies", "vector")),
+                            pa.array(cell.astype(np.int32)),
+                            pa.array(home),
+                        ],
+                        names=["label", "dims", "id", "copies", "vector", "cell", "home"],
+                    )
 
     return classes.select("id", "label", "dims", "copies", "vector").mapInArrow(
-        run, "label int, dims int, id long, copies long, vector array<float>, cell int, home boolean"
+        run, f"label string, dims int, id long, copies long, vector {kind}, cell int, home boolean"
     )
 
 
@@ -174,7 +198,7 @@ def compare(dealt: DataFrame, cells: Cells) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
         meets = group.column("meets").to_numpy()
         ids, copies = group.column("id").to_numpy(), group.column("copies").to_numpy()
-        x = unit(np.array(group.column("vector").to_pylist(), np.float32))
+        x = matrix(group.column("vector"))
         h, v = np.flatnonzero(~meets), np.flatnonzero(meets)
         linked = x[h] @ x[v].T >= least
         linked &= ids[h][:, None] != ids[v][None, :]
@@ -228,12 +252,16 @@ def near_duplicates(
     Vectors are compared within equal labels only. Rows with a null id, label or
     vector, and vectors that are empty, zero or hold null or non-finite numbers,
     link with nothing and are kept; so is every vector of another length than all
-    others. Repeated rows count as different vectors with the same content. Other
-    columns are ignored; an empty table gives an empty one.
+    others. Repeated rows count as different vectors with the same content. Labels of
+    any type are compared as text, doubles stay doubles. Other columns are ignored; an
+    empty table gives an empty one.
     """
     v = F.col("vector")
+    single = table.schema[vector].dataType.elementType == T.FloatType()
     rows = table.select(
-        F.col(id).alias("id"), F.col(label).cast("int").alias("label"), F.col(vector).cast("array<float>").alias("vector")
+        F.col(id).alias("id"),
+        F.col(label).cast("string").alias("label"),
+        F.col(vector).cast("array<float>" if single else "array<double>").alias("vector"),
     )
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     fit_for = (

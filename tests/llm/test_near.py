@@ -302,6 +302,22 @@ def test_near_vectors_by_default_lose_no_link(spark):
     assert {r["vec_id"]: r["component_id"] for r in got} == roots
 
 
+def test_near_vectors_of_doubles_under_any_labels(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(20, 3))[np.arange(120) % 20] + rng.normal(size=(120, 3)) * 0.4
+    sizes = [10.0 ** (-200, 0, 200)[i % 3] for i in range(120)]
+    kinds = ["a", "b c", "99999999999", "1"]
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    label = [kinds[i % 4] for i in range(120)]
+    linked = (unit @ unit.T >= 0.93) & np.equal.outer(label, label) & ~np.eye(120, dtype=bool)
+    rows = [(i, [float(c) * sizes[i] for c in v], label[i]) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = vectors.near_duplicates(frame, vectors.Cells(size=8)).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate(linked.sum(axis=1).tolist()))
+    numbered = frame.selectExpr("vec_id", "embedding", "CAST(hash(label) AS long) * 3000000000 AS label")
+    assert sorted(vectors.near_duplicates(numbered, vectors.Cells(size=8)).collect()) == sorted(got)
+
+
 def test_kmeans_centroids_are_unit():
     x = vectors.unit(np.random.default_rng(0).normal(size=(300, 8)))
     c = vectors.spherical_kmeans(x, 7, 8, np.random.default_rng(1))
