@@ -220,6 +220,69 @@ def test_a_timer_reads_no_bucket_ahead_of_the_watermark(monkeypatch):
     assert sum(len(v[0]) for v in handle.maps["rows"].values()) == n * stateful.ROW.itemsize
 
 
+def test_scattered_rows_cost_few_state_calls(monkeypatch):
+    """Rows minutes apart share entries, few or many, whatever their order of arrival, and come out in order."""
+    calls = []
+
+    class Map(dict):
+        def updateValue(self, k, v):
+            calls.append(k)
+            self[k] = v
+
+        def removeKey(self, k):
+            calls.append(k)
+            del self[k]
+
+        getValue, containsKey = dict.__getitem__, dict.__contains__
+        iterator = lambda self: iter(list(self.items()))
+
+    class Value:
+        held = None
+        exists = lambda self: self.held is not None
+        get = lambda self: self.held
+        clear = lambda self: self.update(None)
+
+        def update(self, v):
+            calls.append("value")
+            self.held = v
+
+    class Handle:
+        timers: list = []
+        getMapState = lambda self, *_: Map()
+        getValueState = lambda self, *_: Value()
+        registerTimer = lambda self, ms: self.timers.append(ms)
+
+    class Now:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    monkeypatch.setattr(stateful, "CHUNK", 256)
+    rng = np.random.default_rng(4)
+    minutes = 20_000
+    for n in (200, 5000):
+        # of one minute more rows than an entry holds; some rows before all that came first
+        us = rng.choice(np.arange(minutes), n, replace=False) * 60_000_000
+        us[: n // 10] = 7000 * 60_000_000 + np.arange(n // 10)
+        rows = pd.DataFrame({"us": us, "row_id": np.arange(n), "val": rng.integers(0, 50, n) * 1.0})
+        rows = rows.sort_values("us", ascending=False, ignore_index=True).sample(frac=1.0, random_state=1)
+        state = stateful.Increases()
+        state.init(Handle())
+        calls.clear()
+        parts = [rows[k * n // 4 : (k + 1) * n // 4] for k in range(4)]
+        for part in parts:
+            assert list(state.handleInputRows(("k",), iter([part]), None)) == []
+        assert Handle.timers[-1] <= -(-rows["us"].min() // 1000)
+        got = []
+        for ms in (minutes * 20_000, minutes * 60_000):
+            got += [r for pdf in state.handleExpiredTimer(("k",), Now(ms), None) for r in pdf.values.tolist()]
+        ordered = rows.sort_values(["us", "row_id"])
+        prev = ordered["val"].shift()
+        up = ordered[ordered["val"] > prev]
+        assert got == [["k", *r] for r in zip(up["row_id"], up["val"], prev[ordered["val"] > prev])]
+        # a call for each row and more without shared entries
+        assert len(calls) < (12 if n == 200 else n // 4)
+
+
 def test_silence_of_any_length_is_no_new_start(feed):
     def build(s):
         return stream_increases(s, "user_id", "event_id", "value", watermark="1 minute")
