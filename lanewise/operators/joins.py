@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewise.plans.lanes import CHUNK, Lane, lay_out, with_running
-from lanewise.plans.lookups import attach
+from lanewise.plans.lookups import BROADCAST_BYTES, attach, byte_size
 from lanewise.plans.spans import explode_span
 from lanewise.sources.tables import require
 
+PAIRS = 1 << 25  # of rows that one task of a value comparison may meet, if the right side is broadcast
+TASKS = 1 << 16  # of such a join at most; beyond, they meet more
+
 
 def theta_join(
     left: DataFrame,
@@ -18,13 +21,16 @@ def theta_join(
     right_val: str,
     buckets: int = 32,
     salts: int = 4,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """All pairs with ``left_val > right_val``, by equality on value buckets.
 
     The range of the right values is cut into equal buckets. A left row is sent
     to its own bucket and those below, a right row to its own only, so each pair
     meets exactly once and nothing is compared that lies in a higher bucket.
-    Bucket and salt form the join key: both sides may be large, and the rows of
+    A right side of up to ``max_bytes`` is broadcast and the left rows are dealt over
+    tasks by the pairs they may make, as few bytes can make many. Beyond that bucket
+    and salt form the join key: both sides may be large, and the rows of
     a crowded bucket spread over ``salts`` tasks. The bucket rule depends only
     on the exact minimum and maximum, never on a sample.
     """
@@ -32,7 +38,8 @@ def theta_join(
     require(right, right_val)
     number = F.col(right_val).cast("double")
     finite = F.when(F.abs(number) < float("inf"), number)
-    least, low, high = right.agg(F.min(right_val), F.min(finite), F.max(finite)).first()
+    rows = F.count(F.lit(1))
+    least, low, high, n = right.agg(F.min(right_val), F.min(finite), F.max(finite), rows).first()
 
     def bucket(col: str):
         """Grows with the value in double precision: never above the bucket of a larger value."""
@@ -44,21 +51,18 @@ def theta_join(
         ).cast("bigint")
 
     others = left.columns
-    sent = left.where(F.col(left_val) > F.lit(least)).withColumns(
-        {
-            "_bucket": F.explode(F.sequence(F.lit(0).cast("bigint"), bucket(left_val))),
-            "_salt": F.pmod(F.xxhash64(*others), F.lit(salts)),
-        }
-    )
-    kept = right.where(F.col(right_val).isNotNull()).withColumns(
-        {
-            "_bucket": bucket(right_val),
-            "_salt": F.explode(
-                F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-            ),
-        }
-    )
-    pairs = sent.join(kept, ["_bucket", "_salt"])
+    sent = left.where(F.col(left_val) > F.lit(least))
+    reached = F.explode(F.sequence(F.lit(0).cast("bigint"), bucket(left_val)))
+    kept = right.where(F.col(right_val).isNotNull()).withColumn("_bucket", bucket(right_val))
+    if byte_size(right) <= max_bytes:
+        tasks = min(-(-sent.count() * n // PAIRS), TASKS)
+        dealt = sent.repartition(tasks) if tasks > 1 else sent
+        pairs = dealt.withColumn("_bucket", reached).join(F.broadcast(kept), "_bucket")
+        return pairs.where(F.col(left_val) > F.col(right_val)).drop("_bucket")
+    salted = F.pmod(F.xxhash64(*others), F.lit(salts))
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    sent = sent.withColumns({"_bucket": reached, "_salt": salted})
+    pairs = sent.join(kept.withColumn("_salt", copies), ["_bucket", "_salt"])
     return pairs.where(F.col(left_val) > F.col(right_val)).drop("_bucket", "_salt")
 
 

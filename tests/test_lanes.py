@@ -184,6 +184,19 @@ def test_large_integers_keep_their_order(spark):
     assert rows(J.theta_join(left, right, "v", "w")) == [(big, big - 1), (big + 1, big - 1), (big + 1, big)]
 
 
+def test_pairs_of_one_small_file_are_made_in_many_tasks(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(J, "PAIRS", 1000, raising=False)
+    skewed(spark, 21).selectExpr("i", "double(v) v").coalesce(1).write.parquet(f"{tmp_path}/left")
+    skewed(spark, 22).selectExpr("i as j", "double(v) w").coalesce(1).write.parquet(f"{tmp_path}/right")
+    left, right = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("left", "right"))
+    pairs = J.theta_join(left, right, "v", "w")
+    assert pairs.select(F.spark_partition_id()).distinct().count() > 4
+    want = rows(left.join(right, F.col("v") > F.col("w")))
+    assert rows(pairs) == want
+    # a right side too large to be broadcast
+    assert rows(J.theta_join(left, right, "v", "w", max_bytes=0)) == want
+
+
 @pytest.mark.parametrize("min_rows", [0, 20, 10**6])
 def test_tied_order_values_share_a_total(spark, min_rows):
     df = skewed(spark, 10).withColumn("k", F.nullif("k", F.lit(1)))
