@@ -362,7 +362,7 @@ def write(
             return rows
 
         for batch in text_batches(batches):
-            found = encoder.encode(batch.column("text").to_pylist())
+            found = encoder.encode(batch.column("text"))
             for doc, x in zip(batch.column("doc_id").to_pylist(), found):
                 x = np.append(x, np.uint32(end))
                 at = 0

@@ -88,7 +88,7 @@ def packed(docs: DataFrame, tokenizer: str, p: Packing = Packing(), cache_bytes:
         held: list[tuple[int | None, np.ndarray]] = []
         tokens = 0
         for batch in text_batches(batches, 1 << 20):
-            found = encoder.encode(batch.column("text").to_pylist())
+            found = encoder.encode(batch.column("text"))
             for doc, ids in zip(batch.column("doc_id").to_pylist(), found):
                 held.append((doc, np.append(ids, np.uint32(p.end))))
                 tokens += len(ids) + 1

@@ -4,13 +4,21 @@ A text is cut before single spaces and line breaks between visible characters.
 The tokenizers used here never join characters across such a place: their
 patterns take a blank only as the first character of a token, and normal forms
 compose nothing with a blank. So the ids of a text are those of its pieces.
+
+Most pieces are a word of Latin letters with signs behind it. Normal forms and patterns
+leave such a word whole, so the library's model gets it directly, in lower case if the
+tokenizer lowers and with its bytes written as the model's characters. Arrow finds the
+distinct pieces and words of some texts; Python sees each of these once.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from lanewise.session import ship_with_tasks
 
@@ -21,11 +29,62 @@ CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: A character that texts hardly hold; it separates pieces that are encoded in one go.
 MARK = "\x01"
 
+#: Texts where not every space and line break is a cut, or that hold the mark.
+ODD = rf"^[ \n]|[ \n]$|[ \n][ \n]|{MARK}"
+
+#: What a piece begins with but a space, a word of Latin letters, signs of ASCII.
+#: U+0130 is no such letter: in lower case it has a mark.
+PLAIN = rf"^(?P<head>[\n{MARK}]?)(?P<word>[A-Za-zÀ-ÖØ-öø-įı-ɏ]+)(?P<signs>[!-/:-@\[-`{{-~]*)$"
+
+#: Byte-level models write a byte as a visible character: itself or, if it is none, one from U+0100 on.
+VISIBLE = [b for b in range(256) if 33 <= b < 127 or 161 <= b != 173]
+BYTES = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in VISIBLE) if chr(b) not in f"\n{MARK}"}
+
+#: The groups of a pattern that fits no piece.
+NONE = r"^(?P<head>x)(?P<word>x)(?P<signs>x)\b\B"
+
+TEXT = pa.large_string()
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
+def _behind_mark(names: pa.Array) -> pa.Array:
+    return pc.binary_join_element_wise(pa.scalar(MARK, TEXT), names, pa.scalar("", TEXT))
+
+
+class Parts:
+    """Runs of ids, one after another in ``ids``."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray):
+        self.ids, self.sizes = ids, sizes
+        self.starts = np.cumsum(sizes) - sizes
+
+    @classmethod
+    def of(cls, runs: list[bytes]) -> Parts:
+        return cls(np.frombuffer(b"".join(runs), np.uint32), np.fromiter(map(len, runs), np.int64, len(runs)) // 4)
+
+    def take(self, index: np.ndarray) -> Parts:
+        """The runs ``index``, in that order."""
+        sizes = self.sizes[index]
+        at = np.repeat(self.starts[index] - (np.cumsum(sizes) - sizes), sizes)
+        at += np.arange(len(at))
+        return Parts(self.ids[at], sizes)
+
+    def runs(self) -> list[np.ndarray]:
+        return [self.ids[a : a + n] for a, n in zip(self.starts.tolist(), self.sizes.tolist())]
+
+    def joined(self, starts: np.ndarray) -> Parts:
+        """Runs joined to longer ones that begin at the runs ``starts``; the last ends with the last run."""
+        ends = np.append(0, np.cumsum(self.sizes))
+        return Parts(self.ids, np.diff(ends[np.append(starts, len(self.sizes))]))
+
 
 class Encoder:
     """Ids of texts as the tokenizers library gives them, without special tokens.
 
-    ``file`` is the content of the tokenizer file. Pieces are remembered in about
+    ``file`` is the content of the tokenizer file. Words and odd pieces are remembered in about
     ``cache_bytes``, and those of one call besides; then all are forgotten.
     """
 
@@ -40,55 +99,49 @@ class Encoder:
 
         self.library = Tokenizer.from_str(file)
         self.library.encode_special_tokens = True
+        self.model = self.library.model
         self.cache_bytes, self.held = cache_bytes, 0
         self.known: dict[str, bytes] = {}
-        #: Latin letters of either case then have the same ids; without it, case matters.
+        #: Letters of either case then have the same ids; without it, case matters.
         self.lowers = '"Lowercase"' in file
-        self.ends = {c: np.array(i, np.uint32).tobytes() for c, i in zip(",.", self._ids([",", "."]))}
         self.mark = np.array(self._ids([f" {MARK}"])[0], np.uint32)
+        self.line = _bytes(self._ids(["\n"])[0])
+        #: What a model's word begins with after a space; nothing if the tokenizer drops blanks.
+        self.space = BYTES[32] if len({tuple(i) for i in self._ids([" a", "a"])}) == 2 else ""
+        self.plain = PLAIN
+        probes = [(h, w + t) for h in (" ", "\n", "") for w in ("the", "Éßœɏ", "Qxzj") for t in ("", ",", "?!'")]
+        names = pa.array([{" ": "", "": MARK}.get(h, h) + p for h, p in probes], TEXT)
+        if [x.tolist() for x in self._pieces_ids(names).runs()] != self._ids([h + p for h, p in probes]):
+            self.plain = NONE  # the tokenizer does not leave such words whole
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, text: str) -> list[str]:
+    def _cut(self, text: str) -> list[str]:
         """Pieces by name: without the space they begin with, or with what else they begin with behind a mark."""
+        first, *rest = CUT.split(text)
         if MARK in text:
-            return [MARK + p for p in CUT.split(text)]
-        # fast when no blank stands beside another: then every space or line break is a cut
-        pieces = text.replace("\n", " \n").split(" ")
-        if "" in pieces or "\n" in pieces:
-            first, *rest = CUT.split(text)
-            pieces = [MARK + first, *(p[1:] if p[0] == " " else p for p in rest)]
-        else:
-            pieces[0] = MARK + pieces[0]
-        return pieces
-
-    def _stem(self, p: str) -> tuple[str, str]:
-        """A word and the comma or full stop behind it: letters and signs are never in one token."""
-        if p[-1] in self.ends and p[:-1].isalpha() and max(p) < "\u0250":
-            p, end = p[:-1], p[-1]
-        else:
-            end = ""
-        return p.lower() if self.lowers and p.isalpha() and max(p) < "\u0100" else p, end
-
-    def _learn(self, fresh: list[str]) -> None:
-        stems, alone, derived = {}, [], []
-        for p in fresh:
-            if p[:1] in (MARK, "\n"):
-                alone.append(p)
-                continue
-            stem, end = self._stem(p)
-            if stem not in self.known:
-                stems[stem] = None
-            if stem != p:
-                derived.append((p, stem, end))
-        joined = list(stems)
+            return [MARK + p for p in (first, *rest)]
+        return [MARK + first, *(p[1:] if p[0] == " " else p for p in rest)]
+
+    def _spelled(self, names: list[str]) -> list[str]:
+        """Words of letters as the model spells them: after a space, or after a mark without one."""
+        text = "\n".join(names)
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(BYTES)
+        return [self.space + w if w[0] != MARK else w[1:] for w in text.split("\n")]
+
+    def _learn(self, words: list[str], odd: list[str]) -> None:
+        """Remembers names of words of letters, and of any other pieces."""
+        known, tokenize = self.known, self.model.tokenize
+        if words:
+            known.update((p, _bytes([t.id for t in tokenize(w)])) for p, w in zip(words, self._spelled(words)))
+        alone, joined = [], []
+        for p in odd:
+            (alone if p[:1] in (MARK, "\n") else joined).append(p)
         for at in range(0, len(alone), 1024):
             part = alone[at : at + 1024]
-            whole = [p.removeprefix(MARK) for p in part]
-            self.known.update(
-                (p, np.array(i, np.uint32).tobytes()) for p, i in zip(part, self._ids(whole))
-            )
+            known.update(zip(part, map(_bytes, self._ids([p.removeprefix(MARK) for p in part]))))
         width = len(self.mark)
         groups = [joined[at : at + 256] for at in range(0, len(joined), 256)]
         texts = [" " + f" {MARK} ".join(g) + f" {MARK}" for g in groups]
@@ -100,20 +153,62 @@ class Encoder:
             data = flat.tobytes()
             begin = 0
             for p, end in zip(group, ends.tolist()):
-                self.known[p] = data[4 * begin : 4 * (end + 1 - width)]
+                known[p] = data[4 * begin : 4 * (end + 1 - width)]
                 begin = end + 1
-        known, ends = self.known, self.ends | {"": b""}
-        known.update([(p, known[stem] + ends[end]) for p, stem, end in derived])
-        new = [*alone, *joined, *(p for p, _, _ in derived)]
-        self.held += sum(self.ENTRY + len(p) + len(known[p]) for p in new)
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        self.held += sum(self.ENTRY + len(p) + len(known[p]) for part in (words, odd) for p in part)
+
+    def _known(self, names: pa.Array, word: bool) -> Parts:
+        """Ids of distinct names, all of words or all of other pieces."""
+        listed = names.to_numpy(zero_copy_only=False).tolist()
+        fresh = [p for p in listed if p not in self.known]
+        self._learn(*((fresh, []) if word else ([], fresh)))
+        return Parts.of([self.known[p] for p in listed])
+
+    def _pieces_ids(self, pieces: pa.Array) -> Parts:
+        """Ids of distinct pieces: of what a word begins with, of the word and of the signs behind it."""
+        found = pc.extract_regex(pieces, self.plain)
+        plain = found.is_valid()
+        head, word, signs = found.filter(plain).flatten()
+        if self.lowers:
+            word = pc.utf8_lower(word)
+        if self.space:
+            word = pc.if_else(pc.equal(head, ""), word, _behind_mark(word))
+        word, signs = word.dictionary_encode(), _behind_mark(signs).dictionary_encode()
+        words = self._known(word.dictionary, True)
+        ends = self._known(signs.dictionary, False)
+        odd = self._known(pieces.filter(pc.invert(plain)), False)
+        line = Parts.of([b"", self.line])
+        every = Parts(
+            np.concatenate([x.ids for x in (line, words, ends, odd)]),
+            np.concatenate([x.sizes for x in (line, words, ends, odd)]),
+        )
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        index = np.zeros((len(pieces), 3), np.int64)
+        at = 2
+        index[is_plain, 0] = pc.equal(head, "\n").to_numpy(zero_copy_only=False)
+        index[is_plain, 1] = word.indices.to_numpy() + at
+        at += len(words.sizes)
+        index[is_plain, 2] = signs.indices.to_numpy() + at
+        at += len(ends.sizes)
+        index[~is_plain, 1] = np.arange(len(odd.sizes)) + at
+        return every.take(index.reshape(-1)).joined(np.arange(0, index.size, 3))
+
+    def _texts_ids(self, pieces: pa.Array, starts: np.ndarray) -> list[np.ndarray]:
+        """Ids of the texts whose pieces begin at ``starts``."""
+        coded = pieces.dictionary_encode()
+        return self._pieces_ids(coded.dictionary).take(coded.indices.to_numpy()).joined(starts).runs()
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
         """The ids of each text as 32-bit numbers; null texts count as empty."""
         if self.held > self.cache_bytes:
             self.known.clear()
             self.held = 0
-        known = self.known
-        cut = [self._pieces(t) if t else () for t in texts]
-        self._learn(list({p for pieces in cut for p in pieces if p not in known}))
-        get = known.__getitem__
-        return [np.frombuffer(b"".join(map(get, pieces)), np.uint32) for pieces in cut]
+        texts = (pa.array(texts, TEXT) if isinstance(texts, list) else texts.cast(TEXT)).fill_null("")
+        odd = pc.match_substring_regex(texts, ODD)
+        even = pc.replace_substring(texts.filter(pc.invert(odd)), "\n", " \n")
+        lists = pc.split_pattern(_behind_mark(even), " ")
+        rows = iter(self._texts_ids(lists.flatten(), lists.offsets.to_numpy()[:-1]))
+        cut = [self._cut(t) for t in texts.filter(odd).to_pylist()]
+        starts = np.cumsum([0, *map(len, cut)])[:-1]
+        odd_rows = iter(self._texts_ids(pa.array([p for pieces in cut for p in pieces], TEXT), starts))
+        return [next(odd_rows if is_odd else rows) for is_odd in odd.to_pylist()]

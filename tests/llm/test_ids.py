@@ -36,6 +36,40 @@ def test_encoder_is_the_library(name):
             assert ids.tolist() == e.ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_go_to_the_model(name):
+    """Latin words with signs behind them take no way through the library's patterns, and keep its ids."""
+    library = Tokenizer.from_str(vocabulary_file(name))
+    library.encode_special_tokens = True
+    encoder = Encoder(vocabulary_file(name))
+    rng = random.Random(5)
+    letters = [*"aeinorst" * 9, *map(chr, range(0x41, 0x5B)), *map(chr, range(0xC0, 0x250))]
+    signs = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+
+    def word():
+        stem = "".join(rng.choices(letters, k=rng.randint(1, 12)))
+        return stem + "".join(rng.choices(signs, k=rng.choice([0, 0, 0, 1, 1, 3])))
+
+    texts = ["".join(rng.choice([" ", " ", "\n"]) + word() for _ in range(300))[1:] for _ in range(40)]
+    texts += ["x" * 5000 + "!" * 700, "don't 'tis dogs' it's. I'LL", "İ", "aª bº c×d e÷", "<|endoftext|> a<|endoftext|>"]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    asked = []
+    encoder._ids = lambda texts: asked.extend(texts) or [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    fresh = "Wörter qui viennent,\nzwxv Straße, ÉTÉ pqrst!? nqzt."
+    assert encoder.encode([fresh])[0].tolist() == library.encode(fresh, add_special_tokens=False).ids
+    assert not any(c.isalpha() for text in asked for c in text)  # at most signs
+
+
+def test_other_patterns_are_kept():
+    """A tokenizer that cuts words itself gets them whole."""
+    file = vocabulary_file("word_bpe_49k.json").replace("[\\\\p{L}]+", "[\\\\p{L}]{1,3}")
+    assert file != vocabulary_file("word_bpe_49k.json")
+    texts = ["Wörter qui viennent, zwxv Straße", "abcdefg abc!"]
+    library = Tokenizer.from_str(file)
+    assert [x.tolist() for x in Encoder(file).encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.fixture(scope="module")
 def ranks():
     return bpe.read_ranks(vocabulary_file("byte_bpe_multi_50k.tiktoken"))
