@@ -54,7 +54,11 @@ RATE = 6  # a weight moves by 2 ** -RATE of its distance
 #: Weights of a prediction before anything is known, by its recent successes.
 START = np.array([6000, 26000, 40000, 50000], np.int64)
 #: What a symbol adds to the cumulative counts of 16.
-STEP = np.array([[GAIN * (k > s) for k in range(17)] for s in range(16)], np.uint16)
+STEP = np.array([[GAIN * (k >= s) for k in range(16)] for s in range(16)], np.uint16)
+#: Recent success of a prediction after it failed, and after it held.
+NEXT = np.array([0, 0, 1, 1, 1, 2, 3, 3])
+#: Times this, the upper byte is the sum of all eight.
+BYTES = np.uint64(0x0101010101010101)
 
 
 class CorruptBlock(ValueError):
@@ -67,52 +71,60 @@ class Model:
     def __init__(self, n: int, digits: int):
         self.n, self.digits = n, digits
         self.lane = np.arange(n)
-        self.by_one = np.full(n * SLOTS, -1, np.int32)
-        self.by_two = np.full(n * SLOTS, -1, np.int32)
-        self.sure_one = np.zeros(n * SLOTS, np.int8)
-        self.sure_two = np.zeros(n * SLOTS, np.int8)
+        self.first = self.lane * 16
+        # a prediction, -1 for none, and two bits of its recent success
+        self.by_one = np.full(n * SLOTS, -1 << 2, np.int32)
+        self.by_two = np.full(n * SLOTS, -1 << 2, np.int32)
         context = np.arange(32)
         # together the predictions leave order 0 a third at the start
         two, one = START[context >> 3], START[context >> 1 & 3]
         self.weight_two = np.tile(np.where(context & 1, two + one >> 1, two * 2 // 3), n)
         self.weight_one = np.tile(np.where(context & 1, 0, (ONE - two) * one // (2 * ONE)), n)
-        self.below = np.tile(np.arange(17, dtype=np.uint16), (n * digits * NODES, 1))
-        self.flat = self.below.reshape(-1)
+        # counts of the digits up to each; rows of 32 bytes, none in two lines of memory
+        room = np.empty(n * digits * NODES * 32 + 64, np.uint8)
+        at = -room.ctypes.data % 64
+        self.below = room[at : at + n * digits * NODES * 32].view(np.uint16).reshape(-1, 16)
+        self.below[:] = np.arange(1, 17)
+        self.whole = self.below.view("V32").reshape(-1)
         self.p1 = np.zeros(n, np.int64)
         self.p2 = np.zeros(n, np.int64)
 
     def begin(self, a: int) -> None:
         """Predictions for the next id of the first ``a`` blocks, and their odds against order 0."""
         p1, p2, lane = self.p1[:a], self.p2[:a], self.lane[:a]
-        self.at_one = lane * SLOTS + (p1 * 40503 >> 4) % SLOTS
-        self.at_two = lane * SLOTS + (p1 * 40503 + p2 * 30011 >> 3) % SLOTS
-        self.one, self.two = self.by_one[self.at_one], self.by_two[self.at_two]
-        s1, s2 = self.sure_one[self.at_one], self.sure_two[self.at_two]
+        mixed = p1 * 40503
+        self.at_one = lane * SLOTS + (mixed >> 4 & SLOTS - 1)
+        self.at_two = lane * SLOTS + (mixed + p2 * 30011 >> 3 & SLOTS - 1)
+        one, two = (t.take(at).astype(np.int64) for t, at in ((self.by_one, self.at_one), (self.by_two, self.at_two)))
+        self.one, self.two = one >> 2, two >> 2
+        self.sure_one, self.sure_two = s1, s2 = one & 3, two & 3
         same = self.one == self.two
         self.has_two = self.two >= 0
         self.has_one = (self.one >= 0) & ~same
         self.context = lane * 32 + s2 * 8 + s1 * 2 + same
-        self.w2, self.w1 = self.weight_two[self.context], self.weight_one[self.context]
+        self.w2, self.w1 = self.weight_two.take(self.context), self.weight_one.take(self.context)
         w2, w1 = self.w2 * self.has_two, self.w1 * self.has_one
         w0 = np.maximum(ONE - w2 - w1, FLOOR)
         self.odds_two, self.odds_one = (w2 << 16) // w0, (w1 << 16) // w0
-        self.nodes: list[np.ndarray] = []
+        self.nodes: list[tuple[np.ndarray, np.ndarray]] = []
 
     def digit(self, d: int, before: np.ndarray) -> None:
         """Makes ready digit ``d``, after the digits ``before``: order 0's node and the extra masses."""
         shift = 4 * (self.digits - 1 - d)
         a = len(before)
-        self.node = (self.lane[:a] * self.digits + d) * NODES + (before * 179 + (before >> 4) * 31) % NODES
-        self.nodes.append(self.node)
-        self.total = self.flat.take(self.node * 17 + 16).astype(np.int64)
+        node = (self.lane[:a] * self.digits + d) * NODES + (before * 179 + (before >> 4) * 31 & NODES - 1)
+        self.rows = self.below.take(node, axis=0)
+        self.nodes.append((node, self.rows))
+        self.total = self.rows[:, 15].astype(np.int64)
         self.digit_two, self.digit_one = self.two >> shift & 15, self.one >> shift & 15
         self.mass_two, self.mass_one = self.total * self.odds_two >> 16, self.total * self.odds_one >> 16
 
     def spans(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where the mixture puts ``symbol``: frequencies below it, its own, the total. Odds follow the digit."""
-        at = self.node * 17 + symbol
-        low = self.flat.take(at).astype(np.int64)
-        own = self.flat.take(at + 1) - low
+        upto = self.rows.reshape(-1)
+        at = self.first[: len(symbol)] + symbol
+        low = upto.take(at - 1).astype(np.int64) * (symbol > 0)
+        own = upto.take(at).astype(np.int64) - low
         fits_two, fits_one = self.digit_two == symbol, self.digit_one == symbol
         self.odds_two = np.minimum(self.odds_two * self.total // own, MOST) * fits_two
         self.odds_one = np.minimum(self.odds_one * self.total // own, MOST) * fits_one
@@ -122,15 +134,20 @@ class Model:
 
     def find(self, value: np.ndarray) -> np.ndarray:
         """The digit in whose span the values lie."""
-        swap = self.digit_one < self.digit_two
-        first, last = np.where(swap, self.digit_one, self.digit_two), np.where(swap, self.digit_two, self.digit_one)
-        mass_first = np.where(swap, self.mass_one, self.mass_two)
+        upto = self.rows.reshape(-1)
+        first = self.first[: len(value)]
+        one_first = self.digit_one < self.digit_two
         # back to order 0's own frequencies: a mass ends the span of its digit
-        for digit, mass in ((first, mass_first), (last, self.mass_one + self.mass_two - mass_first)):
-            end = self.flat.take(self.node * 17 + digit + 1).astype(np.int64)
-            value = np.where(value < end, value, np.maximum(value - mass, end - 1))
-        below = self.below.take(self.node, axis=0)[:, 1:]
-        return (below <= value.astype(np.uint16)[:, None]).sum(axis=1, dtype=np.int64)
+        own = value
+        for digit, mass, before in (
+            (self.digit_two, self.mass_two, self.mass_one * one_first),
+            (self.digit_one, self.mass_one, self.mass_two * ~one_first),
+        ):
+            past = value - before - upto.take(first + digit).astype(np.int64)
+            past += 1
+            own = own - np.minimum(np.maximum(past, 0, out=past), mass, out=past)
+        passed = (self.rows <= own.astype(np.uint16)[:, None]).view(np.uint64)
+        return ((passed[:, 0] + passed[:, 1]) * BYTES >> np.uint64(56)).astype(np.int64)
 
     def learn(self, a: int, ids: np.ndarray) -> None:
         """Moves weights by the share of the id each order explained; counts what was left to order 0."""
@@ -142,27 +159,24 @@ class Model:
             share = (part << 16) // odds
             weights[self.context] = now + has * (share - now >> RATE)
         rest = np.flatnonzero(odds < 2 * ONE)
-        for d, node in enumerate(self.nodes):
-            self._count(node[rest], ids[rest] >> 4 * (self.digits - 1 - d) & 15)
-        for table, sure, at, guess in (
-            (self.by_one, self.sure_one, self.at_one, self.one),
-            (self.by_two, self.sure_two, self.at_two, self.two),
+        left = ids.take(rest)
+        for d, (node, rows) in enumerate(self.nodes):
+            self._count(node.take(rest), rows.take(rest, axis=0), left >> 4 * (self.digits - 1 - d) & 15)
+        for table, at, guess, sure in (
+            (self.by_one, self.at_one, self.one, self.sure_one),
+            (self.by_two, self.at_two, self.two, self.sure_two),
         ):
-            hit = guess == ids
-            s = sure[at]
-            sure[at] = np.where(hit, np.minimum(s + 1, 3), s >> 1)
-            table[at] = np.where(hit | (s == 0), ids, guess)
+            table[at] = np.where(sure == 0, ids, guess) << 2 | NEXT.take((guess == ids) * 4 + sure)
         self.p2[:a] = self.p1[:a]
         self.p1[:a] = ids
 
-    def _count(self, node: np.ndarray, symbol: np.ndarray) -> None:
-        below = self.below.take(node, axis=0)
-        below += STEP.take(symbol, axis=0)
-        big = np.flatnonzero(below[:, 16] > LIMIT)
+    def _count(self, node: np.ndarray, rows: np.ndarray, symbol: np.ndarray) -> None:
+        rows += STEP.take(symbol, axis=0)
+        big = np.flatnonzero(rows[:, 15] > LIMIT)
         if len(big):
-            each = np.diff(below[big].astype(np.int64), axis=1)
-            below[big, 1:] = np.cumsum(each + 1 >> 1, axis=1)
-        self.below[node] = below
+            each = np.diff(rows[big].astype(np.int64), axis=1, prepend=0)
+            rows[big] = np.cumsum(each + 1 >> 1, axis=1)
+        self.whole[node] = rows.view("V32").reshape(-1)
 
 
 class Writer:
@@ -176,9 +190,11 @@ class Writer:
         r = self.range[:a] // total.astype(np.uint64)
         self.low[:a] += r * low.astype(np.uint64)
         r *= width.astype(np.uint64)
-        while len(small := np.flatnonzero(r < LEAST)):
+        small = np.flatnonzero(r < LEAST)
+        while len(small):
             self._emit(small)
-            r[small] <<= WORD
+            r[small] = wider = r.take(small) << WORD
+            small = small[wider < LEAST]
         self.range[:a] = r
 
     def _emit(self, lanes) -> None:
@@ -220,11 +236,13 @@ class Reader:
     def take(self, a: int, low, width) -> None:
         code = self.code[:a] - self.step * low.astype(np.uint64)
         r = self.step * width.astype(np.uint64)
-        while len(small := np.flatnonzero(r < LEAST)):
-            at = self.at[small]
-            code[small] = code[small] << WORD | self.words[small, np.minimum(at, self.words.shape[1] - 1)]
+        small = np.flatnonzero(r < LEAST)
+        while len(small):
+            at = self.at.take(small)
+            code[small] = code.take(small) << WORD | self.words[small, np.minimum(at, self.words.shape[1] - 1)]
             self.at[small] = at + 1
-            r[small] <<= WORD
+            r[small] = wider = r.take(small) << WORD
+            small = small[wider < LEAST]
         self.code[:a] = code
         self.range[:a] = r
 

@@ -153,6 +153,17 @@ def test_weights_follow_success():
     assert missed.weight_two[1] < start[1] / 10  # after (1, 2) the same id never comes twice
 
 
+def test_counts_lie_in_one_line_and_codes_stay():
+    """A row of counts is half a line of memory, and the code words are those of the first writer of the format."""
+    below = idcoder.Model(3, 4).below
+    assert below.ctypes.data % 64 == 0 and below.strides[0] == 32
+    blocks = [np.arange(k, 4000 + 37 * k) ** 2 % 977 * 7 for k in range(40)] + [np.tile([5, 6, 7, 60000], 900)]
+    coded = idcoder.encode_ids(blocks)
+    assert zlib.crc32(b"".join(coded)) == 984723849
+    for a, b in zip(blocks, idcoder.decode_ids(coded, [len(b) for b in blocks])):
+        assert a.tolist() == b.tolist()
+
+
 def test_wide_ids_come_back():
     wide = [np.array([0, 1, 200_000, 1_000_000, 200_000, 1_000_000])]
     assert idcoder.decode_ids(idcoder.encode_ids(wide, 5), [6], 5)[0].tolist() == wide[0].tolist()
