@@ -1,23 +1,29 @@
-"""Token ids in a compact file format: context mixing and range coding in independent blocks.
-
-Model, per block, starting from nothing: the id last seen after the two ids before
-(order 2), after the one before (order 1), and counts of ids by their hexadecimal
-digits (order 0). Their predictions are mixed into one distribution: an id has order
-0's probability for it, times that order's weight, plus the weights of the orders that
-predict it. It is coded digit by digit from that mixture: each digit's frequencies are
-order 0's counts plus a mass at the digit of each prediction that still fits, and a
-digit multiplies the odds of the predictions that fit by how unlikely order 0 thought
-it. The share of the id that each order explained moves its weight, kept for every
-combination of recent success of both predictions. A range coder turns the digits into
-16-bit words.
+"""Token ids in a compact file format: context mixing and range coding in blocks.
+
+Files are written by the model of ``idmix``: one mixture of orders 0 to 2 and one step of
+the range coder an id. Blocks that are coded side by side share a table of order 0; the
+table is a row of its own before theirs.
+
+Files of the format before (``IDB2``) are still read. Its model, per block, starting from
+nothing: the id last seen after the two ids before (order 2), after the one before
+(order 1), and counts of ids by their hexadecimal digits (order 0). Their predictions are
+mixed into one distribution: an id has order 0's probability for it, times that order's
+weight, plus the weights of the orders that predict it. It is coded digit by digit from
+that mixture: each digit's frequencies are order 0's counts plus a mass at the digit of
+each prediction that still fits, and a digit multiplies the odds of the predictions that
+fit by how unlikely order 0 thought it. The share of the id that each order explained
+moves its weight, kept for every combination of recent success of both predictions. A
+range coder turns the digits into 16-bit words.
 
 Numpy codes many blocks side by side, one step of each at a time; the numbers are
 integers throughout, so every machine decodes what any other encoded.
 
 A block: magic, digits of an id, number of ids, number of documents pieces, first
-and last piece's state, then per piece doc_id and length, then the words; a crc32
-of all before closes it. Blocks are rows of Parquet files (shard, block, data), so any
-storage that Spark writes to holds them, and a failed task leaves none behind.
+and last piece's state, then per piece doc_id and length, then the words, behind the
+crc32 of their table if they have one; a crc32 of all before closes it. A table: magic,
+ids and frequencies, crc32. Both are rows of Parquet files (shard, block, data), so any
+storage that Spark writes to holds them, and a failed task leaves none behind. A block's
+table is the last one before it in its shard.
 """
 
 from __future__ import annotations
@@ -34,13 +40,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lanewise.llm import idmix
 from lanewise.llm.common import text_batches
 from lanewise.llm.tokens import Encoder
 from lanewise.session import ship_with_tasks
 
 ship_with_tasks(__name__)
 
-MAGIC = b"IDB2"
+MAGIC, MIXED, TABLE = b"IDB2", b"IDB3", b"IDT3"
 HEAD = "<4sBIIII"
 LEAST = np.uint64(1 << 32)  # of a coder's range between symbols
 WORD = np.uint64(16)
@@ -319,21 +326,25 @@ class Piece:
 PIECE = "<?qI??"
 
 
-def seal(code: bytes, pieces: list[Piece], digits: int) -> bytes:
+def seal(code: bytes, pieces: list[Piece], digits: int, magic: bytes = MAGIC) -> bytes:
     table = b"".join(
         struct.pack(PIECE, p.doc_id is None, p.doc_id or 0, p.length, p.begins, p.ends) for p in pieces
     )
-    head = struct.pack(HEAD, MAGIC, digits, sum(p.length for p in pieces), len(pieces), len(table), len(code))
+    head = struct.pack(HEAD, magic, digits, sum(p.length for p in pieces), len(pieces), len(table), len(code))
     body = head + table + code
     return body + struct.pack("<I", zlib.crc32(body))
 
 
-def unseal(data: bytes) -> tuple[bytes, list[Piece], int]:
-    """Code, pieces and digits of a block; raises ``CorruptBlock`` if a byte is wrong or missing."""
-    if len(data) < struct.calcsize(HEAD) + 4 or data[:4] != MAGIC:
+def _whole(data: bytes, magics: tuple[bytes, ...], least: int) -> None:
+    if len(data) < least + 4 or data[:4] not in magics:
         raise CorruptBlock("not a block of token ids")
     if struct.unpack("<I", data[-4:])[0] != zlib.crc32(data[:-4]):
         raise CorruptBlock("checksum of a block of token ids is wrong")
+
+
+def unseal(data: bytes) -> tuple[bytes, list[Piece], int]:
+    """Code, pieces and digits of a block; raises ``CorruptBlock`` if a byte is wrong or missing."""
+    _whole(data, (MAGIC, MIXED), struct.calcsize(HEAD))
     _, digits, _, n, table, code = struct.unpack_from(HEAD, data)
     at, size = struct.calcsize(HEAD), struct.calcsize(PIECE)
     pieces = []
@@ -343,6 +354,27 @@ def unseal(data: bytes) -> tuple[bytes, list[Piece], int]:
     return data[at + table : at + table + code], pieces, digits
 
 
+def seal_group(blocks: list[tuple[np.ndarray, list[Piece]]], digits: int) -> list[bytes]:
+    """The table of some blocks of ids below 16 ** digits, and the blocks."""
+    table, coded = idmix.encode([ids for ids, _ in blocks])
+    body = TABLE + table.pack()
+    mark = struct.pack("<I", zlib.crc32(body))
+    return [body + mark, *(seal(mark + c, pieces, digits, MIXED) for c, (_, pieces) in zip(coded, blocks))]
+
+
+def unseal_table(data: bytes) -> tuple[bytes, idmix.Table]:
+    """What the blocks of a table begin their code with, and the table."""
+    _whole(data, (TABLE,), len(TABLE))
+    return data[-4:], idmix.Table.unpack(data[4:-4])
+
+
+def open_group(coded: list[bytes], sizes: list[int], table: tuple[bytes, idmix.Table] | None) -> list[np.ndarray]:
+    """The ids of blocks coded with ``table``."""
+    if table is None or any(c[:4] != table[0] for c in coded):
+        raise CorruptBlock("the table of a block of token ids is missing")
+    return idmix.decode(table[1], [c[4:] for c in coded], sizes)
+
+
 def write(
     docs: DataFrame, tokenizer: str, path: str, end: int = 2, block: int = 4096, together: int = 2048, digits: int = 4
 ) -> None:
@@ -364,13 +396,12 @@ def write(
 
         def emit():
             nonlocal number, full
-            coded = encode_ids([b for b, _ in full], digits)
-            data = [seal(c, p, digits) for c, (_, p) in zip(coded, full)]
+            data = seal_group(full, digits)
             rows = pa.RecordBatch.from_arrays(
                 [
                     pa.array([shard] * len(data), pa.int32()),
                     pa.array(range(number, number + len(data)), pa.int64()),
-                    pa.array([len(b) for b, _ in full], pa.int64()),
+                    pa.array([0, *(len(b) for b, _ in full)], pa.int64()),
                     pa.array(data, pa.binary()),
                 ],
                 names=["shard", "block", "n_tokens", "data"],
@@ -409,8 +440,8 @@ def write(
 def read(spark: SparkSession, path: str, together: int = 2048) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens, ids_crc32 of the documents below ``path``.
 
-    A shard is read in one task, and every task reads as many shards, in batches of ``together`` blocks; ids of one
-    document are checked as they come and never gathered.
+    A shard is read in one task, and every task reads as many shards, up to ``together`` blocks of a table at once; ids
+    of one document are checked as they come and never gathered.
     """
     blocks = spark.read.parquet(path)
     sizes = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
@@ -422,31 +453,46 @@ def read(spark: SparkSession, path: str, together: int = 2048) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = {"shard": None, "at": 0, "crc": 0, "n": 0, "start": 0}
+        table, kind = None, b""
+        waiting: list[tuple[int, bytes, list[Piece], int]] = []
+
+        def emit():
+            nonlocal waiting
+            sizes = [sum(p.length for p in pieces) for _, _, pieces, _ in waiting]
+            coded = [c for _, c, _, _ in waiting]
+            ids = open_group(coded, sizes, table) if kind == MIXED else decode_ids(coded, sizes, waiting[0][3])
+            out = []
+            for (shard, _, pieces, _), x in zip(waiting, ids):
+                if shard != state["shard"]:
+                    state.update(shard=shard, at=0)
+                data = x.astype("<u4").tobytes()
+                k = 0
+                for p in pieces:
+                    if p.begins:
+                        state.update(crc=0, n=0, start=state["at"])
+                    state["crc"] = zlib.crc32(data[4 * k : 4 * (k + p.length)], state["crc"])
+                    state["n"] += p.length
+                    state["at"] += p.length
+                    k += p.length
+                    if p.ends:
+                        out.append((shard, p.doc_id, state["start"], state["n"], state["crc"]))
+            waiting = []
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 5, (pa.int32(), *[pa.int64()] * 4))],
+                names=["shard", "doc_id", "at", "n_tokens", "ids_crc32"],
+            )
+
         for batch in batches:
-            for at in range(0, batch.num_rows, together):
-                part = batch.slice(at, together)
-                opened = [unseal(x.as_buffer().to_pybytes()) for x in part.column("data")]
-                digits = opened[0][2]
-                ids = decode_ids([c for c, _, _ in opened], [sum(p.length for p in q) for _, q, _ in opened], digits)
-                out = []
-                for shard, x, (_, pieces, _) in zip(part.column("shard").to_pylist(), ids, opened):
-                    if shard != state["shard"]:
-                        state |= {"shard": shard, "at": 0}
-                    data = x.astype("<u4").tobytes()
-                    k = 0
-                    for p in pieces:
-                        if p.begins:
-                            state |= {"crc": 0, "n": 0, "start": state["at"]}
-                        state["crc"] = zlib.crc32(data[4 * k : 4 * (k + p.length)], state["crc"])
-                        state["n"] += p.length
-                        state["at"] += p.length
-                        k += p.length
-                        if p.ends:
-                            out.append((shard, p.doc_id, state["start"], state["n"], state["crc"]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 5, (pa.int32(), *[pa.int64()] * 4))],
-                    names=["shard", "doc_id", "at", "n_tokens", "ids_crc32"],
-                )
+            for shard, data in zip(batch.column("shard").to_pylist(), batch.column("data").to_pylist()):
+                if waiting and (data[:4] != kind or len(waiting) == together):
+                    yield emit()
+                kind = data[:4]
+                if kind == TABLE:
+                    table = unseal_table(data)
+                else:
+                    waiting.append((shard, *unseal(data)))
+        if waiting:
+            yield emit()
 
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = (

@@ -11,7 +11,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from lanewise.llm import bpe, chat, idcoder, packing
+from lanewise.llm import bpe, chat, idcoder, idmix, packing
 from lanewise.llm.common import vocabulary_file
 from lanewise.llm.queries import QUERIES, chat_digest
 from lanewise.llm.tokens import Encoder
@@ -196,6 +196,94 @@ def test_id_files(spark, odd_docs, no_docs, tmp_path):
     assert idcoder.read(spark, f"{tmp_path}/none").count() == 0
 
 
+def some_blocks(seed=4):
+    rng = np.random.default_rng(seed)
+    blocks = [np.minimum(rng.zipf(1.3, int(rng.integers(1, 700))), 65535) for _ in range(40)]
+    blocks += [np.zeros(3000, int), np.array([65535]), np.tile([5, 6, 7, 60000], 500), rng.integers(0, 65536, 900)]
+    return blocks + [np.tile(rng.integers(0, 3000, 60), 30) for _ in range(5)]
+
+
+def test_groups_come_back():
+    blocks = some_blocks()
+    wide = [np.array([0, 1, 200_000, 4_000_000_000, 200_000]), np.array([1 << 20])]
+    many = [*np.arange(600_000).reshape(1500, 400)]  # more symbols than the usual total of frequencies has room for
+    for group in (blocks, wide, [np.array([9])], many):
+        table, coded = idmix.encode(group)
+        again = idmix.Table.unpack(table.pack())
+        assert again.ids.tolist() == table.ids.tolist() and again.below.tolist() == table.below.tolist()
+        for a, b in zip(group, idmix.decode(again, coded, [len(b) for b in group])):
+            assert a.tolist() == b.tolist()
+    table, coded = idmix.encode(blocks)
+    assert idmix.decode(table, coded[7:8], [len(blocks[7])])[0].tolist() == blocks[7].tolist()  # without the others
+
+
+def test_an_id_is_one_step(monkeypatch):
+    """The range coder takes an id in one step, not digit by digit, and stores no more bits than digits do."""
+    rng = np.random.default_rng(6)
+    blocks = [rng.zipf(1.3, int(n)) % 3000 for n in rng.integers(900, 1500, 60)]
+    calls = []
+    put = idmix.Writer.put
+    monkeypatch.setattr(idmix.Writer, "put", lambda self, a, *spans: calls.append(a) or put(self, a, *spans))
+    table, coded = idmix.encode(blocks)
+    assert len(calls) == max(map(len, blocks)) and sum(calls) == sum(map(len, blocks))
+    assert len(table.pack()) + sum(map(len, coded)) < sum(map(len, idcoder.encode_ids(blocks)))
+
+
+def test_whole_ids_are_mixed():
+    """An id's frequency holds every order, all spans fill the total, and weights follow what the orders explain."""
+    sequence = np.array([3, 70, 3, 70, 3, 80, 3, 70, 3, 70, 9, 9, 9])
+    table, symbols = idmix.Table.of(np.tile(sequence, 20))
+    lookup, m = table.lookup(), idmix.Mixer(1, table)
+    total = 1 << table.bits + idmix.PARTS
+    last = before = np.zeros((1, 1), np.int64)
+    named = 0
+    for x in symbols:
+        m.begin(m.places(last, before)[0])
+        spans = []
+        for k in range(table.none):
+            k = np.array([k], np.int32)
+            low, own = m.spans(k, table.below.take(k), table.own.take(k))
+            spans.append((int(low[0]), int(own[0])))
+            for value in (low, low + own - 1):
+                assert m.find(value, lookup)[0] == k[0]
+        assert spans[0][0] == 0 and all(own > 0 for _, own in spans)
+        assert all(low + own == nxt for (low, own), nxt in zip(spans, [*(s[0] for s in spans[1:]), total]))
+        now = np.array([x], np.int32)
+        _, own = m.spans(now, table.below.take(now), table.own.take(now))
+        named += int(own[0]) > total // 2 > int(table.own[x]) * total >> table.bits
+        m.learn(now)
+        last, before = now.astype(np.int64)[None], last
+    assert named > 0.6 * len(symbols)
+    start = idmix.FIRST >> 16
+    assert (m.weights[:: 1 << m.shift] >> 16).max() > start.max()
+
+
+def test_tables_are_checked():
+    table, *blocks = idcoder.seal_group([(b, [idcoder.Piece(1, len(b), True, True)]) for b in some_blocks()], 4)
+    opened = idcoder.unseal_table(table)
+    code, pieces, digits = idcoder.unseal(blocks[3])
+    assert digits == 4 and idcoder.open_group([code], [pieces[0].length], opened)[0].tolist() == some_blocks()[3].tolist()
+    other = idcoder.unseal_table(idcoder.seal_group([(np.arange(9), [])], 4)[0])
+    for wrong in (None, other):
+        with pytest.raises(idcoder.CorruptBlock):
+            idcoder.open_group([code], [pieces[0].length], wrong)
+    for at in (0, 9, len(table) - 1):
+        with pytest.raises(idcoder.CorruptBlock):
+            idcoder.unseal_table(table[:at] + bytes([table[at] ^ 1]) + table[at + 1 :])
+
+
+def test_files_of_the_format_before_are_read(spark, tmp_path):
+    ids = [np.arange(k, 90 + 3 * k) ** 2 % 977 for k in range(5)]
+    blocks = [idcoder.seal(c, [idcoder.Piece(k, len(x), True, True)], 4) for k, (c, x) in enumerate(zip(idcoder.encode_ids(ids), ids))]
+    rows = [(0, k, len(ids[k]), bytearray(b)) for k, b in enumerate(blocks)]
+    table, *more = idcoder.seal_group([(ids[0], [idcoder.Piece(5, len(ids[0]), True, True)])], 4)
+    rows += [(0, 5, 0, bytearray(table)), (0, 6, len(ids[0]), bytearray(more[0]))]
+    spark.createDataFrame(rows, "shard int, block long, n_tokens long, data binary").write.parquet(f"{tmp_path}/ids")
+    got = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in idcoder.read(spark, f"{tmp_path}/ids").collect())
+    starts = np.cumsum([0, *map(len, ids)]).tolist()
+    assert got == [(starts[k], k, len(x), zlib.crc32(x.astype("<u4").tobytes())) for k, x in enumerate([*ids, ids[0]])]
+
+
 # --- packing
 
 
