@@ -384,10 +384,13 @@ def write(
     alone. Null doc_ids come first; rows of one doc_id all stay, in any order. The
     table is sorted by ranges of doc_id, so no task holds more than its range.
     """
-    file = docs.sparkSession.sparkContext.broadcast(tokenizer)
+    # a worker keeps a broadcast value from task to task, and with it the encoder and the words it remembers
+    kept = docs.sparkSession.sparkContext.broadcast({"file": tokenizer})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(file.value)
+        encoder = kept.value.get("encoder")
+        if encoder is None:
+            encoder = kept.value["encoder"] = Encoder(kept.value["file"])
         shard, number = TaskContext.get().partitionId(), 0
         full: list[tuple[np.ndarray, list[Piece]]] = []
         ids: list[np.ndarray] = []

@@ -126,16 +126,18 @@ class Encoder:
 
     def _spelled(self, names: list[str]) -> list[str]:
         """Words of letters as the model spells them: after a space, or after a mark without one."""
-        text = "\n".join(names)
-        if not text.isascii():
-            text = text.encode().decode("latin-1").translate(BYTES)
-        return [self.space + w if w[0] != MARK else w[1:] for w in text.split("\n")]
+        wide = [w for w in names if not w.isascii()]
+        if wide:
+            # only these change: a character at a time is slow
+            text = "\n".join(wide).encode().decode("latin-1").translate(BYTES)
+            written = iter(text.split("\n"))
+            names = [w if w.isascii() else next(written) for w in names]
+        return [self.space + w if w[0] != MARK else w[1:] for w in names]
 
     def _learn(self, words: list[str], odd: list[str]) -> None:
         """Remembers names of words of letters, and of any other pieces."""
         known, tokenize = self.known, self.model.tokenize
-        if words:
-            known.update((p, _bytes([t.id for t in tokenize(w)])) for p, w in zip(words, self._spelled(words)))
+        known.update(zip(words, [_bytes([t.id for t in tokenize(w)]) for w in self._spelled(words)]))
         alone, joined = [], []
         for p in odd:
             (alone if p[:1] in (MARK, "\n") else joined).append(p)
@@ -155,7 +157,8 @@ class Encoder:
             for p, end in zip(group, ends.tolist()):
                 known[p] = data[4 * begin : 4 * (end + 1 - width)]
                 begin = end + 1
-        self.held += sum(self.ENTRY + len(p) + len(known[p]) for part in (words, odd) for p in part)
+        for part in (words, odd):
+            self.held += self.ENTRY * len(part) + sum(map(len, part)) + sum(map(len, map(known.__getitem__, part)))
 
     def _known(self, names: pa.Array, word: bool) -> Parts:
         """Ids of distinct names, all of words or all of other pieces."""
