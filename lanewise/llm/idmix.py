@@ -33,6 +33,7 @@ RATE = 6  # a weight moves by 2 ** -RATE of its distance
 SURE = np.float64(32512)  # a weight at most, of 2 ** FINE: order 0 always keeps a part
 SLOTS = 11  # bits of a slot of a prediction table
 HASH_ONE, HASH_TWO = 2654435769, 2246822519
+SOME = 1 << 16  # ids counted at once
 AHEAD = 16  # steps for which the encoder finds places at once
 LEAST, WORD, STATE = 36, 24, 60  # bits: of a range between ids, of a word, of the first range
 
@@ -82,8 +83,13 @@ class Table:
     def of(cls, ids: np.ndarray) -> tuple[Table, np.ndarray]:
         """The table of some ids, and their symbols."""
         top = int(ids.max())
+        # some ids at a time, so that wider copies of them stay in the cache
+        parts = [slice(at, at + SOME) for at in range(0, len(ids), SOME)]
         if top < 1 << 20:
-            counts = np.bincount(ids)
+            counts = np.zeros(top + 1, np.int64)
+            for part in parts:
+                some = np.bincount(ids[part])
+                counts[: len(some)] += some
             found = np.flatnonzero(counts)
             counts = counts[found]
         else:
@@ -96,7 +102,10 @@ class Table:
         if top < 1 << 20:
             by_id = np.zeros(top + 1, np.int32)
             by_id[found] = rank
-            return cls(found, frequencies), by_id.take(ids)
+            symbols = np.empty(len(ids), np.int32)
+            for part in parts:
+                symbols[part] = by_id.take(ids[part])
+            return cls(found, frequencies), symbols
         return cls(found, frequencies), rank.take(place)
 
     def pack(self) -> bytes:
@@ -206,7 +215,10 @@ class Mixer:
         packed = weight[1] << 16
         packed |= weight[0]
         self.weights[self.spot] = packed
-        after = np.where(self.sure < 2, symbol << 3, self.entry)
+        # the new id where an entry is new or failed
+        after = (symbol << 3) - self.entry
+        after *= self.sure < 2
+        after += self.entry
         success = self.fits * EIGHT
         success += self.sure
         after += MOVE.take(success)
@@ -275,11 +287,12 @@ class Reader:
     def value(self, a: int) -> np.ndarray:
         self.step = self.range[:a] >> self.bits
         code = self.code[:a]
-        # doubles are off by one at most
         value = (code / self.step).astype(np.int64)
+        # doubles are off by one at most, and seldom; what is below 0 is far above as an unsigned number
         left = code - value * self.step
-        value -= left < 0
-        value += left >= self.step
+        if (left.view(np.uint64) >= self.step.view(np.uint64)).any():
+            value -= left < 0
+            value += left >= self.step
         return value
 
     def take(self, a: int, low: np.ndarray, own: np.ndarray) -> None:

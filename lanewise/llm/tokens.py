@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +40,13 @@ PLAIN = rf"^(?P<head>[\n{MARK}]?)(?P<word>[A-Za-zÀ-ÖØ-öø-įı-ɏ]+)(?P<sign
 #: Byte-level models write a byte as a visible character: itself or, if it is none, one from U+0100 on.
 VISIBLE = [b for b in range(256) if 33 <= b < 127 or 161 <= b != 173]
 BYTES = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in VISIBLE) if chr(b) not in f"\n{MARK}"}
+WRITTEN = np.array([ord(BYTES.get(b, chr(b))) for b in range(256)], "<u2")
 
 #: The groups of a pattern that fits no piece.
 NONE = r"^(?P<head>x)(?P<word>x)(?P<signs>x)\b\B"
 
 TEXT = pa.large_string()
+RUN = pa.large_binary()
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -55,37 +58,50 @@ def _behind_mark(names: pa.Array) -> pa.Array:
 
 
 class Parts:
-    """Runs of ids, one after another in ``ids``."""
+    """Runs of ids, one after another; Arrow copies them as their bytes."""
 
-    def __init__(self, ids: np.ndarray, sizes: np.ndarray):
-        self.ids, self.sizes = ids, sizes
-        self.starts = np.cumsum(sizes) - sizes
+    def __init__(self, data: pa.Array):
+        self.data = data
 
     @classmethod
     def of(cls, runs: list[bytes]) -> Parts:
-        return cls(np.frombuffer(b"".join(runs), np.uint32), np.fromiter(map(len, runs), np.int64, len(runs)) // 4)
+        return cls(pa.array(runs, RUN))
 
-    def take(self, index: np.ndarray) -> Parts:
+    @classmethod
+    def all(cls, parts: list[Parts]) -> Parts:
+        return cls(pa.concat_arrays([p.data for p in parts]))
+
+    def __len__(self) -> int:
+        return len(self.data)
+
+    def take(self, index: np.ndarray | pa.Array) -> Parts:
         """The runs ``index``, in that order."""
-        sizes = self.sizes[index]
-        at = np.repeat(self.starts[index] - (np.cumsum(sizes) - sizes), sizes)
-        at += np.arange(len(at))
-        return Parts(self.ids[at], sizes)
+        return Parts(self.data.take(pa.array(index)))
+
+    def _laid(self) -> tuple[np.ndarray, pa.Buffer | None]:
+        """Where runs begin and the last ends, in bytes, and the bytes."""
+        _, offsets, data = self.data.buffers()
+        return np.frombuffer(offsets, np.int64)[self.data.offset : self.data.offset + len(self) + 1], data
 
     def runs(self) -> list[np.ndarray]:
-        return [self.ids[a : a + n] for a, n in zip(self.starts.tolist(), self.sizes.tolist())]
+        ends, data = self._laid()
+        ids = np.frombuffer(data or b"", np.uint32, ends[-1] // 4)
+        ends = (ends // 4).tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
     def joined(self, starts: np.ndarray) -> Parts:
         """Runs joined to longer ones that begin at the runs ``starts``; the last ends with the last run."""
-        ends = np.append(0, np.cumsum(self.sizes))
-        return Parts(self.ids, np.diff(ends[np.append(starts, len(self.sizes))]))
+        ends, data = self._laid()
+        ends = ends.take(np.append(starts, len(self)))
+        return Parts(pa.Array.from_buffers(RUN, len(starts), [None, pa.py_buffer(ends), data]))
 
 
 class Encoder:
     """Ids of texts as the tokenizers library gives them, without special tokens.
 
     ``file`` is the content of the tokenizer file. Words and odd pieces are remembered in about
-    ``cache_bytes``, and those of one call besides; then all are forgotten.
+    ``cache_bytes``, and those of one call besides; then no more are, until as many had to be encoded anew as are
+    remembered, and all are forgotten.
     """
 
     #: What a remembered piece takes besides its characters and ids: two objects and a place in a table.
@@ -102,17 +118,20 @@ class Encoder:
         self.model = self.library.model
         self.cache_bytes, self.held = cache_bytes, 0
         self.known: dict[str, bytes] = {}
+        #: Pieces encoded since the room is full.
+        self.passed = 0
         #: Letters of either case then have the same ids; without it, case matters.
         self.lowers = '"Lowercase"' in file
         self.mark = np.array(self._ids([f" {MARK}"])[0], np.uint32)
         self.line = _bytes(self._ids(["\n"])[0])
-        #: What a model's word begins with after a space; nothing if the tokenizer drops blanks.
-        self.space = BYTES[32] if len({tuple(i) for i in self._ids([" a", "a"])}) == 2 else ""
+        #: What a word begins with after a space; nothing if the tokenizer drops blanks.
+        self.space = " " if len({tuple(i) for i in self._ids([" a", "a"])}) == 2 else ""
         self.plain = PLAIN
         probes = [(h, w + t) for h in (" ", "\n", "") for w in ("the", "Éßœɏ", "Qxzj") for t in ("", ",", "?!'")]
         names = pa.array([{" ": "", "": MARK}.get(h, h) + p for h, p in probes], TEXT)
         if [x.tolist() for x in self._pieces_ids(names).runs()] != self._ids([h + p for h, p in probes]):
             self.plain = NONE  # the tokenizer does not leave such words whole
+            self.known, self.held = {}, 0
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -126,20 +145,26 @@ class Encoder:
 
     def _spelled(self, names: list[str]) -> list[str]:
         """Words of letters as the model spells them: after a space, or after a mark without one."""
-        wide = [w for w in names if not w.isascii()]
-        if wide:
-            # only these change: a character at a time is slow
-            text = "\n".join(wide).encode().decode("latin-1").translate(BYTES)
-            written = iter(text.split("\n"))
-            names = [w if w.isascii() else next(written) for w in names]
-        return [self.space + w if w[0] != MARK else w[1:] for w in names]
-
-    def _learn(self, words: list[str], odd: list[str]) -> None:
-        """Remembers names of words of letters, and of any other pieces."""
-        known, tokenize = self.known, self.model.tokenize
-        known.update(zip(words, [_bytes([t.id for t in tokenize(w)]) for w in self._spelled(words)]))
+        text = "\n".join([self.space + w if w[0] != MARK else w[1:] for w in names]).encode()
+        return WRITTEN.take(np.frombuffer(text, np.uint8)).tobytes().decode("utf-16-le").split("\n")
+
+    def _words(self, names: list[str]) -> list[bytes]:
+        """Ids of words of letters."""
+        tokenize, runs = self.model.tokenize, []
+        for at in range(0, len(names), 1 << 16):
+            ids, ends = array("I"), [0]
+            for w in self._spelled(names[at : at + (1 << 16)]):
+                ids.extend([t.id for t in tokenize(w)])
+                ends.append(4 * len(ids))
+            data = ids.tobytes()
+            runs += [data[a:b] for a, b in zip(ends, ends[1:])]
+        return runs
+
+    def _odd(self, names: list[str]) -> list[bytes]:
+        """Ids of any pieces."""
+        known: dict[str, bytes] = {}
         alone, joined = [], []
-        for p in odd:
+        for p in names:
             (alone if p[:1] in (MARK, "\n") else joined).append(p)
         for at in range(0, len(alone), 1024):
             part = alone[at : at + 1024]
@@ -157,15 +182,23 @@ class Encoder:
             for p, end in zip(group, ends.tolist()):
                 known[p] = data[4 * begin : 4 * (end + 1 - width)]
                 begin = end + 1
-        for part in (words, odd):
-            self.held += self.ENTRY * len(part) + sum(map(len, part)) + sum(map(len, map(known.__getitem__, part)))
+        return [known[p] for p in names]
 
-    def _known(self, names: pa.Array, word: bool) -> Parts:
-        """Ids of distinct names, all of words or all of other pieces."""
+    def _known(self, names: pa.Array, encode: Callable[[list[str]], list[bytes]]) -> Parts:
+        """Ids of distinct names, all of words or all of other pieces; ``encode`` gives those of new ones."""
         listed = names.to_numpy(zero_copy_only=False).tolist()
-        fresh = [p for p in listed if p not in self.known]
-        self._learn(*((fresh, []) if word else ([], fresh)))
-        return Parts.of([self.known[p] for p in listed])
+        runs = list(map(self.known.get, listed))
+        missing = [p for p, run in zip(listed, runs) if run is None]
+        if missing:
+            fresh = encode(missing)
+            if self.held > self.cache_bytes:
+                self.passed += len(missing)
+            else:
+                self.known.update(zip(missing, fresh))
+                self.held += self.ENTRY * len(missing) + sum(map(len, missing)) + sum(map(len, fresh))
+            rest = iter(fresh)
+            runs = [next(rest) if run is None else run for run in runs]
+        return Parts.of(runs)
 
     def _pieces_ids(self, pieces: pa.Array) -> Parts:
         """Ids of distinct pieces: of what a word begins with, of the word and of the signs behind it."""
@@ -177,35 +210,30 @@ class Encoder:
         if self.space:
             word = pc.if_else(pc.equal(head, ""), word, _behind_mark(word))
         word, signs = word.dictionary_encode(), _behind_mark(signs).dictionary_encode()
-        words = self._known(word.dictionary, True)
-        ends = self._known(signs.dictionary, False)
-        odd = self._known(pieces.filter(pc.invert(plain)), False)
-        line = Parts.of([b"", self.line])
-        every = Parts(
-            np.concatenate([x.ids for x in (line, words, ends, odd)]),
-            np.concatenate([x.sizes for x in (line, words, ends, odd)]),
-        )
+        words = self._known(word.dictionary, self._words)
+        ends = self._known(signs.dictionary, self._odd)
+        odd = self._known(pieces.filter(pc.invert(plain)), self._odd)
+        parts = [Parts.of([b"", self.line]), words, ends, odd]
         is_plain = plain.to_numpy(zero_copy_only=False)
         index = np.zeros((len(pieces), 3), np.int64)
         at = 2
         index[is_plain, 0] = pc.equal(head, "\n").to_numpy(zero_copy_only=False)
         index[is_plain, 1] = word.indices.to_numpy() + at
-        at += len(words.sizes)
+        at += len(words)
         index[is_plain, 2] = signs.indices.to_numpy() + at
-        at += len(ends.sizes)
-        index[~is_plain, 1] = np.arange(len(odd.sizes)) + at
-        return every.take(index.reshape(-1)).joined(np.arange(0, index.size, 3))
+        at += len(ends)
+        index[~is_plain, 1] = np.arange(len(odd)) + at
+        return Parts.all(parts).take(index.reshape(-1)).joined(np.arange(0, index.size, 3))
 
     def _texts_ids(self, pieces: pa.Array, starts: np.ndarray) -> list[np.ndarray]:
         """Ids of the texts whose pieces begin at ``starts``."""
         coded = pieces.dictionary_encode()
-        return self._pieces_ids(coded.dictionary).take(coded.indices.to_numpy()).joined(starts).runs()
+        return self._pieces_ids(coded.dictionary).take(coded.indices).joined(starts).runs()
 
     def encode(self, texts: list[str | None] | pa.Array) -> list[np.ndarray]:
         """The ids of each text as 32-bit numbers; null texts count as empty."""
-        if self.held > self.cache_bytes:
-            self.known.clear()
-            self.held = 0
+        if self.passed > len(self.known):
+            self.known, self.held, self.passed = {}, 0, 0
         texts = (pa.array(texts, TEXT) if isinstance(texts, list) else texts.cast(TEXT)).fill_null("")
         odd = pc.match_substring_regex(texts, ODD)
         even = pc.replace_substring(texts.filter(pc.invert(odd)), "\n", " \n")

@@ -70,6 +70,55 @@ def test_other_patterns_are_kept():
     assert [x.tolist() for x in Encoder(file).encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_probes_are_not_remembered():
+    """The words that show a tokenizer to cut words have its ids afterwards."""
+    file = vocabulary_file("word_bpe_49k.json").replace("[\\\\p{L}]+", "[\\\\p{L}]{1,3}")
+    text = "so qxzj and éßœɏ"
+    assert Encoder(file).encode([text])[0].tolist() == Tokenizer.from_str(file).encode(text, add_special_tokens=False).ids
+
+
+def test_words_stay_remembered_when_the_room_is_full():
+    """A full room is kept until as many words as it holds were encoded anew."""
+
+    class Counted:
+        def __init__(self, model):
+            self.model, self.n = model, 0
+
+        def tokenize(self, word):
+            self.n += 1
+            return self.model.tokenize(word)
+
+    library = Tokenizer.from_str(vocabulary_file("byte_bpe_50k.json"))
+    encoder = Encoder(vocabulary_file("byte_bpe_50k.json"), cache_bytes=20_000)
+    model = encoder.model = Counted(encoder.model)
+
+    def asked(k, n):
+        text = " ".join("w" + "".join("aeioubdg"[i >> 3 * j & 7] for j in range(4)) for i in range(k, k + n))
+        before = model.n
+        assert encoder.encode([text, None, ""])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        return model.n - before
+
+    assert asked(0, 300) == 300 and encoder.held > encoder.cache_bytes
+    assert asked(0, 300) == 0  # the first call filled the room; its words stay
+    assert asked(1000, 100) == 100 and asked(1000, 100) == 100  # the rest is encoded each time
+    assert asked(0, 300) == 0
+    assert asked(2000, 200) == 200 and len(encoder.known) > 300
+    asked(0, 1)
+    assert len(encoder.known) < 10 and asked(0, 300) >= 299  # as many were new as it held: all forgotten
+
+
+def test_counts_of_many_ids_are_whole():
+    """Ids are counted some at a time; the table and the symbols are those of all."""
+    ids = np.random.default_rng(3).integers(0, 700, 3 * idmix.SOME + 5).astype(np.uint32)
+    ids[-1] = 5000
+    table, symbols = idmix.Table.of(ids)
+    found, counts = np.unique(ids, return_counts=True)
+    assert table.ids.tolist() == found.tolist()
+    assert table.frequencies.sum() == 1 << table.bits and (table.symbols.take(symbols) == ids).all()
+    share = 1 + counts * ((1 << table.bits) - len(found)) // len(ids)
+    assert (np.flatnonzero(table.frequencies != share) == counts.argmax()).all()
+
+
 @pytest.fixture(scope="module")
 def ranks():
     return bpe.read_ranks(vocabulary_file("byte_bpe_multi_50k.tiktoken"))
