@@ -414,7 +414,7 @@ def write(
             return rows
 
         # what texts share is looked up once a batch
-        for batch in text_batches(batches, 16 << 20):
+        for batch in text_batches(batches, 8 << 20):
             found = encoder.encode(batch.column("text"))
             for doc, x in zip(batch.column("doc_id").to_pylist(), found):
                 x = np.append(x, np.uint32(end))

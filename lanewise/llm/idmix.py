@@ -238,7 +238,7 @@ class Writer:
         r = self.range[:a] >> self.bits
         self.low[:a] += r * low
         r *= own
-        small = np.flatnonzero(r < 1 << LEAST)
+        small = (r < 1 << LEAST).nonzero()[0]
         while len(small):
             self._emit(small)
             r[small] = wider = r.take(small) << WORD
@@ -298,7 +298,7 @@ class Reader:
     def take(self, a: int, low: np.ndarray, own: np.ndarray) -> None:
         code = self.code[:a] - self.step * low
         r = self.step * own
-        small = np.flatnonzero(r < 1 << LEAST)
+        small = (r < 1 << LEAST).nonzero()[0]
         while len(small):
             at = self.at.take(small)
             code[small] = code.take(small) << WORD | self.flat.take(at)
