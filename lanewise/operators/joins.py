@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lanewise.plans.lanes import CHUNK, Lane, lay_out, with_running
@@ -12,6 +14,8 @@ from lanewise.sources.tables import require
 
 PAIRS = 1 << 25  # of rows that one task of a value comparison may meet, if the right side is broadcast
 TASKS = 1 << 16  # of such a join at most; beyond, they meet more
+RUN = 256  # right rows that the left rows of a task meet one after the other
+STRIP = 8  # runs that a task meets at least, if it has them
 
 
 def theta_join(
@@ -28,9 +32,9 @@ def theta_join(
     The range of the right values is cut into equal buckets. A left row is sent
     to its own bucket and those below, a right row to its own only, so each pair
     meets exactly once and nothing is compared that lies in a higher bucket.
-    A right side of up to ``max_bytes`` is broadcast and the left rows are dealt over
-    tasks by the pairs they may make, as few bytes can make many. Beyond that bucket
-    and salt form the join key: both sides may be large, and the rows of
+    A right side of up to ``max_bytes`` is broadcast and the pairs are dealt over
+    tasks by the number there may be, as few bytes can make many (see ``_met_in_runs``).
+    Beyond that bucket and salt form the join key: both sides may be large, and the rows of
     a crowded bucket spread over ``salts`` tasks. The bucket rule depends only
     on the exact minimum and maximum, never on a sample.
     """
@@ -38,8 +42,7 @@ def theta_join(
     require(right, right_val)
     number = F.col(right_val).cast("double")
     finite = F.when(F.abs(number) < float("inf"), number)
-    rows = F.count(F.lit(1))
-    least, low, high, n = right.agg(F.min(right_val), F.min(finite), F.max(finite), rows).first()
+    least, low, high = right.agg(F.min(right_val), F.min(finite), F.max(finite)).first()
 
     def bucket(col: str):
         """Grows with the value in double precision: never above the bucket of a larger value."""
@@ -52,13 +55,10 @@ def theta_join(
 
     others = left.columns
     sent = left.where(F.col(left_val) > F.lit(least))
-    reached = F.explode(F.sequence(F.lit(0).cast("bigint"), bucket(left_val)))
     kept = right.where(F.col(right_val).isNotNull()).withColumn("_bucket", bucket(right_val))
     if byte_size(right) <= max_bytes:
-        tasks = min(-(-sent.count() * n // PAIRS), TASKS)
-        dealt = sent.repartition(tasks) if tasks > 1 else sent
-        pairs = dealt.withColumn("_bucket", reached).join(F.broadcast(kept), "_bucket")
-        return pairs.where(F.col(left_val) > F.col(right_val)).drop("_bucket")
+        return _met_in_runs(sent, kept, left_val, right_val, bucket(left_val), buckets)
+    reached = F.explode(F.sequence(F.lit(0).cast("bigint"), bucket(left_val)))
     salted = F.pmod(F.xxhash64(*others), F.lit(salts))
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     sent = sent.withColumns({"_bucket": reached, "_salt": salted})
@@ -66,6 +66,45 @@ def theta_join(
     return pairs.where(F.col(left_val) > F.col(right_val)).drop("_bucket", "_salt")
 
 
+def _met_in_runs(
+    left: DataFrame, right: DataFrame, left_val: str, right_val: str, reached: Column, buckets: int
+) -> DataFrame:
+    """The pairs of a value comparison with a broadcast right side that has its ``_bucket``.
+
+    Right rows are numbered by bucket and value and cut into runs of ``RUN``; a left row meets the
+    runs up to the end of the bucket it has ``reached``. All left rows of a task meet one run before
+    any meets the next, and a task has few runs: what is written repeats within a page and names few
+    values, so files are small. Nothing repeats if a left row meets all right rows before the next does.
+    """
+    counts = dict(right.groupBy("_bucket").count().collect())
+    below = [0, *accumulate(counts.get(b, 0) for b in range(buckets))]
+    upto = F.array(*(F.lit(x).cast("bigint") for x in below))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(right_val))
+    run = F.floor((F.get(upto, F.col("_bucket").cast("int")) + place - 1) / RUN)
+    last = F.floor((F.get(upto, reached.cast("int") + 1) - 1) / RUN)
+    runs = -(-below[-1] // RUN)
+    tasks = min(-(-left.count() * below[-1] // PAIRS), TASKS)
+    strips = max(min(tasks, -(-runs // STRIP)), 1)
+    parts = -(-tasks // strips)
+    first, end = F.lit(0).cast("bigint"), last
+    if parts > 1:
+        left = left.repartition(parts)
+    if strips > 1:
+        wide = -(-runs // strips)
+        part = F.spark_partition_id() if parts > 1 else F.lit(0)
+        left = left.withColumn("_strip", F.explode(F.sequence(first, F.floor(last / wide))))
+        left = left.withColumn("_tile", (part * strips + F.col("_strip")).cast("int"))
+        left = left.repartitionById(parts * strips, "_tile")
+        first = F.col("_strip") * wide
+        end = F.least(last, first + (wide - 1))
+    met = left.withColumn("_run", F.explode(F.sequence(first, end))).drop("_strip", "_tile")
+    if runs > 1:
+        # the filter keeps all rows; without it the optimizer drops an order below a join
+        met = met.sortWithinPartitions("_run", F.desc(left_val)).where(F.spark_partition_id() >= 0)
+    pairs = met.join(F.broadcast(right.withColumn("_run", run).drop("_bucket")), "_run")
+    return pairs.where(F.col(left_val) > F.col(right_val)).drop("_run")
+
+
 def theta_counts(
     left: DataFrame, right: DataFrame, left_val: str, right_val: str, cell: str | None = None
 ) -> DataFrame:

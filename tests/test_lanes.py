@@ -197,6 +197,37 @@ def test_pairs_of_one_small_file_are_made_in_many_tasks(spark, monkeypatch, tmp_
     assert rows(J.theta_join(left, right, "v", "w", max_bytes=0)) == want
 
 
+def test_pairs_in_tiles_are_those_of_a_plain_join(spark, monkeypatch):
+    monkeypatch.setattr(J, "RUN", 4, raising=False)
+    monkeypatch.setattr(J, "STRIP", 2, raising=False)
+    odd = [float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1.5, -2.5, 7.0, 7.0, 1e300, None]
+    some = [*odd, *[7.0] * 30, *range(-20, 40)]
+    left = literal(spark, [(i, x if x is None else float(x)) for i, x in enumerate(some)], "i int, v double")
+    right = left.selectExpr("i div 2 as j", "v + 0.5 as w").unionByName(left.selectExpr("i as j", "v as w"))
+    for which in ("true", "j in (3, 4, 5)", "j = 10", "false"):
+        few = right.where(which)
+        want = rows(left.join(few, F.col("v") > F.col("w")).select("i", "j"))
+        for pairs in (400, 1 << 25):
+            monkeypatch.setattr(J, "PAIRS", pairs)
+            assert rows(J.theta_join(left, few, "v", "w").select("i", "j")) == want, (which, pairs)
+
+
+def test_files_of_pairs_are_small(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(J, "PAIRS", 1 << 20)
+    left = spark.range(0, 1000, 1, 2).selectExpr("id as i", "rand(5) as v")
+    right = spark.range(0, 3000, 1, 2).selectExpr("id as j", "rand(6) as w")
+    left.write.parquet(f"{tmp_path}/left")
+    right.write.parquet(f"{tmp_path}/right")
+    left, right = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("left", "right"))
+    J.theta_join(left, right, "v", "w").write.parquet(f"{tmp_path}/pairs")
+    read, plain = spark.read.parquet(f"{tmp_path}/pairs"), left.join(right, F.col("v") > F.col("w"))
+    total = [F.count("*"), F.sum(F.xxhash64("i", "v", "j", "w").cast("decimal(20)"))]
+    pairs = read.agg(*total).first()
+    assert pairs == plain.agg(*total).first()
+    size = sum(p.stat().st_size for p in (tmp_path / "pairs").glob("*.parquet"))
+    assert size < pairs[0], f"{size} bytes for {pairs[0]} pairs"
+
+
 @pytest.mark.parametrize("min_rows", [0, 20, 10**6])
 def test_tied_order_values_share_a_total(spark, min_rows):
     df = skewed(spark, 10).withColumn("k", F.nullif("k", F.lit(1)))
